@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from yardline.operators.skew import GroupSizes, group_sizes, join_on, ordering, with_position
+from yardline.operators.skew import GROUP_FLOOR, GroupSizes, group_sizes, join_on, ordering, with_position
 
 POS = "_pos"
 _FIRST = Window.unboundedPreceding
@@ -236,7 +236,7 @@ def add_features(
     """
     ewms = [f for f in features.values() if isinstance(f, Ewm)]
     safe = min((f.safe_rows for f in ewms), default=None)
-    if row_bound is not None and floor is None and row_bound <= (1_000_000 if safe is None else safe):
+    if row_bound is not None and floor is None and row_bound <= (GROUP_FLOOR if safe is None else safe):
         return _in_one_window(df, keys, order, features, descending)
     sizes = group_sizes(df, keys, floor, safe)
     if sizes.fits and (safe is None or sizes.largest <= safe):

@@ -33,3 +33,9 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """Shared folder for intermediate files: under the checkpoint folder of the session."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
