@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from yardline.operators.skew import GROUP_FLOOR, group_sizes, join_on
+from yardline.operators.skew import group_sizes, join_on
 from yardline.operators.windows import add_features, cumulative_sum
 
 
@@ -121,16 +121,31 @@ def quantiles(
     return picked.select(*keys, *out)
 
 
+def overall_quantiles(
+    df: DataFrame, wanted: Mapping[str, tuple[str, float]], *, floor: int | None = None
+) -> dict[str, Column]:
+    """Whole-table quantiles of several columns as scalar columns: name to (column, probability)."""
+    if group_sizes(df, [], floor).fits:
+        one = df.agg(*[F.percentile(col, F.lit(float(p))).alias(n) for n, (col, p) in wanted.items()])
+        packed = one.select(F.struct(*wanted).alias("s")).scalar()
+        return {n: packed[n] for n in wanted}
+    return {n: quantiles(df, [], col, {"q": p}, floor=floor).scalar() for n, (col, p) in wanted.items()}
+
+
 def with_group_totals(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
     return with_group(counted, keys, {"_total": F.sum("_n")})
 
 
 def average_rank(
-    df: DataFrame, keys: Sequence[str], col: str, name: str, *, floor: int | None = None, row_bound: int | None = None
+    df: DataFrame, keys: Sequence[str], col: str, name: str, *, floor: int | None = None, grain: str | None = None
 ) -> DataFrame:
-    """Descending rank where ties share their mean rank; null stays null."""
+    """Descending rank where ties share their mean rank; null stays null.
+
+    ``grain="player"``: the rows are players of a game, so groups are small by what they are and no size
+    is measured. Otherwise groups too large for a task are counted by value and ranked by a running count.
+    """
     x = F.col(col)
-    if (row_bound is not None and floor is None and row_bound <= GROUP_FLOOR) or group_sizes(df, keys, floor).fits:
+    if grain == "player" or group_sizes(df, keys, floor).fits:
         spec = Window.partitionBy(*keys).orderBy(x.desc_nulls_last())
         tied = Window.partitionBy(*keys, col)
         rank = F.rank().over(spec) + (F.count(F.lit(1)).over(tied) - 1) / 2

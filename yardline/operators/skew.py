@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from yardline.session import ensure_checkpoint_dir
+from yardline.session import settle
 
 # Rows one task may always take; above it, a group may be as large as the mean shuffle partition.
 GROUP_FLOOR = 1_000_000
@@ -110,19 +110,14 @@ def _spread_positions(
 ) -> DataFrame:
     """Positions from a range exchange: rows before this block + place inside the block.
 
-    Range bounds come from a sample, so the blocks are pinned by a checkpoint: block sizes and rows are
-    read from the same files even when a lost executor forces tasks to run again.
+    Range bounds come from a sample, so the numbered rows are written once: block sizes and rows are read
+    from the same files even when a lost executor forces tasks to run again.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     by = [F.col(k).asc() for k in keys] + ordering(order, descending)
     parts = max(2, math.ceil(rows / limit))
-    pinned = (
-        df.repartitionByRange(parts, *by)
-        .sortWithinPartitions(*by)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_block", F.shiftright("_row", 33))
-    )
+    numbered = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    numbered = numbered.withColumn("_row", F.monotonically_increasing_id())
+    pinned = settle(numbered).withColumn("_block", F.shiftright("_row", 33))
     spans = pinned.groupBy(*keys, "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.select(

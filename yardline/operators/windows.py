@@ -228,17 +228,19 @@ def add_features(
     descending: bool = False,
     floor: int | None = None,
     row_bound: int | None = None,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Add the named features. ``order`` must be total within ``keys``.
 
     ``row_bound``: rows of ``df`` are known not to exceed it (for instance the count of the table it was
-    aggregated from). When that already fits in a task no size is measured.
+    aggregated from). When that already fits in a task no size is measured. ``sizes``: what
+    ``group_sizes`` measured for these rows and keys before.
     """
     ewms = [f for f in features.values() if isinstance(f, Ewm)]
     safe = min((f.safe_rows for f in ewms), default=None)
     if row_bound is not None and floor is None and row_bound <= (GROUP_FLOOR if safe is None else safe):
         return _in_one_window(df, keys, order, features, descending)
-    sizes = group_sizes(df, keys, floor, safe)
+    sizes = sizes or group_sizes(df, keys, floor, safe)
     if sizes.fits and (safe is None or sizes.largest <= safe):
         return _in_one_window(df, keys, order, features, descending)
     return _in_chunks(df, keys, order, features, descending, sizes)

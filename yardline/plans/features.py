@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yardline.functions.scalars import (
@@ -17,9 +17,16 @@ from yardline.functions.scalars import (
     opponent,
     team_spread,
 )
-from yardline.operators.aggregates import average_rank, keep_large_groups, quantiles, share, with_group
+from yardline.operators.aggregates import (
+    average_rank,
+    keep_large_groups,
+    overall_quantiles,
+    share,
+    with_group,
+)
 from yardline.operators.columns import mask, round_all
 from yardline.operators.joins import join_suffixed, opponent_join, priority_lookup, validated_join
+from yardline.operators.skew import group_sizes
 from yardline.operators.windows import (
     Ewm,
     Lag,
@@ -31,6 +38,7 @@ from yardline.operators.windows import (
     fill_forward,
     running_count,
 )
+from yardline.session import settle
 
 GAME_ORDER = ("season", "week", "game_id")
 PLAYER_ORDER = (*GAME_ORDER, "player_id")
@@ -151,20 +159,22 @@ def receiver_frame(snaps: DataFrame, depth: DataFrame, receiving: DataFrame) ->
 def rb_workload(rush: DataFrame, receivers: DataFrame, **size) -> DataFrame:
     """Backs: touches, rank inside the backfield, and how both differ from their recent level."""
     rb = join_suffixed(rush, receivers.drop("season", "week"), ["game_id", "player_id"])
-    rb = rb.drop("team_merged", "full_name")
-    rb = rb.withColumns(
+    rb = settle(rb.drop("team_merged", "full_name")).withColumns(
         {
             "total_dk": c("rush_dk_points") + c("rec_dk_points"),
             "total_fd_points": c("rush_fd_points") + c("rec_fd_points"),
         }
     )
+    if "row_bound" not in size:
+        size = {**size, "sizes": group_sizes(rb, ["player_id"], size.get("floor"), 1)}
     totals = {"rolling_total_dk": Ewm("total_dk", span=15), "rolling_total_fd": Ewm("total_fd_points", span=15)}
     rb = add_features(rb, ["player_id"], GAME_ORDER, totals, **size)
     rb = rb.na.fill({k: 0 for k in RECEIVING_DEFAULTS})
     rb = receiver_rolling(rusher_rolling(rb, **size), **size)
     rb = rb.filter(c("position") == "RB").withColumn("player_touches", c("rush_att") + c("targets"))
-    rb = average_rank(rb, ["game_id", "team"], "player_touches", "workload_rank", **size)
-    rb = with_group(rb, ["game_id", "team"], {"total_team_rb_touches": F.sum("player_touches")})
+    backfield = Window.partitionBy("game_id", "team")  # the backs of one team in one game
+    rb = rb.withColumn("total_team_rb_touches", F.sum("player_touches").over(backfield))
+    rb = settle(average_rank(rb, ["game_id", "team"], "player_touches", "workload_rank", grain="player"))
     player = {
         "rolling_snap_pct": Ewm("offense_pct", span=4),
         "rolling_player_touches": Ewm("player_touches", span=5),
@@ -172,6 +182,7 @@ def rb_workload(rush: DataFrame, receivers: DataFrame, **size) -> DataFrame:
         "rolling_depth": Ewm("depth_team", span=5),
     }
     rb = add_features(rb, ["player_id"], GAME_ORDER, player, **size)
+    size.pop("sizes", None)
     slot = {"team_rank_avg_touches": Ewm("player_touches", span=5)}
     rb = add_features(rb, ["team", "workload_rank"], PLAYER_ORDER, slot, **size)
     for n in ("rolling_snap_pct", "rolling_player_touches", "rolling_workload", "team_rank_avg_touches"):
@@ -192,17 +203,23 @@ def wr_depth_targets(receivers: DataFrame, **size) -> DataFrame:
     """
     slot = ["team", "position", "depth_team"]
     rec = receivers.filter(c("position").isin("WR", "TE"))
-    rec = with_group(rec, ["game_id", "team", "position"], {"position_targets": F.sum("targets")})
-    rec = with_group(rec, ["game_id", "team"], {"total_wr_te_targets": F.sum("targets")})
-    rec = average_rank(rec, ["game_id", "team"], "targets", "target_workload", **size)
-    rec = with_group(rec, ["game_id", *slot], {"sum_team_depth_targets": F.sum("targets")})
+    # windows over the receivers of one team in one game
+    team_game = ["game_id", "team"]
+    rec = rec.withColumns(
+        {
+            "position_targets": F.sum("targets").over(Window.partitionBy(*team_game, "position")),
+            "total_wr_te_targets": F.sum("targets").over(Window.partitionBy(*team_game)),
+            "sum_team_depth_targets": F.sum("targets").over(Window.partitionBy("game_id", *slot)),
+        }
+    )
+    rec = settle(average_rank(rec, team_game, "targets", "target_workload", grain="player"))
     player = {"rolling_snap_pct": Ewm("offense_pct", span=4), "rolling_depth": Ewm("depth_team", span=5)}
     rec = add_features(rec, ["player_id"], GAME_ORDER, player, **size)
     team = {
         "team_rank_avg_workload": Ewm("target_workload", span=5),
         "rolling_sum_depth": Ewm("sum_team_depth_targets", span=5),
     }
-    rec = add_features(rec, ["team"], PLAYER_ORDER, team, **size)
+    rec = settle(add_features(rec, ["team"], PLAYER_ORDER, team, **size))
     slots = rec.groupBy(*GAME_ORDER, *slot).agg(
         F.max("sum_team_depth_targets").alias("pos_depth_targets"),
         F.sum("rolling_targets").alias("_players"),
@@ -263,7 +280,7 @@ def starters(passers: DataFrame, schedule: DataFrame, next_gen: DataFrame | None
     rows = validated_join(rows, schedule.drop("season_type"), ["game_id", "season", "week"])
     rows = with_group(rows, keys, {"team_passing_yards": F.sum("passing_yards")})
     started = (c("player_id") == c("home_qb_id")) | (c("player_id") == c("away_qb_id"))
-    rows = rows.filter(started).withColumns(
+    rows = settle(rows.filter(started)).withColumns(
         {
             "total_epa": c("passing_epa") + c("rushing_epa"),
             "frac_team_yards": share(c("passing_yards"), c("team_passing_yards")),
@@ -279,7 +296,7 @@ def starters(passers: DataFrame, schedule: DataFrame, next_gen: DataFrame | None
 def week_means(rows: DataFrame, col: str = "passing_yards", default: float = 250.0, **size) -> DataFrame:
     """League mean of a column before each week of a season: expanding over the season's earlier weeks,
     then carried forward over the calendar, then the default."""
-    weeks = rows.groupBy("season", "week").agg(F.avg(col).alias(col))
+    weeks = settle(rows.groupBy("season", "week").agg(F.avg(col).alias(col)))
     weeks = add_features(weeks, ["season"], ["week"], {"_mean": expanding_mean(col)}, **size)
     weeks = add_features(weeks, [], ["season", "week"], {"season_expanding_mean": fill_forward("_mean")}, **size)
     return weeks.withColumn("season_expanding_mean", F.coalesce("season_expanding_mean", F.lit(default))).drop("_mean")
@@ -287,10 +304,8 @@ def week_means(rows: DataFrame, col: str = "passing_yards", default: float = 250
 
 def fill_with_medians(df: DataFrame, sources: Mapping[str, str], *, floor: int | None = None, **_) -> DataFrame:
     """Fill nulls of each key column with the overall median of its source column."""
-    for name, source in sources.items():
-        med = quantiles(df, [], source, {"_m": 0.5}, floor=floor)
-        df = df.withColumn(name, F.coalesce(c(name), med.scalar()))
-    return df
+    medians = overall_quantiles(df, {n: (source, 0.5) for n, source in sources.items()}, floor=floor)
+    return df.withColumns({n: F.coalesce(c(n), medians[n]) for n in sources})
 
 
 STARTER_EWMS = {  # feature: (column, alpha)
@@ -319,7 +334,7 @@ def shrink(average: Column, prior: Column, games: Column, constant: float) -> Co
 def starter_averages(rows: DataFrame, **size) -> DataFrame:
     """Exponentially weighted averages per starter, medians for debuts, regular season only."""
     feats = {n: Ewm(col, alpha=a) for n, (col, a) in STARTER_EWMS.items()}
-    rows = add_features(rows, ["player_id"], GAME_ORDER, feats, **size)
+    rows = settle(add_features(rows, ["player_id"], GAME_ORDER, feats, **size))
     rows = fill_with_medians(rows, {n: col for n, (col, _) in STARTER_EWMS.items()}, **size)
     return rows.filter(c("season_type") == "REG")
 
@@ -329,6 +344,7 @@ def shrunk_ewm(rows: DataFrame, **size) -> DataFrame:
 
     ``rows``: ``starter_averages``.
     """
+    rows = settle(rows)
     weeks = week_means(rows, **size).select("season", "week", "season_expanding_mean")
     rows = rows.join(weeks, ["season", "week"], "left")
     rows = add_features(rows, ["player_id"], GAME_ORDER, {"games_started": running_count()}, **size)
@@ -347,7 +363,7 @@ def shrunk_ewm(rows: DataFrame, **size) -> DataFrame:
             "team_spread": team_spread(c("spread_line"), c("recent_team") == c("home_team")),
         }
     )
-    rows = rows.withColumn("implied_points", implied_points(c("total_line"), c("team_spread")))
+    rows = settle(rows.withColumn("implied_points", implied_points(c("total_line"), c("team_spread"))))
     feats = {
         "local_trend_ewm25": RollingSlope("adj_ewm_passing_yards", 25),
         "ewm_implied_points": Ewm("implied_points", alpha=0.08),
@@ -378,8 +394,9 @@ def zscore_filter(df: DataFrame, keys: Sequence[str], col: str, above: float = -
 def qb_model_table(qb: DataFrame, team_games: DataFrame, min_season: int = 2016, min_games: int = 6, **size) -> DataFrame:
     """``qb``: rolling passer features. Adds the opposing defence's recent pass EPA allowed."""
     feats = {"rolling_pass_def_epa": Ewm("def_pass_epa", span=15)}
+    team_games = settle(team_games)
     defence = add_features(team_games, ["team"], GAME_ORDER, feats, **size)
-    rows = opponent_join(qb, defence, ["rolling_pass_def_epa", "spread_line"])
+    rows = settle(opponent_join(qb, defence, ["rolling_pass_def_epa", "spread_line"]))
     rows = keep_large_groups(rows.filter(c("season") >= min_season), ["starting_qb"], min_games, "game_id")
     rows = rows.withColumn("spread_line", -c("spread_line")).distinct()
     return round_all(rows.filter(c("dk_points") > 0), 3)

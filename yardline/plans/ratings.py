@@ -9,30 +9,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yardline.operators.aggregates import with_group
-from yardline.session import ensure_checkpoint_dir
+from yardline.session import settle
 
 
 def c(name: str) -> Column:
     return F.col(name)
 
 
-def simple_ratings(games: DataFrame, passes: int = 12, checkpoint_every: int = 4) -> DataFrame:
+def simple_ratings(games: DataFrame, passes: int = 12, settle_every: int = 4) -> DataFrame:
     """Simple rating system per season: average margin plus the opponents' adjusted margins, iterated.
 
     ``games``: season, team_a, team_b, team_a_score, team_b_score (two rows per game). All teams move at
     once in a pass. Every pass is an average over opponents, which carries a common shift through
     unchanged, so ratings are centred once at the end. Games of a pair are folded into one weighted edge
-    before the passes; lineage is cut by a checkpoint every few passes.
+    before the passes; lineage is cut by a written table every few passes.
     """
-    ensure_checkpoint_dir(games.sparkSession)
     pairs = games.groupBy("season", c("team_a").alias("team"), c("team_b").alias("opp")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("team_a_score").alias("pf"), F.sum("team_b_score").alias("pa")
-    ).checkpoint()
+    )
+    pairs = settle(pairs)
     teams = pairs.groupBy("season", "team").agg(
         F.sum("n").alias("games"),
         (F.sum("pf") / F.sum("n")).alias("pts_for"),
         (F.sum("pa") / F.sum("n")).alias("pts_against"),
-    ).withColumn("init_mov", c("pts_for") - c("pts_against")).checkpoint()
+    ).withColumn("init_mov", c("pts_for") - c("pts_against"))
+    teams = settle(teams)
     edges = pairs.select("season", "team", "opp", "n")
     base = teams.select("season", c("team").alias("opp"), c("init_mov").alias("_mov"))
     adj = base.select("season", "opp", F.lit(0.0).alias("adj"))
@@ -43,8 +44,8 @@ def simple_ratings(games: DataFrame, passes: int = 12, checkpoint_every: int = 4
             .groupBy("season", c("team").alias("opp"))
             .agg((F.sum(c("_s") * c("n")) / F.sum("n")).alias("adj"))
         )
-        if i % checkpoint_every == 0 and i < passes:
-            adj = adj.checkpoint()
+        if i % settle_every == 0 and i < passes:
+            adj = settle(adj)
     out = teams.join(adj.withColumnRenamed("opp", "team"), ["season", "team"])
     out = with_group(out, ["season"], {"_mean": F.avg("adj")}).withColumn("adj", c("adj") - c("_mean"))
     return out.withColumn("final_srs", c("init_mov") + c("adj")).drop("_mean")

@@ -135,11 +135,10 @@ FROM {events}
 # one row per game and player who touched the ball, with the share of snaps played
 SNAPS = """
 WITH touched AS (
-  SELECT DISTINCT game_id, season, week, posteam, rusher_player_id AS player_id FROM {plays}
-  WHERE rusher_player_id LIKE '%!_P%' ESCAPE '!'
-  UNION
-  SELECT DISTINCT game_id, season, week, posteam, receiver_player_id AS player_id FROM {plays}
-  WHERE receiver_player_id IS NOT NULL),
+  SELECT DISTINCT game_id, season, week, posteam,
+         coalesce(receiver_player_id, CASE WHEN rusher_player_id LIKE '%!_P%' ESCAPE '!' THEN rusher_player_id END)
+           AS player_id FROM {plays}
+  WHERE receiver_player_id IS NOT NULL OR rusher_player_id LIKE '%!_P%' ESCAPE '!'),
 numbered AS (SELECT touched.*, CAST(right(player_id, 1) AS INT) AS player_no FROM touched)
 SELECT game_id, season, week, player_id, concat('P', CAST(player_no AS STRING), '.', posteam) AS player,
        posteam AS team,

@@ -210,8 +210,8 @@ i AS (SELECT game_id, player_id, ewm_implied FROM {ewm('s', 'player_id', GAME_OR
 SELECT game_id, player_id, g AS games_started, season_expanding_mean, adj_ewm_passing_yards, adj_ewm_passing_epa,
        adj_ewm_passing_attempts, adj_ewm_rushing_epa, adj_ewm_total_epa,
        adj_ewm_passing_yards / nullif(adj_ewm_passing_attempts, 0) AS adj_ewm_py_per_att,
-       coalesce(regr_slope(adj_ewm_passing_yards, CAST(g AS DOUBLE)) OVER (PARTITION BY player_id ORDER BY {GAME_ORDER}
-         ROWS BETWEEN 24 PRECEDING AND CURRENT ROW), 0) AS local_trend_ewm25,
+       CASE WHEN g = 0 THEN 0 ELSE regr_slope(adj_ewm_passing_yards, CAST(g AS DOUBLE)) OVER (PARTITION BY player_id
+         ORDER BY {GAME_ORDER} ROWS BETWEEN 24 PRECEDING AND CURRENT ROW) END AS local_trend_ewm25,
        implied_points, coalesce(ewm_implied, 22) AS ewm_implied_points,
        implied_points - coalesce(ewm_implied, 22) AS implied_points_diff
 FROM a JOIN i USING (game_id, player_id)"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardline.queries import adapters, views
+from yardline.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,7 +48,8 @@ class Tables:
 
     @cached_property
     def snaps(self) -> DataFrame:
-        return self.spark.sql(adapters.SNAPS, plays=self.plays)
+        # read three times by the receiver queries; one row per game and player
+        return settle(self.spark.sql(adapters.SNAPS, plays=self.plays))
 
     @cached_property
     def depth(self) -> DataFrame:

@@ -55,17 +55,12 @@ def name_normalise(t: Tables):
     return rows.select("passer_player_id", S.normalise_name(c("passer_player_name")).alias("player"))
 
 
-MMDD = "CAST(month(o_orderdate) * 100 + day(o_orderdate) AS INT)"
-
-
 @query("date_from_parts", """
 SELECT o_orderkey, CAST(d AS VARCHAR) AS game_date,
        CAST(CASE WHEN month(d) <= 2 THEN year(d) - 1 ELSE year(d) END AS INT) AS season
-FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE)
-        + CASE WHEN month(o_orderdate) <= 2 AND NOT (month(o_orderdate) = 2 AND day(o_orderdate) = 29)
-               THEN INTERVAL '1' YEAR ELSE INTERVAL '0' YEAR END AS x,
-        CASE WHEN month(o_orderdate) <= 2
-             THEN make_date(year(o_orderdate) + 1, month(o_orderdate), least(day(o_orderdate), 28))
+FROM (SELECT o_orderkey, CASE WHEN month(o_orderdate) <= 2
+             THEN make_date(year(o_orderdate) + 1, month(o_orderdate),
+                            CASE WHEN month(o_orderdate) = 2 AND day(o_orderdate) = 29 THEN 28 ELSE day(o_orderdate) END)
              ELSE CAST(o_orderdate AS DATE) END AS d FROM orders)""")
 def date_from_parts(t: Tables):
     leap = (F.month("o_orderdate") == 2) & (F.dayofmonth("o_orderdate") == 29)

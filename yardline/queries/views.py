@@ -178,11 +178,11 @@ m AS (
          CASE WHEN posteam = max(home_team) THEN 1 ELSE 0 END AS home
   FROM processed GROUP BY game_id, posteam)
 SELECT m.* EXCLUDE (spread), CASE WHEN home = 1 THEN spread ELSE -spread END AS spread_line,
-       away_score - home_score AS actual_spread,
-       CASE WHEN home = 1 THEN home_score ELSE away_score END AS points,
-       CASE WHEN home = 1 THEN away_score ELSE home_score END AS opp_points,
-       home_score + away_score AS actual_total,
-       CASE WHEN home_score + away_score > m.total_line THEN 1 ELSE 0 END AS over,
+       m.away_score - m.home_score AS actual_spread,
+       CASE WHEN home = 1 THEN m.home_score ELSE m.away_score END AS points,
+       CASE WHEN home = 1 THEN m.away_score ELSE m.home_score END AS opp_points,
+       m.home_score + m.away_score AS actual_total,
+       CASE WHEN m.home_score + m.away_score > m.total_line THEN 1 ELSE 0 END AS over,
        yards.rush_yards, yards.pass_yards, o.opp_rush_yds, o.opp_pass_yds, off_td, fgs, two_pts_conv,
        g.home_rest, g.away_rest, g.home_coach, g.away_coach,
        CASE WHEN home = 1 THEN g.home_rest ELSE g.away_rest END AS rest,

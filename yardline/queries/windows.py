@@ -1,4 +1,5 @@
-"""Window queries: players are ``user_id`` ordered by (ts, event_id); error events have no value."""
+"""Window queries: players are ``user_id`` ordered by (ts, event_id). The stat is the root of the value, null
+for error events: roots have no short decimals, so no mean of them sits on a rounding tie."""
 
 from __future__ import annotations
 
@@ -15,13 +16,13 @@ from yardline.queries.views import PLAY_ORDER, ewm, half_even, span
 
 c = F.col
 ORDER = ["ts", "event_id"]
-X = "(SELECT event_id, user_id, ts, CASE WHEN event_type <> 'error' THEN value END AS x FROM events)"
+X = "(SELECT event_id, user_id, ts, CASE WHEN event_type <> 'error' THEN sqrt(value) END AS x FROM events)"
 OVER = "OVER (PARTITION BY user_id ORDER BY ts, event_id"
 PRIOR = f"{OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 
 def series(t: Tables) -> DataFrame:
-    return t.events.select("event_id", "user_id", "ts", F.when(c("event_type") != "error", c("value")).alias("x"))
+    return t.events.select("event_id", "user_id", "ts", F.when(c("event_type") != "error", F.sqrt("value")).alias("x"))
 
 
 def per_player(t: Tables, **feats) -> DataFrame:
@@ -99,9 +100,9 @@ def expanding_max(t: Tables):
 
 @query("expanding_fraction", f"""
 SELECT event_id, user_id, CASE WHEN count(x) {PRIOR} = 0 THEN 1.0::DOUBLE
-  ELSE CAST(count(*) FILTER (WHERE x > 40) {PRIOR} AS DOUBLE) / row_number() {OVER}) END AS frac FROM {X}""", "frac")
+  ELSE CAST(count(*) FILTER (WHERE x > 6) {PRIOR} AS DOUBLE) / row_number() {OVER}) END AS frac FROM {X}""", "frac")
 def expanding_fraction(t: Tables):
-    return per_player(t, frac=W.expanding_fraction("x", 40.0))
+    return per_player(t, frac=W.expanding_fraction("x", 6.0))
 
 
 @query("cumsum", f"SELECT event_id, user_id, sum(x) {OVER} ROWS UNBOUNDED PRECEDING) AS sum_x FROM {X}", "sum_x")
@@ -129,8 +130,8 @@ def avg_rank(t: Tables):
 
 @query("rolling_slope", f"""
 WITH r AS (SELECT event_id, user_id, ts, x, row_number() {OVER}) AS rn FROM {X})
-SELECT event_id, user_id, coalesce(regr_slope(x, CAST(rn AS DOUBLE)) {OVER} ROWS BETWEEN 24 PRECEDING AND CURRENT ROW), 0)
-  AS slope FROM r""", "slope")
+SELECT event_id, user_id, CASE WHEN count(x) {OVER} ROWS BETWEEN 24 PRECEDING AND CURRENT ROW) < 2 THEN 0
+  ELSE regr_slope(x, CAST(rn AS DOUBLE)) {OVER} ROWS BETWEEN 24 PRECEDING AND CURRENT ROW) END AS slope FROM r""", "slope")
 def rolling_slope(t: Tables):
     return per_player(t, slope=W.RollingSlope("x", 25))
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -26,6 +27,7 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("yardline")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -35,6 +37,18 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     )
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the shared folder and go on from its files.
+
+    For tables that the following steps read several times: each reader scans the columns it needs
+    instead of repeating the plan, sizes are known when joins are planned, and a lost executor costs no
+    recomputation.
+    """
+    path = f"{scratch_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """Shared folder for intermediate files: under the checkpoint folder of the session."""
     ensure_checkpoint_dir(spark)
