@@ -272,13 +272,14 @@ def defence_points(defence: DataFrame, team_games: DataFrame, n: int = 15, min_s
 # --- starters ----------------------------------------------------------------------------------------
 def starters(passers: DataFrame, schedule: DataFrame, next_gen: DataFrame | None = None, **size) -> DataFrame:
     """Starting quarterbacks with game, share of the team's passing yards and its history."""
-    schedule = schedule.withColumns({s: franchise(c(s), c("season")) for s in ("home_team", "away_team")})
+    schedule = settle(schedule.withColumns({s: franchise(c(s), c("season")) for s in ("home_team", "away_team")}))
     keys = ["season", "week", "recent_team"]
     home = schedule.select("season", "week", c("home_team").alias("recent_team"), "game_id")
     away = schedule.select("season", "week", c("away_team").alias("recent_team"), "game_id")
     rows = priority_lookup(passers, away, home, keys, "game_id", "game_id", "NA")
     rows = validated_join(rows, schedule.drop("season_type"), ["game_id", "season", "week"])
-    rows = with_group(rows, keys, {"team_passing_yards": F.sum("passing_yards")})
+    passers_of_team = Window.partitionBy(*keys)  # the passers of one team in one week
+    rows = rows.withColumn("team_passing_yards", F.sum("passing_yards").over(passers_of_team))
     started = (c("player_id") == c("home_qb_id")) | (c("player_id") == c("away_qb_id"))
     rows = settle(rows.filter(started)).withColumns(
         {

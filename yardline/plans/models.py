@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from yardline.operators.aggregates import quantiles, with_group
 from yardline.operators.windows import add_features, cumulative_sum, prior_totals
+from yardline.session import settle
 
 
 def c(name: str) -> Column:
@@ -109,24 +110,22 @@ class Gram:
         return best[0], best[1], best[3]
 
 
-def gram_table(df: DataFrame, xs: Sequence[str], y: str, by: Sequence[str] = (), weights: dict[str, Column] | None = None):
+def gram_table(df: DataFrame, xs: Sequence[str], y: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per ``by`` group with the sums of products; rows with a null input are left out."""
     names = ["_one", *xs, y]
     rows = df.na.drop("any", subset=[*xs, y]).withColumn("_one", F.lit(1.0))
     aggs = []
-    for label, w in (weights or {"": None}).items():
-        for i, a in enumerate(names):
-            for j in range(i, len(names)):
-                product = c(a).cast("double") * c(names[j]).cast("double")
-                aggs.append(F.sum(product if w is None else w * product).alias(f"m{label}_{i}_{j}"))
+    for i, a in enumerate(names):
+        for j in range(i, len(names)):
+            aggs.append(F.sum(c(a).cast("double") * c(names[j]).cast("double")).alias(f"m_{i}_{j}"))
     return rows.groupBy(*by).agg(*aggs)
 
 
-def read_gram(row, size: int, label: str = "") -> Gram:
+def read_gram(row, size: int) -> Gram:
     m = np.zeros((size, size))
     for i in range(size):
         for j in range(i, size):
-            m[i, j] = m[j, i] = row[f"m{label}_{i}_{j}"] or 0.0
+            m[i, j] = m[j, i] = row[f"m_{i}_{j}"] or 0.0
     return Gram(m)
 
 
@@ -164,6 +163,7 @@ def _with_coefficients(df: DataFrame, by: Sequence[str], coefs: dict[tuple, list
 
 def out_of_fold(df: DataFrame, xs: Sequence[str], y: str, fold: str, alpha: float = 0.0, name: str = "oof") -> DataFrame:
     """Predict each fold from a model fitted on the other folds; one pass for all fits."""
+    df = settle(df)
     parts = grams(df, xs, y, [fold])
     whole = total(parts.values())
     coefs = {}
@@ -178,6 +178,7 @@ def time_series_scores(
     df: DataFrame, xs: Sequence[str], y: str, fold: str, alphas: Sequence[float], scale: bool = True
 ) -> DataFrame:
     """Mean absolute error per alpha and test block; block k is predicted from all lower blocks."""
+    df = settle(df)
     parts = grams(df, xs, y, [fold])
     past, coefs = None, {}
     for (k,) in sorted(parts):
@@ -203,6 +204,7 @@ def walk_forward(
     All fits come from one aggregate per (season, week). ``legacy_cutoff`` trains on rows with an earlier or
     equal season *and* an earlier or equal week number instead of everything before.
     """
+    df = settle(df)
     parts = grams(df, xs, y, ["season", "week"])
     weeks = sorted(parts)
     coefs = {}
@@ -220,40 +222,59 @@ def walk_forward(
 
 def quantile_regression(
     df: DataFrame, xs: Sequence[str], y: str, probs: Sequence[float] = (0.05, 0.5, 0.95),
-    passes: int = 40, eps: float = 1e-4, tolerance: float = 1e-7,
+    passes: int = 60, eps: float = 1e-4, tolerance: float = 1e-6,
 ) -> dict[float, list[float]]:
     """Quantile regression by iteratively re-weighted least squares; all quantiles share a pass.
 
-    A pass is one aggregate: weighted Gram matrices and the pinball loss. It stops when no loss changes.
+    A pass is one Spark job: each task adds up, batch by batch, the weighted Gram matrix and the pinball
+    loss of every quantile, and Spark sums the tasks' few numbers. It stops when no loss changes.
     """
     size = len(xs) + 2
-    rows = df.select(*[c(x).cast("double").alias(x) for x in xs], c(y).cast("double").alias(y)).na.drop().persist()
+    rows = settle(df.select(*[c(x).cast("double").alias(x) for x in xs], c(y).cast("double").alias(y)).na.drop())
     b0, w, _ = read_gram(gram_table(rows, xs, y).first(), size).ridge()
-    coefs = {p: [b0, *map(float, w)] for p in probs}
-    spread = rows.agg(F.stddev_pop(y)).first()[0] or 1.0
-    losses: dict[float, float] = {}
+    coefs = {p: np.array([b0, *w]) for p in probs}
+    first = rows.agg(F.stddev_pop(y).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    spread, n = first["s"] or 1.0, first["n"]
+    losses = dict.fromkeys(probs, math.inf)
     best = {p: (math.inf, coefs[p]) for p in probs}
     for _ in range(passes):
-        weights, pinball = {}, []
-        for k, p in enumerate(probs):
-            e = c(y) - linear_prediction(xs, F.array(*[F.lit(v) for v in coefs[p]]))
-            side = F.when(e >= 0, F.lit(float(p))).otherwise(F.lit(1.0 - p))
-            weights[f"q{k}"] = side / F.greatest(F.abs(e), F.lit(eps * spread))
-            pinball.append(F.avg(side * F.abs(e)).alias(f"loss{k}"))
-        table = gram_table(rows, xs, y, weights=weights)
-        row, loss = table.first(), rows.agg(*pinball).first()
+        sums = _irls_sums(rows, coefs, eps * spread, size)
         moved = 0.0
-        for k, p in enumerate(probs):
-            if loss[f"loss{k}"] < best[p][0]:
-                best[p] = (loss[f"loss{k}"], coefs[p])
-            moved = max(moved, abs(losses.get(p, math.inf) - loss[f"loss{k}"]) / spread)
-            losses[p] = loss[f"loss{k}"]
-            b0, w, _ = read_gram(row, size, f"q{k}").ridge()
-            coefs[p] = [b0, *map(float, w)]
+        for p in probs:
+            gram, loss = sums[p][:-1].reshape(size, size), sums[p][-1] / n
+            if loss < best[p][0]:
+                best[p] = (loss, coefs[p])
+            moved = max(moved, abs(losses[p] - loss) / spread)
+            losses[p] = loss
+            b0, w, _ = Gram(gram).ridge()
+            coefs[p] = np.array([b0, *w])
         if moved < tolerance:
             break
-    rows.unpersist()
-    return {p: best[p][1] for p in probs}
+    return {p: [float(v) for v in best[p][1]] for p in probs}
+
+
+def _irls_sums(rows: DataFrame, coefs: dict[float, np.ndarray], floor: float, size: int) -> dict[float, np.ndarray]:
+    probs = list(coefs)
+    given = [coefs[p] for p in probs]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = np.zeros((len(probs), size * size + 1))
+        for pdf in batches:
+            v = np.column_stack([np.ones(len(pdf)), pdf.to_numpy(dtype=float)])
+            for i, p in enumerate(probs):
+                e = v[:, -1] - v[:, :-1] @ given[i]
+                side = np.where(e >= 0, p, 1 - p)
+                weight = side / np.maximum(np.abs(e), floor)
+                acc[i, :-1] += ((v * weight[:, None]).T @ v).ravel()
+                acc[i, -1] += side @ np.abs(e)
+        i, j = np.indices(acc.shape)
+        yield pd.DataFrame({"q": i.ravel(), "at": j.ravel(), "v": acc.ravel()})
+
+    parts = rows.mapInPandas(fold, "q int, at int, v double").groupBy("q", "at").agg(F.sum("v").alias("v"))
+    out = np.zeros((len(probs), size * size + 1))
+    for r in parts.collect():  # one number per quantile and matrix entry
+        out[r["q"], r["at"]] = r["v"]
+    return {p: out[i] for i, p in enumerate(probs)}
 
 
 def predict_linear(df: DataFrame, xs: Sequence[str], coefs: Sequence[float], name: str) -> DataFrame:
@@ -262,7 +283,7 @@ def predict_linear(df: DataFrame, xs: Sequence[str], coefs: Sequence[float], nam
 
 # --- Spark ML estimators -----------------------------------------------------------------------------
 def _assembled(df: DataFrame, xs: Sequence[str], y: str) -> DataFrame:
-    rows = df.na.drop("any", subset=[*xs, y]).withColumn(y, c(y).cast("double"))
+    rows = settle(df.na.drop("any", subset=[*xs, y]).withColumn(y, c(y).cast("double")))
     return VectorAssembler(inputCols=list(xs), outputCol="_x").transform(rows)
 
 

@@ -76,59 +76,61 @@ def partial_pool(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def random_intercept(
-    df: DataFrame, key: str, y: str, xs: Sequence[str], iterations: int = 25
+    df: DataFrame, key: str, y: str, xs: Sequence[str], iterations: int = 200, most: int = 200_000
 ) -> tuple[dict[str, float], DataFrame]:
     """Linear model with a random intercept per group, by EM.
 
-    Rows are reduced once to (count, sums) per group and to one Gram matrix; an iteration is one aggregate
-    over the group table and a solve the size of the covariate list. Returns the fixed effects and
-    variances, and the group table with its intercepts.
+    What EM needs of a group is its row count and sums, and groups of one count enter as one sum of
+    products. So the rows are reduced to one row per distinct group size (at most the root of twice the
+    row count) in Spark, and the iterations run on that table. Returns the fixed effects and variances,
+    and the group table with its intercepts.
     """
     names = ["_one", *xs]
+    p = len(names)
     rows = df.select(key, c(y).cast("double").alias("_y"), F.lit(1.0).alias("_one"),
                      *[c(x).cast("double").alias(x) for x in xs]).na.drop()
-    gram_aggs = [F.sum(c(a) * c(b)).alias(f"g{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if j >= i]
-    gram_aggs += [F.sum(c(a) * c("_y")).alias(f"h{i}") for i, a in enumerate(names)]
-    gram_aggs += [F.sum(c("_y") * c("_y")).alias("yy"), F.count(F.lit(1)).alias("n")]
-    row = rows.agg(*gram_aggs).first()
-    p = len(names)
-    gram = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            gram[i, j] = gram[j, i] = row[f"g{i}_{j}"]
-    xty = np.array([row[f"h{i}"] for i in range(p)])
-    yy, n = row["yy"], row["n"]
-    groups = rows.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_sy"), *[F.sum(a).alias(f"_s{i}") for i, a in enumerate(names)]
-    ).persist()
-    beta = np.linalg.solve(gram, xty)
-    sigma = tau = max((yy - xty @ beta) / n / 2, 1e-12)
+    every = [*names, "_y"]
+    pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
+    groups = settle(
+        rows.groupBy(key).agg(
+            *[F.sum(a).alias(f"_s{i}") for i, a in enumerate(every)],
+            *[F.sum(c(every[i]) * c(every[j])).alias(f"_m{i}_{j}") for i, j in pairs],
+        )
+    )
+    by_size = groups.groupBy(c("_s0").alias("n")).agg(
+        F.count(F.lit(1)).alias("k"),
+        *[F.sum(c(f"_s{i}") * c(f"_s{j}")).alias(f"b{i}_{j}") for i, j in pairs],
+        *[F.sum(f"_m{i}_{j}").alias(f"m{i}_{j}") for i, j in pairs],
+    ).limit(most + 1).collect()
+    if len(by_size) > most:
+        raise ValueError(f"more than {most} distinct group sizes")
+
+    def matrix(label: str) -> np.ndarray:
+        out = np.zeros((len(by_size), p + 1, p + 1))
+        for r, row in enumerate(by_size):
+            for i, j in pairs:
+                out[r, i, j] = out[r, j, i] = row[f"{label}{i}_{j}"]
+        return out
+
+    n, k = np.array([r["n"] for r in by_size]), np.array([r["k"] for r in by_size], dtype=float)
+    between, whole = matrix("b"), matrix("m").sum(axis=0)
+    total = whole[0, 0]
+    beta = np.linalg.solve(whole[:p, :p], whole[:p, p])
+    sigma = tau = max((whole[p, p] - whole[:p, p] @ beta) / total / 2, 1e-12)
     for _ in range(iterations):
-        # GLS for the fixed effects given the variances
-        k = F.lit(float(tau)) / (F.lit(float(sigma)) + c("_n") * F.lit(float(tau)))
-        aggs = [F.sum(k * c(f"_s{i}") * c(f"_s{j}")).alias(f"g{i}_{j}") for i in range(p) for j in range(i, p)]
-        aggs += [F.sum(k * c(f"_s{i}") * c("_sy")).alias(f"h{i}") for i in range(p)]
-        r = groups.agg(*aggs).first()
-        a, b = gram.copy(), xty.copy()
-        for i in range(p):
-            b[i] -= r[f"h{i}"]
-            for j in range(i, p):
-                a[i, j] -= r[f"g{i}_{j}"]
-                if i != j:
-                    a[j, i] = a[i, j]
-        beta = np.linalg.solve(a, b)
-        # expected squared intercepts and residuals
-        resid = c("_sy") - sum((F.lit(float(beta[i])) * c(f"_s{i}") for i in range(p)), F.lit(0.0))
-        u = k * resid
-        post = F.lit(float(sigma)) * k
-        m = groups.agg(
-            F.avg(u * u + post).alias("tau"),
-            F.sum(c("_n") * (u * u + post) - 2 * u * resid).alias("cross"),
-        ).first()
-        rss = yy - 2 * beta @ xty + beta @ gram @ beta
-        tau, sigma = max(m["tau"], 1e-12), max((rss + m["cross"]) / n, 1e-12)
-    resid = c("_sy") - sum((F.lit(float(beta[i])) * c(f"_s{i}") for i in range(p)), F.lit(0.0))
-    k = F.lit(float(tau)) / (F.lit(float(sigma)) + c("_n") * F.lit(float(tau)))
-    fixed = {"intercept": float(beta[0])} | {x: float(v) for x, v in zip(xs, beta[1:])}
-    effects = groups.select(key, c("_n").alias("n"), (k * resid).alias("intercept"))
+        shrink = tau / (sigma + n * tau)
+        gls = whole - np.tensordot(shrink, between, axes=1)
+        beta = np.linalg.solve(gls[:p, :p], gls[:p, p])
+        e = np.append(-beta, 1.0)  # residual as a combination of (1, x, y)
+        squared = np.einsum("i,rij,j->r", e, between, e)  # sum over groups of the squared residual sum
+        post = k * sigma * shrink
+        u2 = shrink**2 * squared + post
+        rss = e @ whole @ e + np.sum(n * u2) - 2 * np.sum(shrink * squared)
+        before, tau, sigma = tau, max(u2.sum() / k.sum(), 1e-12), max(rss / total, 1e-12)
+        if abs(tau - before) < 1e-10 * (tau + sigma):
+            break
+    resid = c(f"_s{p}") - sum((F.lit(float(beta[i])) * c(f"_s{i}") for i in range(p)), F.lit(0.0))
+    shrunk = F.lit(float(tau)) / (F.lit(float(sigma)) + c("_s0") * F.lit(float(tau))) * resid
+    fixed = {"intercept": float(beta[0])} | {x: float(v) for x, v in zip(xs, beta[1:], strict=True)}
+    effects = groups.select(key, c("_s0").cast("long").alias("n"), shrunk.alias("intercept"))
     return fixed | {"sigma_sq": float(sigma), "tau_sq": float(tau)}, effects

@@ -10,18 +10,19 @@ from yardline.plans import ratings as R
 from yardline.plans.features import GAME_ORDER
 from yardline.queries.features import starter_ewm
 from yardline.queries.registry import Tables, query
+from yardline.session import settle
 
 c = F.col
 ORDER = ["ts", "event_id"]
 
 
 @query("target_encode", """
-WITH m AS (SELECT avg(value) AS mean FROM events)
-SELECT event_id, event_type, (coalesce(sum(value) OVER w, 0) + mean) / (count(value) OVER w + 1) AS event_type_encoded
+WITH m AS (SELECT avg(sqrt(value)) AS mean FROM events)
+SELECT event_id, event_type, (coalesce(sum(sqrt(value)) OVER w, 0) + mean) / (count(value) OVER w + 1) AS event_type_encoded
 FROM events, m WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
        "event_type_encoded")
 def target_encode(t: Tables):
-    rows = t.events.select("event_id", "event_type", "ts", "value")
+    rows = t.events.select("event_id", "event_type", "ts", F.sqrt("value").alias("value"))
     return M.target_encode(rows, "event_type", "value", ORDER).select("event_id", "event_type", "event_type_encoded")
 
 
@@ -77,7 +78,7 @@ def count_glm(t: Tables):
 @query("ridge_grid")
 def ridge_grid(t: Tables):
     """Error per penalty and time block for a standardised ridge."""
-    rows = sets.time_folds(model_rows(t), [*GAME_ORDER, "player_id"], 15)
+    rows = sets.time_folds(settle(model_rows(t)), [*GAME_ORDER, "player_id"], 15)
     return M.time_series_scores(rows, FEATURES, Y, "fold", [0.1, 1, 10, 100, 500, 1000])
 
 
@@ -99,7 +100,7 @@ def elastic_net(t: Tables):
 @query("quantile_regression")
 def quantile_regression(t: Tables):
     """5, 50 and 95 % quantile predictions."""
-    rows = model_rows(t)
+    rows = settle(model_rows(t))
     xs = ["ewm_passing_yards", "total_line"]
     for p, coefs in M.quantile_regression(rows, xs, Y).items():
         rows = M.predict_linear(rows, xs, coefs, f"q{round(p * 100)}")
