@@ -26,18 +26,56 @@ def count_where(cond: Column) -> Column:
     return F.count(F.when(cond, 1))
 
 
+def _at(order: Sequence[str]) -> Column:
+    """Ordering value. One number keeps the aggregate in fixed-width buffers, so that Spark hashes; several
+    columns make a struct, and Spark sorts."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def first_value(col: str, order: Sequence[str]) -> Column:
     """Value of the group's first row, null included."""
-    return F.min_by(F.struct(F.col(col).alias("v")), F.struct(*order))["v"]
+    return F.min_by(F.struct(F.col(col).alias("v")), _at(order))["v"]
 
 
 def first_known(col: str, order: Sequence[str]) -> Column:
     """First non-null value in order."""
-    return F.min_by(col, F.when(F.col(col).isNotNull(), F.struct(*order)))
+    return F.min_by(col, F.when(F.col(col).isNotNull(), _at(order)))
 
 
 def last_known(col: str, order: Sequence[str]) -> Column:
-    return F.max_by(col, F.when(F.col(col).isNotNull(), F.struct(*order)))
+    return F.max_by(col, F.when(F.col(col).isNotNull(), _at(order)))
+
+
+def group_with_labels(
+    df: DataFrame,
+    keys: Mapping[str, str],
+    labels: Mapping[str, str],
+    at: Column,
+    sums: Mapping[str, Column],
+    maxes: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Sums and maxima per group, with text labels taken from the group's first row.
+
+    Strings cannot sit in a hash aggregate's buffer, and sorting every play to carry a name along is the
+    slow way. So the labels are grouped on in a first step, which hashes and leaves about one row per
+    group, and the second step picks among those few. ``at``: a number ordering the rows; rows where it is
+    null give no label. A sum without any value is null.
+    """
+    maxes = maxes or {}
+    by = [F.col(v).alias(k) for k, v in {**keys, **{f"_l_{n}": v for n, v in labels.items()}}.items()]
+    fine = df.groupBy(*by).agg(
+        F.min(at).alias("_at"),
+        *[F.sum(x).alias(n) for n, x in sums.items()],
+        *[F.max(x).alias(n) for n, x in maxes.items()],
+    )
+    names = F.struct(*[F.col(f"_l_{n}").alias(n) for n in labels])
+    first = F.min_by(names, F.when(F.col("_at").isNotNull(), F.struct("_at", names)))
+    coarse = fine.groupBy(*keys).agg(
+        first.alias("_first"),
+        *[F.sum(n).alias(n) for n in sums],
+        *[F.max(n).alias(n) for n in maxes],
+    )
+    return coarse.select(*keys, *[F.col("_first")[n].alias(n) for n in labels], *sums, *maxes)
 
 
 def share(part: Column, whole: Column) -> Column:
@@ -105,7 +143,7 @@ def quantiles(
         return out.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
     counted = x.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
     counted = add_features(counted, keys, [col], {"_upto": cumulative_sum("_n")}, floor=floor)
-    placed = with_group_totals(counted, keys)
+    placed = with_group(counted, keys, {"_total": F.sum("_n")})
     aggs = []
     for name, p in probs.items():
         rank = (F.col("_total") - 1) * F.lit(float(p))
@@ -132,10 +170,6 @@ def overall_quantiles(
     return {n: quantiles(df, [], col, {"q": p}, floor=floor).scalar() for n, (col, p) in wanted.items()}
 
 
-def with_group_totals(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return with_group(counted, keys, {"_total": F.sum("_n")})
-
-
 def average_rank(
     df: DataFrame, keys: Sequence[str], col: str, name: str, *, floor: int | None = None, grain: str | None = None
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from yardline.functions.scalars import PASSER_NAMES, flag, half_even, id_part, n
 from yardline.operators.aggregates import (
     count_where,
     first_known,
-    first_value,
+    group_with_labels,
     last_known,
     share,
     total,
@@ -24,7 +24,7 @@ from yardline.operators.aggregates import (
 from yardline.operators.windows import Lead, add_features, expanding_mean
 from yardline.sources.schemas import require_columns
 
-PLAY_ORDER = ("play_seq", "play_sub", "play_tie")
+PLAY_ORDER = ("play_id",)  # one number that orders the plays of a game
 TWO_POINT = "two_point_att"
 
 
@@ -66,43 +66,42 @@ def play_features(
     return plays.withColumns({n: flag(kick & c("kick_distance").between(lo, hi)) for n, (lo, hi) in bands.items()})
 
 
-def qb_pass(plays: DataFrame, order: Sequence[str] = PLAY_ORDER) -> DataFrame:
+def zero(*names: str) -> dict[str, Column]:
+    """Sums over no values as 0."""
+    return {n: F.coalesce(c(n), F.lit(0)) for n in names}
+
+
+def qb_pass(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
     """Passing line per game, passer and team."""
     named = plays.filter(c("passer_player_name").isNotNull() & c("posteam").isNotNull())
     real = (c("pass_attempt") == 1) & (c("play_type") != TWO_POINT)
     thrown = real & (c("sack") == 0)
-    on_throw = F.when(thrown, F.struct(*order))
-
-    def first(col: str) -> Column:
-        return F.min_by(F.struct(c(col).alias("v")), on_throw)["v"]
-
-    stats = named.groupBy("game_id", c("passer_player_name").alias("player"), c("posteam").alias("team")).agg(
-        count_where(thrown).alias("_thrown"),
-        first("passer_player_id").alias("player_id"),
-        first("season_type").alias("season_type"),
-        first("home_team").alias("home_team"),
-        first("away_team").alias("away_team"),
-        total_where(thrown, "pass_attempt").alias("att"),
-        total_where(thrown, "complete_pass").alias("com"),
-        total_where(thrown, "yards_gained").alias("pass_yards"),
-        total_where(thrown, "air_yards").alias("air_yards"),
-        total_where(thrown, "yards_after_catch").alias("yards_after_catch"),
-        total_where(thrown, "air_yards_to_sticks").alias("AYTS"),
-        total_where(thrown, "interception").alias("interception"),
-        total_where(thrown, "success").alias("success"),
-        total_where(thrown, "epa").alias("epa"),
-        (total_where(thrown, "cpoe") / 100).alias("cpoe"),
-        F.max(F.when(thrown, c("total_line"))).alias("total_line"),
-        F.max(F.when(thrown, c("temp"))).alias("temp"),
-        F.max(F.when(thrown, c("wind"))).alias("wind"),
-        total("sack").alias("sack"),
-        total_if_any(c("complete_pass") == 1, "air_yards").alias("ay_completions"),
-        total_if_any((c("complete_pass") == 0) & (c("play_type") != TWO_POINT), "air_yards").alias("ay_incompletions"),
-    )
+    caught = c("complete_pass") == 1
+    missed = (c("complete_pass") == 0) & (c("play_type") != TWO_POINT)
+    on_throw = {"att": "pass_attempt", "com": "complete_pass", "pass_yards": "yards_gained", "air_yards": "air_yards",
+                "yards_after_catch": "yards_after_catch", "AYTS": "air_yards_to_sticks",
+                "interception": "interception", "success": "success", "epa": "epa", "cpoe": "cpoe"}
+    sums = {n: F.when(thrown, c(col)) for n, col in on_throw.items()}
+    sums |= {"_thrown": flag(thrown), "sack": c("sack"), "_caught": flag(caught), "_missed": flag(missed),
+             "ay_completions": F.when(caught, c("air_yards")), "ay_incompletions": F.when(missed, c("air_yards"))}
+    stats = group_with_labels(
+        named,
+        {"game_id": "game_id", "player": "passer_player_name", "team": "posteam"},
+        {"player_id": "passer_player_id", "season_type": "season_type", "home_team": "home_team", "away_team": "away_team"},
+        F.when(thrown, c(order)),
+        sums,
+        {n: F.when(thrown, c(n)) for n in ("total_line", "temp", "wind")},
+    ).filter(c("_thrown") > 0)
+    stats = stats.withColumns(zero(*on_throw, "sack", "ay_completions", "ay_incompletions")).withColumns(
+        {
+            "cpoe": c("cpoe") / 100,
+            "ay_completions": F.when(c("_caught") > 0, c("ay_completions")),
+            "ay_incompletions": F.when(c("_missed") > 0, c("ay_incompletions")),
+        }
+    ).drop("_thrown", "_caught", "_missed")
     # touchdowns belong to the passer id, under whatever name the play lists
     scored = thrown & (c("interception") == 0) & c("passer_player_id").isNotNull()
     tds = plays.filter(scored).groupBy("game_id", c("passer_player_id").alias("player_id"))
-    stats = stats.filter(c("_thrown") > 0).drop("_thrown")
     stats = stats.join(tds.agg(total("touchdown").alias("touchdown")), ["game_id", "player_id"], "left")
     dropbacks = c("att") + c("sack")
     return stats.withColumns(
@@ -123,21 +122,19 @@ def _fixed_names(name: Column) -> Column:
     return out
 
 
-def rushing(plays: DataFrame, order: Sequence[str] = PLAY_ORDER) -> DataFrame:
+def rushing(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
     """Rushing line per game, rusher and team, with the share of the team's carries."""
     runs = plays.filter((c("rush_attempt") == 1) & c("rusher_player_id").isNotNull() & c("posteam").isNotNull())
-    stats = runs.groupBy("game_id", c("rusher_player_id").alias("player_id"), c("posteam").alias("team")).agg(
-        total("rush_attempt").alias("rush_att"),
-        first_value("rusher_player_name", order).alias("player"),
-        total("yards_gained").alias("rush_yds"),
-        total("success").alias("success"),
-        total("touchdown").alias("rush_td"),
-        F.avg("total_line").alias("total_line"),
-        total("epa").alias("rush_epa"),
-        total("fumble_lost").alias("fumbles"),
-        first_value("home_team", order).alias("home_team"),
-        first_value("away_team", order).alias("away_team"),
+    sums = {"rush_att": "rush_attempt", "rush_yds": "yards_gained", "success": "success", "rush_td": "touchdown",
+            "rush_epa": "epa", "fumbles": "fumble_lost"}
+    stats = group_with_labels(
+        runs,
+        {"game_id": "game_id", "player_id": "rusher_player_id", "team": "posteam"},
+        {"player": "rusher_player_name", "home_team": "home_team", "away_team": "away_team"},
+        c(order),
+        {n: c(col) for n, col in sums.items()} | {"_lines": c("total_line"), "_n": flag(c("total_line").isNotNull())},
     )
+    stats = stats.withColumns(zero(*sums) | {"total_line": share(c("_lines"), c("_n"))}).drop("_lines", "_n")
     team = Window.partitionBy("game_id", "team")  # the players of one team in one game
     return stats.withColumn("team_rush_atts", F.sum("rush_att").over(team)).withColumns(
         {
@@ -148,18 +145,18 @@ def rushing(plays: DataFrame, order: Sequence[str] = PLAY_ORDER) -> DataFrame:
     )
 
 
-def receiving(plays: DataFrame, order: Sequence[str] = PLAY_ORDER) -> DataFrame:
+def receiving(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
     """Receiving line per game, receiver and team, with target and air-yard shares."""
     passes = plays.filter((c("qb_dropback") == 1) & c("receiver_player_id").isNotNull() & c("posteam").isNotNull())
-    stats = passes.groupBy("game_id", c("receiver_player_id").alias("player_id"), c("posteam").alias("team")).agg(
-        first_value("receiver_player_name", order).alias("player"),
-        F.count("pass_attempt").alias("targets"),
-        total("complete_pass").alias("rec"),
-        total("air_yards").alias("air_yards"),
-        total("yards_after_catch").alias("yac"),
-        total("yards_gained").alias("rec_yards"),
-        total("touchdown").alias("td"),
-    )
+    sums = {"rec": "complete_pass", "air_yards": "air_yards", "yac": "yards_after_catch", "rec_yards": "yards_gained",
+            "td": "touchdown"}
+    stats = group_with_labels(
+        passes,
+        {"game_id": "game_id", "player_id": "receiver_player_id", "team": "posteam"},
+        {"player": "receiver_player_name"},
+        c(order),
+        {"targets": flag(c("pass_attempt").isNotNull()).cast("long")} | {n: c(col) for n, col in sums.items()},
+    ).withColumns(zero(*sums))
     team = Window.partitionBy("game_id", "team")  # the players of one team in one game
     stats = stats.withColumn("_targets", F.sum("targets").over(team)).withColumn(
         "team_air_yards", F.sum("air_yards").over(team)
@@ -201,51 +198,47 @@ def team_yards(plays: DataFrame) -> DataFrame:
     )
 
 
-def defence_stats(plays: DataFrame, order: Sequence[str] = PLAY_ORDER) -> DataFrame:
+def defence_stats(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
     """Takeaways, sacks and scores of a defence, per game; aborted snaps are left out."""
     kept = ~F.coalesce(c("play_desc").contains("Aborted"), F.lit(False))
-    return (
-        plays.filter(kept & c("defteam").isNotNull())
-        .groupBy("game_id", c("defteam").alias("team"))
-        .agg(
-            total("interception").alias("def_int"),
-            first_value("season", order).alias("season"),
-            total("return_touchdown").alias("def_td"),
-            total("fumble_lost").alias("fumble_lost"),
-            total("sack").alias("def_sack"),
-            total("safety").alias("safety"),
-            total("blocked_player_name").alias("kick_blocked"),
-        )
-    )
-
-
-def kicker_stats(plays: DataFrame, order: Sequence[str] = PLAY_ORDER) -> DataFrame:
+    sums = {"def_int": "interception", "def_td": "return_touchdown", "fumble_lost": "fumble_lost", "def_sack": "sack",
+            "safety": "safety", "kick_blocked": "blocked_player_name"}
+    return group_with_labels(
+        plays.filter(kept & c("defteam").isNotNull()),
+        {"game_id": "game_id", "team": "defteam"},
+        {"season": "season"},
+        c(order),
+        {n: c(col) for n, col in sums.items()},
+    ).withColumns(zero(*sums))
+
+
+def kicker_stats(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
     """Made kicks per game and kicker."""
     good = c("play_desc").contains("GOOD") & c("play_type").isin("field_goal", "extra_point")
-    return (
-        plays.filter(good & c("kicker_player_id").isNotNull())
-        .groupBy("game_id", "kicker_player_id")
-        .agg(
-            first_value("kicker_player_name", order).alias("player"),
-            first_value("posteam", order).alias("team"),
-            total("field_goal_result").alias("fgs"),
-            total("extra_point_result").alias("pats"),
-            total("fg_0_39").alias("fg_0_39"),
-            total("fg_40_49").alias("fg_40_49"),
-            total("fg_50_on").alias("fg_50_on"),
-        )
-    )
+    sums = {"fgs": "field_goal_result", "pats": "extra_point_result", "fg_0_39": "fg_0_39", "fg_40_49": "fg_40_49",
+            "fg_50_on": "fg_50_on"}
+    return group_with_labels(
+        plays.filter(good & c("kicker_player_id").isNotNull()),
+        {"game_id": "game_id", "kicker_player_id": "kicker_player_id"},
+        {"player": "kicker_player_name", "team": "posteam"},
+        c(order),
+        {n: c(col) for n, col in sums.items()},
+    ).withColumns(zero(*sums))
 
 
 def adjusted_epa(
-    plays: DataFrame, order: Sequence[str] = ("season", "game_date", "game_id", *PLAY_ORDER), *,
+    plays: DataFrame, order: Sequence[str] = ("game_date", "game_id", *PLAY_ORDER), *, keep: Sequence[str] = (),
     floor: int | None = None, row_bound: int | None = None,
 ) -> DataFrame:
-    """Efficiency before each play: a team's expanding mean EPA minus the league's, by play type."""
+    """Efficiency before each play: a team's expanding mean EPA minus the league's, by play type.
+
+    A season and play type holds a large share of all plays, so at scale its running mean takes the
+    chunked route of ``add_features``. ``keep``: further columns of the result.
+    """
     needed = ["game_id", "season", "posteam", "defteam", "epa", "play_type"]
     require_columns(plays, needed)
     rows = plays.filter(c("play_type").isin("pass", "run")).select(
-        *needed, *[o for o in order if o not in needed]
+        *dict.fromkeys([*needed, *order, *keep])
     )
     for name, by in {"season_epa_play": [], "season_epa_def": ["defteam"], "season_epa_off": ["posteam"]}.items():
         rows = add_features(
@@ -274,17 +267,23 @@ def team_scores(plays: DataFrame) -> DataFrame:
 
 def game_results(plays: DataFrame, schedule: DataFrame) -> DataFrame:
     """Result, yards, scores, rest and coach per team and game, from processed plays and the schedule."""
-    labels = ["year", "week", "season_type", "home_team", "away_team", "home_score", "away_score",
-              "spread_line", "total_line"]
+    numbers = ["year", "week", "home_score", "away_score", "spread_line", "total_line"]
+    texts = ["season_type", "home_team", "away_team"]
     scoring = c("td_team") == c("posteam")
-    own = plays.filter(c("posteam").isNotNull()).groupBy("game_id", c("posteam").alias("team")).agg(
-        *[F.max(n).alias(n) for n in labels],
-        total_if_any(c("rush_attempt") == 1, "yards_gained").alias("rush_yards"),
-        total_if_any(c("pass_attempt") == 1, "yards_gained").alias("pass_yards"),
-        total_if_any(scoring, "touchdown").alias("off_td"),
-        total_if_any(scoring, "field_goal_result").alias("fgs"),
-        total_if_any(scoring, "two_point_conv_result").alias("two_pts_conv"),
+    yards = {"rush_yards": "rush_attempt", "pass_yards": "pass_attempt"}
+    scores = {"off_td": "touchdown", "fgs": "field_goal_result", "two_pts_conv": "two_point_conv_result"}
+    # grouped on the texts first, so that the pass over plays hashes; their maximum is taken of the few rows left
+    fine = plays.filter(c("posteam").isNotNull()).groupBy("game_id", c("posteam").alias("team"), *texts).agg(
+        *[F.max(n).alias(n) for n in numbers],
+        F.sum(flag(scoring)).alias("_scoring"),
+        *[F.sum(F.when(c(on) == 1, F.coalesce("yards_gained", F.lit(0)))).alias(n) for n, on in yards.items()],
+        *[F.sum(F.when(scoring, c(col))).alias(n) for n, col in scores.items()],
+    )
+    own = fine.groupBy("game_id", "team").agg(
+        *[F.max(n).alias(n) for n in [*numbers, *texts]],
+        *[F.sum(n).alias(n) for n in ["_scoring", *yards, *scores]],
     )
+    own = own.withColumns({n: F.when(c("_scoring") > 0, F.coalesce(n, F.lit(0))) for n in scores}).drop("_scoring")
     rest = schedule.select("game_id", "home_rest", "away_rest", "home_coach", "away_coach")
     rows = own.join(opponent_yards(plays), ["game_id", "team"], "left").join(rest, ["game_id"], "left")
     home = c("home") == 1
@@ -357,7 +356,7 @@ def game_stats(plays: DataFrame, min_season: int = 2016) -> DataFrame:
     )
 
 
-def qb_games(plays: DataFrame, order: Sequence[str] = PLAY_ORDER) -> DataFrame:
+def qb_games(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
     """Passing and rushing line of passers per game, nulls as 0."""
     runs = rushing(plays, order).select(
         "game_id", "player_id", "rush_att", "rush_yds", "fumbles", "rush_att_share", "rush_td", "rush_epa"

@@ -101,12 +101,9 @@ def calibration_curve(
 ) -> DataFrame:
     """Share of actual values at or below each predicted quantile."""
     probs = {f"p{i}": min(1.0, start + (stop - start) * i / (levels - 1)) for i in range(levels)}
-    rows = quantiles(draws, ["row_id"], "value", probs, floor=floor).join(
-        actuals.select("row_id", "actual"), ["row_id"]
-    )
-    hits = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(flag(c("actual") <= c(p))).alias(p) for p in probs])
-    pairs = [
-        F.struct(F.lit(i).alias("i"), F.lit(q).alias("level"), (c(p) / c("n")).alias("share"))
-        for i, (p, q) in enumerate(probs.items())
-    ]
-    return hits.select(F.inline(F.array(*pairs)))
+    rows = quantiles(draws, ["row_id"], "value", probs, floor=floor)
+    rows = rows.select("row_id", F.array(*probs).alias("q")).join(actuals.select("row_id", "actual"), ["row_id"])
+    hits = rows.select("actual", F.posexplode("q").alias("i", "q")).groupBy("i")
+    hits = hits.agg(F.avg(flag(c("actual") <= c("q"))).alias("share"))
+    level = F.element_at(F.array(*[F.lit(p) for p in probs.values()]), c("i") + 1)
+    return hits.select("i", level.alias("level"), "share")

@@ -93,7 +93,7 @@ def team_rolling(team_games: DataFrame, n: int = 6, **size) -> DataFrame:
 
 def qb_rolling(qb: DataFrame, n: int = 15, min_att: int = 15, **size) -> DataFrame:
     """Rolling passer features; games with few attempts leave after the windows have seen them."""
-    qb = score_passers(qb).withColumns(
+    qb = score_passers(settle(qb)).withColumns(
         {"pass_success_perc": share(c("success"), c("att")), "total_epa": c("epa") + c("rush_epa")}
     )
     spans = {
@@ -122,6 +122,7 @@ def qb_rolling(qb: DataFrame, n: int = 15, min_att: int = 15, **size) -> DataFra
 def receiver_rolling(df: DataFrame, n: int = 12, **size) -> DataFrame:
     spans = {"targets": 5, "rec": 10, "air_yards": n, "rec_yards": n, "target_share": 4, "td": n, "rec_dk_points": n}
     names = {"rec": "rolling_receptions"}
+    df = df if "sizes" in size or "row_bound" in size else settle(df)
     feats = {names.get(k, f"rolling_{k}"): Ewm(k, span=s) for k, s in spans.items()}
     feats["rolling_aDOT"] = RollingMean("aDOT", n, partial=True)
     out = add_features(df, ["player_id"], GAME_ORDER, feats, **size)
@@ -247,7 +248,7 @@ def kicker_rolling(kickers: DataFrame, span: int = 15, **size) -> DataFrame:
     cols = {"rolling_pat": "pats", "rolling_39": "fg_0_39", "rolling_49": "fg_40_49", "rolling_50": "fg_50_on",
             "rolling_dk_points": "kicker_dk_points", "rolling_fd_points": "kicker_fd_points"}
     feats = {k: Ewm(v, span=span) for k, v in cols.items()}
-    out = add_features(score_kickers(kickers), ["kicker_player_id", "team"], GAME_ORDER, feats, **size)
+    out = add_features(score_kickers(settle(kickers)), ["kicker_player_id", "team"], GAME_ORDER, feats, **size)
     return round_all(out, 2)
 
 

@@ -42,7 +42,7 @@ SELECT concat(CAST(season AS STRING), '_', lpad(CAST(week AS STRING), 2, '0'), '
        g AS game_no, season, week,
        CASE WHEN week >= 18 THEN 'POST' ELSE 'REG' END AS season_type,
        CAST(make_date(season, 9, 1) + CAST(week * 7 + home_no % 3 AS INT) * INTERVAL '1' DAY AS DATE) AS game_date,
-       l_orderkey * 8 + l_linenumber AS play_seq, l_partkey AS play_sub, l_suppkey * 1000000000 + cents AS play_tie,
+       l_orderkey * 8 + l_linenumber AS play_seq, l_suppkey * 1000000000 + cents AS play_tie,
        home_team, away_team, posteam, defteam,
        CASE WHEN rush_attempt = 1 THEN 'RUSH' WHEN sack = 1 THEN 'SACK' WHEN pass_attempt = 1 THEN 'PASS'
             WHEN pk = 0 THEN 'FIELD_GOAL' ELSE 'XP_KICK' END AS play_type_nfl,

@@ -16,11 +16,11 @@ def processed(t: Tables):
 
 
 @query("play_features", """
-SELECT game_id, play_seq, play_sub, play_tie, year, CAST(game_date AS VARCHAR) AS game_date, two_point_conv_result,
+SELECT game_id, play_seq, play_tie, year, CAST(game_date AS VARCHAR) AS game_date, two_point_conv_result,
        spread_line, field_goal_result, time_between, play_type, air_yards_to_sticks, season, blocked_player_name,
        fg_0_39, fg_40_49, fg_50_on, extra_point_result FROM processed""", "spread_line")
 def play_features(t: Tables):
-    names = ["game_id", *B.PLAY_ORDER, "year", "two_point_conv_result", "spread_line", "field_goal_result",
+    names = ["game_id", "play_seq", "play_tie", "year", "two_point_conv_result", "spread_line", "field_goal_result",
              "time_between", "play_type", "air_yards_to_sticks", "season", "blocked_player_name", "fg_0_39",
              "fg_40_49", "fg_50_on", "extra_point_result"]
     return processed(t).select(*names, c("game_date").cast("string").alias("game_date"))

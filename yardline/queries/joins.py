@@ -52,12 +52,12 @@ def validated_join(t: Tables):
 
 
 @query("broadcast_lookup", """
-SELECT p.game_id, play_seq, play_sub, play_tie, posteam, coalesce(home_coach, 'NA') AS coach
+SELECT p.game_id, play_seq, play_tie, posteam, coalesce(home_coach, 'NA') AS coach
 FROM plays AS p LEFT JOIN games AS g ON g.game_id = p.game_id AND g.home_team = p.posteam""")
 def broadcast_lookup(t: Tables):
     """Lookup on a composite key; Spark broadcasts the table when its measured size allows."""
     dim = t.games.select("game_id", c("home_team").alias("posteam"), "home_coach")
-    rows = t.plays.select("game_id", "play_seq", "play_sub", "play_tie", "posteam")
+    rows = t.plays.select("game_id", "play_seq", "play_tie", "posteam")
     return joins.lookup(rows, dim, ["game_id", "posteam"], "home_coach", "coach", "NA").drop("home_coach")
 
 

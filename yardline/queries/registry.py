@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,11 @@ class Tables:
 
     @cached_property
     def plays(self) -> DataFrame:
-        return self.spark.sql(adapters.PLAYS, lineitem=self.lineitem)
+        plays = self.spark.sql(adapters.PLAYS, lineitem=self.lineitem)
+        # (play_seq, play_tie) as one number: a decimal fits the fixed-width buffers of hash aggregation
+        scale = F.lit(Decimal(10) ** 19).cast("decimal(20,0)")
+        seq, tie = (F.col(n).cast("decimal(18,0)") for n in ("play_seq", "play_tie"))
+        return plays.withColumn("play_id", (seq * scale + tie).cast("decimal(38,0)"))
 
     @cached_property
     def games(self) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from yardline.functions.scalars import band_score
 from yardline.operators import columns, joins, sets
 from yardline.operators.windows import add_features, expanding_mean
-from yardline.plans.builders import PLAY_ORDER
 from yardline.queries.registry import Tables, query
 
 c = F.col
+PLAY = ["play_seq", "play_tie"]
 
 
 @query("project", """
@@ -32,12 +32,12 @@ def drop_columns(t: Tables):
 
 
 @query("filter_bool", """
-SELECT game_id, play_seq, play_sub, play_tie, yards_gained FROM plays
+SELECT game_id, play_seq, play_tie, yards_gained FROM plays
 WHERE pass_attempt = 1 AND play_type <> 'two_point_att' AND sack = 0 AND (yards_gained > 10 OR interception = 1)""")
 def filter_bool(t: Tables):
     kept = (c("pass_attempt") == 1) & ~(c("play_type") == "two_point_att") & (c("sack") == 0)
     kept = kept & ((c("yards_gained") > 10) | (c("interception") == 1))
-    return t.plays.filter(kept).select("game_id", *PLAY_ORDER, "yards_gained")
+    return t.plays.filter(kept).select("game_id", *PLAY, "yards_gained")
 
 
 @query("filter_isin", "SELECT event_id, user_id, event_type, value FROM events WHERE event_type IN ('click', 'purchase', 'view')", "value")
@@ -53,12 +53,12 @@ def filter_between(t: Tables):
 
 
 @query("filter_contains", """
-SELECT game_id, play_seq, play_sub, play_tie, CASE WHEN play_desc LIKE '%GOOD%' THEN 1 ELSE 0 END AS good FROM plays
+SELECT game_id, play_seq, play_tie, CASE WHEN play_desc LIKE '%GOOD%' THEN 1 ELSE 0 END AS good FROM plays
 WHERE play_desc IS NULL OR play_desc NOT LIKE '%Aborted%'""")
 def filter_contains(t: Tables):
     aborted = F.coalesce(c("play_desc").contains("Aborted"), F.lit(False))
     good = F.coalesce(c("play_desc").contains("GOOD"), F.lit(False)).cast("int")
-    return t.plays.filter(~aborted).select("game_id", *PLAY_ORDER, good.alias("good"))
+    return t.plays.filter(~aborted).select("game_id", *PLAY, good.alias("good"))
 
 
 @query("filter_expr", "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'")
@@ -67,13 +67,13 @@ def filter_expr(t: Tables):
 
 
 @query("case_when", """
-SELECT game_id, play_seq, play_sub, play_tie, CASE WHEN yards_gained >= 20 THEN 1 ELSE 0 END AS big_play,
+SELECT game_id, play_seq, play_tie, CASE WHEN yards_gained >= 20 THEN 1 ELSE 0 END AS big_play,
        CASE WHEN home_team = posteam THEN away_team ELSE home_team END AS opp_team,
        CASE WHEN yards_gained < 0 THEN 0 ELSE yards_gained END AS yards_floor FROM plays""")
 def case_when(t: Tables):
     return t.plays.select(
         "game_id",
-        *PLAY_ORDER,
+        *PLAY,
         F.when(c("yards_gained") >= 20, 1).otherwise(0).alias("big_play"),
         F.when(c("home_team") == c("posteam"), c("away_team")).otherwise(c("home_team")).alias("opp_team"),
         F.greatest(c("yards_gained"), F.lit(0)).alias("yards_floor"),
@@ -98,19 +98,19 @@ def bands(t: Tables):
 
 
 @query("drop_nulls", """
-SELECT game_id, play_seq, play_sub, play_tie, air_yards, receiver_player_id FROM plays
+SELECT game_id, play_seq, play_tie, air_yards, receiver_player_id FROM plays
 WHERE air_yards IS NOT NULL AND receiver_player_id IS NOT NULL""")
 def drop_nulls(t: Tables):
-    rows = t.plays.select("game_id", *PLAY_ORDER, "air_yards", "receiver_player_id")
+    rows = t.plays.select("game_id", *PLAY, "air_yards", "receiver_player_id")
     return rows.na.drop("any", subset=["air_yards", "receiver_player_id"])
 
 
 @query("fill_map", """
-SELECT game_id, play_seq, play_sub, play_tie, coalesce(air_yards, 0) AS air_yards,
+SELECT game_id, play_seq, play_tie, coalesce(air_yards, 0) AS air_yards,
        coalesce(receiver_player_id, 'none') AS receiver_player_id, coalesce(temp, 72) AS temp,
        coalesce(wind, 0) AS wind FROM plays""", "temp wind")
 def fill_map(t: Tables):
-    rows = t.plays.select("game_id", *PLAY_ORDER, "air_yards", "receiver_player_id", "temp", "wind")
+    rows = t.plays.select("game_id", *PLAY, "air_yards", "receiver_player_id", "temp", "wind")
     return columns.fill_nulls(rows, {"air_yards": 0, "receiver_player_id": "none", "temp": 72.0, "wind": 0.0})
 
 

@@ -156,12 +156,12 @@ def implied_points(t: Tables):
 
 
 @query("flags", """
-SELECT game_id, play_seq, play_sub, play_tie, CASE WHEN blocked_player_name IS NULL THEN 0 ELSE 1 END AS blocked,
+SELECT game_id, play_seq, play_tie, CASE WHEN blocked_player_name IS NULL THEN 0 ELSE 1 END AS blocked,
        CASE WHEN field_goal_result = 'made' THEN 1 ELSE 0 END AS made,
        CASE WHEN extra_point_result = 'good' THEN 1 ELSE 0 END AS good FROM plays""")
 def flags(t: Tables):
     return t.plays.select(
-        "game_id", "play_seq", "play_sub", "play_tie",
+        "game_id", "play_seq", "play_tie",
         S.flag(c("blocked_player_name").isNotNull()).alias("blocked"),
         S.flag(c("field_goal_result") == "made").alias("made"),
         S.flag(c("extra_point_result") == "good").alias("good"),

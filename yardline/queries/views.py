@@ -49,7 +49,7 @@ def span(n: float) -> float:
     return 2 / (n + 1)
 
 
-PLAY_ORDER = "play_seq, play_sub, play_tie"
+PLAY_ORDER = "play_seq, play_tie"
 GAME_ORDER = "season, week, game_id"
 
 VIEWS: dict[str, str] = dict(adapters.VIEWS)

@@ -35,14 +35,14 @@ def lag_one(t: Tables):
 
 
 @query("lead_diff", f"""
-SELECT game_id, play_seq, play_sub, play_tie, CAST(coalesce(game_seconds_remaining - lead(game_seconds_remaining)
+SELECT game_id, play_seq, play_tie, CAST(coalesce(game_seconds_remaining - lead(game_seconds_remaining)
   OVER (PARTITION BY game_id ORDER BY {PLAY_ORDER}), 0) AS INT) AS time_between FROM plays""")
 def lead_diff(t: Tables):
-    rows = t.plays.select("game_id", "play_seq", "play_sub", "play_tie", "game_seconds_remaining")
+    rows = t.plays.select("game_id", "play_id", "play_seq", "play_tie", "game_seconds_remaining")
     feats = {"next": W.Lead("game_seconds_remaining")}
-    rows = W.add_features(rows, ["game_id"], ["play_seq", "play_sub", "play_tie"], feats)
+    rows = W.add_features(rows, ["game_id"], ["play_id"], feats)
     gap = F.coalesce(c("game_seconds_remaining") - c("next"), F.lit(0))
-    return rows.select("game_id", "play_seq", "play_sub", "play_tie", gap.alias("time_between"))
+    return rows.select("game_id", "play_seq", "play_tie", gap.alias("time_between"))
 
 
 @query("rolling_mean_full", f"""
@@ -184,13 +184,14 @@ def _adjusted_sql() -> str:
     off = f"avg(epa) OVER (PARTITION BY season, posteam, play_type {order})"
     deff = f"avg(epa) OVER (PARTITION BY season, defteam, play_type {order})"
     return f"""
-SELECT game_id, play_seq, play_sub, play_tie, season_epa_play, {half_even('off - season_epa_play', 3)} AS team_adjusted_off_epa,
+SELECT game_id, play_seq, play_tie, season_epa_play, {half_even('off - season_epa_play', 3)} AS team_adjusted_off_epa,
        {half_even('def - season_epa_play', 3)} AS team_adjusted_def_epa FROM (
   SELECT *, {league} AS season_epa_play, {off} AS off, {deff} AS def FROM processed WHERE play_type IN ('pass', 'run'))"""
 
 
 @query("adjusted_epa", _adjusted_sql(), "season_epa_play team_adjusted_off_epa team_adjusted_def_epa")
 def adjusted_epa(t: Tables):
-    rows = adjusted(play_features(t.plays, row_bound=t.play_rows), row_bound=t.play_rows)
-    return rows.select("game_id", "play_seq", "play_sub", "play_tie", "season_epa_play",
+    plays = play_features(t.plays, row_bound=t.play_rows)
+    rows = adjusted(plays, keep=["play_seq", "play_tie"], row_bound=t.play_rows)
+    return rows.select("game_id", "play_seq", "play_tie", "season_epa_play",
                        "team_adjusted_off_epa", "team_adjusted_def_epa")
