@@ -108,3 +108,19 @@ def test_target_encode_test_rows(spark):
     got = {r.t: r.k_encoded for r in M.target_encode(df, "k", "y", ["t"], df["train"]).collect()}
     mean = 1.0
     assert got == {0: mean, 1: (0 + mean) / 2, 2: (1 + mean) / 3, 3: (3 + mean) / 4, 9: mean}
+
+
+def test_lowess(spark):
+    line = spark.createDataFrame([("a", i, 3.0 + 2 * i) for i in range(30)], "k string, t int, y double")
+    got = M.lowess(line, ["k"], ["t"], "y").toPandas()
+    np.testing.assert_allclose(got["smooth"], got["y"], atol=1e-9)
+    rng = np.random.default_rng(2)
+    noisy = [("a", i, float(np.sin(i / 15) + rng.normal(0, 0.2) + (50 if i == 40 else 0))) for i in range(120)]
+    got = M.lowess(spark.createDataFrame(noisy, "k string, t int, y double"), ["k"], ["t"], "y", share=0.2).toPandas()
+    assert np.abs(got.sort_values("t")["smooth"] - np.sin(np.arange(120) / 15)).max() < 0.3
+
+
+def test_lowess_refuses_long_series(spark):
+    df = spark.range(M.LOWESS_ROWS + 1).selectExpr("'a' AS k", "id AS t", "double(id) AS y")
+    with pytest.raises(ValueError, match="at most"):
+        M.lowess(df, ["k"], ["t"], "y")

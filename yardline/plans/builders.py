@@ -24,7 +24,9 @@ from yardline.operators.aggregates import (
 from yardline.operators.windows import Lead, add_features, expanding_mean
 from yardline.sources.schemas import require_columns
 
-PLAY_ORDER = ("play_id",)  # one number that orders the plays of a game
+PLAY_ORDER = ("play_seq", "play_tie")  # total order of the plays of a game
+PLAY_ID = ("play_id",)  # the same order as one number, for aggregates
+FIRST_PLAY = "play_seq"  # what a group's labels are taken by
 TWO_POINT = "two_point_att"
 
 
@@ -71,7 +73,7 @@ def zero(*names: str) -> dict[str, Column]:
     return {n: F.coalesce(c(n), F.lit(0)) for n in names}
 
 
-def qb_pass(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
+def qb_pass(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
     """Passing line per game, passer and team."""
     named = plays.filter(c("passer_player_name").isNotNull() & c("posteam").isNotNull())
     real = (c("pass_attempt") == 1) & (c("play_type") != TWO_POINT)
@@ -122,7 +124,7 @@ def _fixed_names(name: Column) -> Column:
     return out
 
 
-def rushing(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
+def rushing(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
     """Rushing line per game, rusher and team, with the share of the team's carries."""
     runs = plays.filter((c("rush_attempt") == 1) & c("rusher_player_id").isNotNull() & c("posteam").isNotNull())
     sums = {"rush_att": "rush_attempt", "rush_yds": "yards_gained", "success": "success", "rush_td": "touchdown",
@@ -145,7 +147,7 @@ def rushing(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
     )
 
 
-def receiving(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
+def receiving(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
     """Receiving line per game, receiver and team, with target and air-yard shares."""
     passes = plays.filter((c("qb_dropback") == 1) & c("receiver_player_id").isNotNull() & c("posteam").isNotNull())
     sums = {"rec": "complete_pass", "air_yards": "air_yards", "yac": "yards_after_catch", "rec_yards": "yards_gained",
@@ -198,7 +200,7 @@ def team_yards(plays: DataFrame) -> DataFrame:
     )
 
 
-def defence_stats(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
+def defence_stats(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
     """Takeaways, sacks and scores of a defence, per game; aborted snaps are left out."""
     kept = ~F.coalesce(c("play_desc").contains("Aborted"), F.lit(False))
     sums = {"def_int": "interception", "def_td": "return_touchdown", "fumble_lost": "fumble_lost", "def_sack": "sack",
@@ -212,7 +214,7 @@ def defence_stats(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
     ).withColumns(zero(*sums))
 
 
-def kicker_stats(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
+def kicker_stats(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
     """Made kicks per game and kicker."""
     good = c("play_desc").contains("GOOD") & c("play_type").isin("field_goal", "extra_point")
     sums = {"fgs": "field_goal_result", "pats": "extra_point_result", "fg_0_39": "fg_0_39", "fg_40_49": "fg_40_49",
@@ -312,7 +314,7 @@ def game_results(plays: DataFrame, schedule: DataFrame) -> DataFrame:
     )
 
 
-def drive_stats(plays: DataFrame, order: Sequence[str] = PLAY_ORDER) -> DataFrame:
+def drive_stats(plays: DataFrame, order: Sequence[str] = PLAY_ID) -> DataFrame:
     """Totals, possession time and outcome per drive, from processed plays."""
     sums = {"time_between": "poss_time", "rush_attempt": "rush_attempt", "pass_attempt": "pass_attempt",
             "yards_gained": "yards_gained", "interception": "int", "fumble": "fumble", "sack": "sack",
@@ -356,7 +358,7 @@ def game_stats(plays: DataFrame, min_season: int = 2016) -> DataFrame:
     )
 
 
-def qb_games(plays: DataFrame, order: str = PLAY_ORDER[0]) -> DataFrame:
+def qb_games(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
     """Passing and rushing line of passers per game, nulls as 0."""
     runs = rushing(plays, order).select(
         "game_id", "player_id", "rush_att", "rush_yds", "fumbles", "rush_att_share", "rush_td", "rush_epa"

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardline.operators.aggregates import quantiles, with_group
+from yardline.operators.skew import group_sizes
 from yardline.operators.windows import add_features, cumulative_sum, prior_totals
 from yardline.session import settle
 
@@ -392,3 +393,64 @@ def ks_distance(df: DataFrame, col: str, *, floor: int | None = None) -> DataFra
         aggs.append(F.max(gap).alias(f"{d}_distance"))
     return counted.agg(F.sum("_n").alias("n"), *aggs)
 
+
+# --- smoothing ---------------------------------------------------------------------------------------
+LOWESS_ROWS = 20_000
+
+
+def lowess(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, share: float = 0.7, passes: int = 3,
+    name: str = "smooth",
+) -> DataFrame:
+    """Robust local linear smooth of each series on its position, tricube weights over the nearest share
+    of its points.
+
+    Every point looks at ``share`` of its series, so the work grows with the square of a series; series
+    above ``LOWESS_ROWS`` rows are refused before anything runs (smooth those by season).
+    """
+    rows = df.filter(c(col).isNotNull())
+    sizes = group_sizes(rows, keys, LOWESS_ROWS)
+    if sizes.largest > LOWESS_ROWS:
+        raise ValueError(f"a series has {sizes.largest} rows; the smoother takes at most {LOWESS_ROWS}")
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    kept = list(dict.fromkeys([*keys, *order, col]))
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in kept) + f", `{name}` double"
+
+    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(list(order))
+        return pdf.assign(**{name: _lowess(pdf[col].to_numpy(dtype=float), share, passes)})
+
+    return rows.select(*kept).groupBy(*keys).applyInPandas(smooth, schema)
+
+
+def _lowess(y: np.ndarray, share: float, passes: int) -> np.ndarray:
+    n = len(y)
+    near = max(2, min(n, int(share * n + 1e-10)))
+    if n < 3:
+        return y.copy()
+    x, robust, out = np.arange(n, dtype=float), np.ones(n), np.zeros(n)
+    for _ in range(passes + 1):
+        for i in range(n):
+            left = min(max(0, i - near // 2), n - near)
+            while left + near < n and x[i] - x[left] > x[left + near] - x[i]:
+                left += 1
+            while left > 0 and x[i] - x[left - 1] < x[left + near - 1] - x[i]:
+                left -= 1
+            part = slice(left, left + near)
+            gap = np.abs(x[part] - x[i])
+            reach = gap.max()
+            w = robust[part] * np.where(gap <= 0.999 * reach, (1 - (gap / reach) ** 3) ** 3, 0.0)
+            if w.sum() <= 0:
+                out[i] = y[i]
+                continue
+            w = w / w.sum()
+            centre = w @ x[part]
+            spread = w @ (x[part] - centre) ** 2
+            slope = (w @ ((x[part] - centre) * y[part])) / spread if spread > 1e-12 else 0.0
+            out[i] = w @ y[part] + slope * (x[i] - centre)
+        resid = np.abs(y - out)
+        scale = 6 * np.median(resid)
+        if scale <= 1e-12:
+            break
+        robust = np.where(resid < scale, (1 - np.minimum(resid / scale, 1) ** 2) ** 2, 0.0)
+    return out

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from yardline.operators import aggregates as A
 from yardline.plans import evaluate, schedule
-from yardline.plans.builders import PLAY_ORDER
+from yardline.plans.builders import PLAY_ID
 from yardline.queries.registry import Tables, query
 from yardline.queries.views import PLAY_ORDER as SQL_ORDER
 from yardline.queries.views import dsum, isum
@@ -33,8 +33,8 @@ def agg_multi(t: Tables):
         F.max("total_line").alias("total_line"),
         F.avg("epa").alias("mean_epa"),
         F.count("receiver_player_id").alias("targets"),
-        A.first_known("play_type", PLAY_ORDER).alias("first_type"),
-        A.last_known("play_type", PLAY_ORDER).alias("last_type"),
+        A.first_known("play_type", PLAY_ID).alias("first_type"),
+        A.last_known("play_type", PLAY_ID).alias("last_type"),
     )
 
 
@@ -44,7 +44,7 @@ SELECT game_id, posteam, receiver_player_id AS first_receiver FROM (
 def agg_first(t: Tables):
     """Value of the first row, null included."""
     return t.plays.groupBy("game_id", "posteam").agg(
-        A.first_value("receiver_player_id", PLAY_ORDER).alias("first_receiver")
+        A.first_value("receiver_player_id", PLAY_ID).alias("first_receiver")
     )
 
 
@@ -53,8 +53,8 @@ SELECT game_id, posteam, arg_min(receiver_player_id, ({SQL_ORDER})) AS first_rec
        arg_max(receiver_player_id, ({SQL_ORDER})) AS last_receiver FROM plays GROUP BY game_id, posteam""")
 def agg_first_last(t: Tables):
     return t.plays.groupBy("game_id", "posteam").agg(
-        A.first_known("receiver_player_id", PLAY_ORDER).alias("first_receiver"),
-        A.last_known("receiver_player_id", PLAY_ORDER).alias("last_receiver"),
+        A.first_known("receiver_player_id", PLAY_ID).alias("first_receiver"),
+        A.last_known("receiver_player_id", PLAY_ID).alias("last_receiver"),
     )
 
 

@@ -127,3 +127,10 @@ def boosted_trees(t: Tables):
 @query("ks_distance")
 def ks_distance(t: Tables):
     return M.ks_distance(t.events, "value")
+
+
+@query("lowess")
+def lowess(t: Tables):
+    """Smoothed passing yards of every starter over their games."""
+    rows = model_rows(t).select("player_id", *GAME_ORDER, Y)
+    return M.lowess(settle(rows), ["player_id"], GAME_ORDER, Y)

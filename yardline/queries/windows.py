@@ -38,9 +38,9 @@ def lag_one(t: Tables):
 SELECT game_id, play_seq, play_tie, CAST(coalesce(game_seconds_remaining - lead(game_seconds_remaining)
   OVER (PARTITION BY game_id ORDER BY {PLAY_ORDER}), 0) AS INT) AS time_between FROM plays""")
 def lead_diff(t: Tables):
-    rows = t.plays.select("game_id", "play_id", "play_seq", "play_tie", "game_seconds_remaining")
+    rows = t.plays.select("game_id", "play_seq", "play_tie", "game_seconds_remaining")
     feats = {"next": W.Lead("game_seconds_remaining")}
-    rows = W.add_features(rows, ["game_id"], ["play_id"], feats)
+    rows = W.add_features(rows, ["game_id"], ["play_seq", "play_tie"], feats)
     gap = F.coalesce(c("game_seconds_remaining") - c("next"), F.lit(0))
     return rows.select("game_id", "play_seq", "play_tie", gap.alias("time_between"))
 

