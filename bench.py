@@ -14,10 +14,9 @@ from yardline.queries import QUERIES
 from yardline.session import local_session
 
 HEADLINE = (
-    "game_stats play_features qb_pass rushing receiving def_stats kicker_stats drive_stats game_results "
-    "rolling_mean_full rolling_mean_partial ewm_mean expanding_mean global_expanding_mean rolling_slope adjusted_epa "
-    "quantiles qcut_decile simulation_summary calibration_curve conformal_interval home_away_unpivot travel_distance "
-    "odds_table qb_rolling rb_workload wr_depth_targets shrunk_ewm srs_rating walk_forward"
+    "game_stats qb_pass rushing receiving def_stats drive_stats game_results rolling_mean_full ewm_mean expanding_mean "
+    "global_expanding_mean rolling_slope adjusted_epa quantiles qcut_decile simulation_summary calibration_curve "
+    "conformal_interval home_away_unpivot odds_table qb_rolling shrunk_ewm srs_rating"
 ).split()
 
 
