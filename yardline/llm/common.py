@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from yardline.session import scratch_folder
 
@@ -45,7 +47,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE) -> Iterator[p
 
 
 def per_batch(
-    df: DataFrame, column: str, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, column: str, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType
 ) -> DataFrame:
     """Apply a function to parts of Arrow batches that hold a bounded amount of text."""
 
@@ -59,6 +61,26 @@ def per_batch(
     return df.mapInArrow(run, schema)
 
 
+def append_columns(
+    df: DataFrame, column: str, step: Callable[[pa.RecordBatch], list[pa.Array]], results: dict[str, str], drop: Sequence[str] = ()
+) -> DataFrame:
+    """``per_batch`` that keeps the columns of the table (without ``drop``) and adds results after them.
+
+    A column with the name of a result gives way to it.
+    """
+    gone = {n.lower() for n in (*results, *drop)}
+    kept = [f for f in df.schema.fields if f.name.lower() not in gone]
+    names = [f.name for f in kept]
+    added = T.StructType.fromDDL(", ".join(f"`{n}` {kind}" for n, kind in results.items()))
+    types = to_arrow_schema(added).types
+
+    def extend(batch: pa.RecordBatch) -> pa.RecordBatch:
+        new = [c.cast(t) for c, t in zip(step(batch), types, strict=True)]
+        return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *new], [*names, *results])
+
+    return per_batch(df, column, extend, T.StructType(kept + added.fields))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the table doesn't have (names are compared without case)."""
     taken = {c.lower() for c in df.columns}

@@ -14,10 +14,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yardline.llm.common import per_batch
+from yardline.llm.common import append_columns, free_name, per_batch
 from yardline.llm.rolling import BYTE_VALUES, stretches, text_buffer, word_hashes, word_spans
 
 GROUP_TOKENS = 1 << 20  # tokens of one key that a task takes at once; more are filed again, see ``refiled``
@@ -25,17 +25,19 @@ BATCH_TOKENS = 1 << 20  # tokens of several keys that a task takes at once
 NO_ID = -(2**63)
 OCCURRENCE = "r1 long, r2 long, start int, windows int, key long, content long, twice boolean"
 CUT = "key long, content long, windows int, first long, text binary"
-RANGES = "key long, content long, ranges array<struct<from:int,to:int,first:long>>"
+RANGES = "key long, content long, ranges array<struct<lo:int,hi:int,first:long>>"
 
 
-def with_row_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Columns r1 and r2, never null, that are equal for rows with equal id and text only."""
+def row_key(id_col: str, text_col: str) -> tuple[Column, Column]:
+    """Two numbers, never null, that are equal for rows with equal id and text only."""
     ident = F.col(f"`{id_col}`").cast("long")
-    return docs.select(
-        "*",
-        F.coalesce(ident, F.lit(NO_ID)).alias("r1"),
-        F.xxhash64(F.col(f"`{text_col}`"), ident.isNull()).alias("r2"),
-    )
+    return F.coalesce(ident, F.lit(NO_ID)), F.xxhash64(F.col(f"`{text_col}`"), ident.isNull())
+
+
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Columns r1, r2 and text."""
+    r1, r2 = row_key(id_col, text_col)
+    return docs.select(r1.alias("r1"), r2.alias("r2"), F.col(f"`{text_col}`").alias("text"))
 
 
 def tokens(raw: np.ndarray, at: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +169,7 @@ def resolved(cuts: DataFrame, resolve: Resolve, none: int, words: bool) -> DataF
                 pa.array((end - before[who]).astype(np.int32)),
                 pa.array(answers[start].astype(np.int64)),
             ],
-            names=["from", "to", "first"],
+            names=["lo", "hi", "first"],
         )
         picked = table.select(["key", "content"]).take(pa.array(some)).combine_chunks()
         columns = [picked.column(n).combine_chunks() for n in ("key", "content")]
@@ -210,7 +212,7 @@ def refiled(cuts: DataFrame, window: int, words: bool) -> DataFrame:
     """
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        raw, at = text_buffer(batch.column("text").cast(pa.large_binary()).view(pa.large_string()))
+        raw, at = text_buffer(batch.column("text"))
         values, at = tokens(raw, at, words)
         found = list(stretches(values, at, window, window))
         if not found:
@@ -229,5 +231,62 @@ def refiled(cuts: DataFrame, window: int, words: bool) -> DataFrame:
     shared = each.groupBy("key", "file").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("least"))
     shared = shared.filter(F.col("n") > 1)
     met = each.join(shared, ["key", "file"])
-    place = F.struct(F.col("place").alias("from"), (F.col("place") + 1).alias("to"), F.col("least").alias("first"))
+    place = F.struct(F.col("place").alias("lo"), (F.col("place") + 1).alias("hi"), F.col("least").alias("first"))
     return met.groupBy("key", "content").agg(F.collect_list(place).alias("ranges"))
+
+
+def by_row(repeated: DataFrame, marks: DataFrame) -> DataFrame:
+    """Ranges of windows per row, from ranges per class."""
+    placed = repeated.select("r1", "r2", "start", "key", "content").join(marks, ["key", "content"])
+    moved = F.expr("transform(ranges, x -> struct(start + x.lo as lo, start + x.hi as hi, x.first as first))")
+    return placed.select("r1", "r2", moved.alias("ranges")).groupBy("r1", "r2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+
+
+def with_ranges(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    ranges: DataFrame,
+    step: Callable[[pa.RecordBatch, str, str], list[pa.Array]],
+    results: dict[str, str],
+) -> DataFrame:
+    """Join each row with its ranges and add the columns that ``step`` makes of text and ranges."""
+    names = [free_name(docs, n) for n in ("r1", "r2", "ranges", "whole_text")]
+    r1, r2, held, whole = names
+    left = docs.select("*", F.col(f"`{text_col}`").alias(whole), *[c.alias(n) for c, n in zip(row_key(id_col, text_col), (r1, r2), strict=True)])
+    right = ranges.select(*[F.col(n).alias(f"{n}_of_ranges") for n in ("r1", "r2")], F.col("ranges").alias(held))
+    on = (F.col(r1) == F.col("r1_of_ranges")) & (F.col(r2) == F.col("r2_of_ranges"))
+    joined = left.join(right, on, "left").drop(r1, r2, "r1_of_ranges", "r2_of_ranges")
+    return append_columns(joined, whole, lambda batch: step(batch, whole, held), results, drop=(whole, held))
+
+
+def covered(ranges: pa.ListArray, window: int) -> list[np.ndarray]:
+    """Per row the maximal intervals (n, 2) of tokens that ranges of windows cover."""
+    lengths = pc.fill_null(pc.list_value_length(ranges), 0).to_numpy(zero_copy_only=False)
+    items = ranges.flatten()
+    lo, hi = (items.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("lo", "hi"))
+    out, first = [], 0
+    for n in lengths.tolist():
+        a, b = lo[first : first + n], hi[first : first + n] + window - 1
+        first += n
+        order = np.argsort(a)
+        a, b = a[order], np.maximum.accumulate(b[order])
+        head = np.flatnonzero(np.concatenate((np.ones(min(n, 1), bool), a[1:] > b[:-1])))
+        last = np.append(head[1:], n)[: len(head)] - 1
+        out.append(np.stack((a[head], b[last]), 1))
+    return out
+
+
+def rest(gone: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """What maximal intervals leave of [0, size)."""
+    edges = [0, *gone.ravel().tolist(), size]
+    return [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if a < b]
+
+
+def span_columns(removed: list[np.ndarray]) -> list[pa.Array]:
+    """Number of spans, and the spans as an array of lo and hi."""
+    count = np.array([len(x) for x in removed], np.int64)
+    both = np.concatenate(removed) if removed else np.zeros((0, 2), np.int64)
+    items = pa.StructArray.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["lo", "hi"])
+    offsets = pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32))
+    return [pa.array(count), pa.ListArray.from_arrays(offsets, items)]

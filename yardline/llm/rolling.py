@@ -79,13 +79,12 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column without copying; null is empty."""
+    """Bytes and offsets of a string or binary column; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if not pa.types.is_large_string(column.type):
-        column = column.cast(pa.large_string())
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
+    column = column.cast(pa.large_binary())
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
