@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yardline.llm.quality_rules import judge
 from yardline.llm.suffix_array import remove_repeated_bytes
 from yardline.llm.suffix_trees import remove_repeated_words
+from yardline.llm.url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +46,88 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Words of documents that 50-word windows of earlier documents cover."""
     out = remove_repeated_words(table(spark, folder, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", digest("kept").alias("kept_sha256"))
+
+
+PATH = r"regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1)"
+
+OP4 = rf"""
+WITH cut AS (SELECT page_id, {PATH} AS rest FROM pages),
+split AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+fit AS (SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM split)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM fit
+"""
+
+
+@query("op4_url_filters", OP4)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    return filter_urls(table(spark, folder, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP9 = r"""
+WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS g
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
+twice AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS after
+          FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT doc_id, sum(least(5, coalesce(after - i, 5))) AS n FROM twice GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n, count(DISTINCT line) AS kinds
+          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+counts AS (SELECT doc_id, lang, source, len(words) AS n_words,
+                  length(array_to_string(words, '')) AS word_chars,
+                  len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(l.n, 0) AS n_lines,
+                  coalesce(l.n - l.kinds, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+           FROM w LEFT JOIN lines l USING (doc_id) LEFT JOIN repeats r USING (doc_id)),
+measured AS (SELECT *, CASE WHEN word_chars > 0 THEN n_symbols / word_chars END AS symbol_share,
+                    CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines END AS dup_line_share,
+                    CASE WHEN n_words > 0 THEN word_chars / n_words END AS mean_word_length FROM counts),
+pairs AS (SELECT lang, source, 'symbol_share' AS measure, symbol_share AS v FROM measured
+          UNION ALL SELECT lang, source, 'dup_line_share', dup_line_share FROM measured
+          UNION ALL SELECT lang, source, 'mean_word_length', mean_word_length FROM measured),
+bins AS (SELECT *, CASE WHEN v > 0 THEN CAST(ceil(ln(v) / 0.01980262729617973) AS INT) END AS bin FROM pairs
+         WHERE v IS NOT NULL),
+sketch AS (SELECT 0 AS level, lang, source, measure, bin, count(*) AS n FROM bins GROUP BY lang, source, measure, bin
+           UNION ALL SELECT 1, lang, NULL, measure, bin, count(*) FROM bins GROUP BY lang, measure, bin
+           UNION ALL SELECT 2, NULL, NULL, measure, bin, count(*) FROM bins GROUP BY measure, bin),
+placed AS (SELECT *, CASE WHEN bin IS NULL THEN 0.0 ELSE exp(bin * 0.01980262729617973) * (2.0 / 2.02) END AS value,
+                  sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bin NULLS FIRST) AS upto,
+                  sum(n) OVER (PARTITION BY level, lang, source, measure) AS total FROM sketch),
+q AS (SELECT level, lang, source, measure, max(total) AS docs, min(value) FILTER (upto >= total * 0.25) AS a,
+             min(value) FILTER (upto >= total * 0.75) AS b FROM placed GROUP BY level, lang, source, measure),
+picked AS (SELECT f.lang, f.source, f.measure,
+                  CASE WHEN f.docs >= 100 THEN f.a WHEN l.docs >= 100 THEN l.a ELSE t.a END AS a,
+                  CASE WHEN f.docs >= 100 THEN f.b WHEN l.docs >= 100 THEN l.b ELSE t.b END AS b
+           FROM q f JOIN q l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM f.lang AND l.measure = f.measure
+           JOIN q t ON t.level = 2 AND t.measure = f.measure WHERE f.level = 0),
+fences AS (SELECT lang, source, max(b + 3 * greatest(b - a, 0.01)) FILTER (measure = 'symbol_share') AS symbols,
+                  max(b + 3 * greatest(b - a, 0.15)) FILTER (measure = 'dup_line_share') AS dups,
+                  max(b + 3 * greatest(b - a, 1.5)) FILTER (measure = 'mean_word_length') AS longest,
+                  max(a - 3 * greatest(b - a, 1.5)) FILTER (measure = 'mean_word_length') AS shortest
+           FROM picked GROUP BY lang, source),
+judged AS (SELECT m.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+                  coalesce(symbol_share > symbols, false) OR coalesce(dup_line_share > dups, false)
+                  OR coalesce(mean_word_length > longest, false) OR coalesce(mean_word_length < shortest, false) AS beyond
+           FROM measured m LEFT JOIN fences f
+           ON f.lang IS NOT DISTINCT FROM m.lang AND f.source IS NOT DISTINCT FROM m.source)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT beyond AS kept
+FROM judged
+"""
+
+
+@query("op9_quality_rules", OP9)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    return judge(docs, drop_text=True).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
