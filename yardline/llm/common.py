@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +34,14 @@ def settle(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with up to ``limit`` bytes in a string column (one row at least)."""
+    """Parts of a batch with up to ``limit`` bytes in a column of strings or lists (one row at least)."""
     first, size = 0, 0
-    lengths = batch.column(column)
-    lengths = [0 if n is None else n for n in pa.compute.binary_length(lengths).to_pylist()]
+    values = batch.column(column)
+    if pa.types.is_list(values.type):
+        lengths = pc.multiply(pc.list_value_length(values), 8)
+    else:
+        lengths = pc.binary_length(values)
+    lengths = pc.fill_null(lengths, 0).to_pylist()
     for i, n in enumerate(lengths):
         if i > first and size + n > limit:
             yield batch.slice(first, i - first)
@@ -111,7 +116,8 @@ def lookup(
         on = on & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
     if rows <= SMALL_ROWS:
         return big.join(F.broadcast(right), on, how).drop(*[f"_right_{k}" for k in keys])
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(SALTS)))
+    plain = [F.col(f"`{f.name}`") for f in big.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)]
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)))
     right = right.withColumn("_right_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     joined = salted.join(right, on & (F.col("_salt") == F.col("_right_salt")), how)
     return joined.drop("_salt", "_right_salt", *[f"_right_{k}" for k in keys])

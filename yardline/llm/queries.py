@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yardline.llm.bpe import decode, encode
 from yardline.llm.quality_rules import judge
 from yardline.llm.suffix_array import remove_repeated_bytes
 from yardline.llm.suffix_trees import remove_repeated_words
@@ -30,6 +32,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the package of public tokenizers keeps a vocabulary."""
+    return public_tokenizers.path(name)
+
+
 def digest(name: str) -> Column:
     return F.sha2(F.col(name).cast("binary"), 256)
 
@@ -131,3 +138,18 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return judge(docs, drop_text=True).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op5_bpe")
+def op5(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
+    """Every document to tokens and back; ``vocabulary`` is the file's path on every executor."""
+    path = vocabulary or tokenizer_path("word_bpe_49k.json")
+    rows = encode(table(spark, folder, "documents").select("doc_id", "text"), path).select("doc_id", "token_ids")
+    rows = decode(rows, path)
+    ids = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
+    return rows.select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        digest("decoded").alias("decoded_sha256"),
+    )
