@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from yardline.llm.bpe import decode, encode
 from yardline.llm.quality_rules import judge
+from yardline.llm.simhash import near_duplicates
 from yardline.llm.suffix_array import remove_repeated_bytes
 from yardline.llm.suffix_trees import remove_repeated_words
 from yardline.llm.url_filter import filter_urls
@@ -153,3 +154,9 @@ def op5(spark: SparkSession, folder: str, vocabulary: str | None = None) -> Data
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
         digest("decoded").alias("decoded_sha256"),
     )
+
+
+@query("op6_simhash_near_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
