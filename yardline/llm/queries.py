@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yardline.llm.bpe import decode, encode
+from yardline.llm.decontaminate import find_leaks
 from yardline.llm.quality_rules import judge
 from yardline.llm.simhash import near_duplicates
 from yardline.llm.suffix_array import remove_repeated_bytes
@@ -160,3 +161,12 @@ def op5(spark: SparkSession, folder: str, vocabulary: str | None = None) -> Data
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op3_benchmark_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Near copies of benchmark items in documents: the best window of each document and item."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, folder, "benchmark")).select("doc_id", F.explode("leaks").alias("leak"))
+    names = {"item": "item_id", "start": "start_word", "words": "n_words", "similarity": "similarity", "distance": "distance"}
+    return found.select("doc_id", *[F.col(f"leak.{a}").alias(b) for a, b in names.items()])
