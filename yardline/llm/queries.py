@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from yardline.llm.bpe import decode, encode
 from yardline.llm.decontaminate import find_leaks
+from yardline.llm.language import fit, held_out, identify
 from yardline.llm.quality_rules import judge
 from yardline.llm.simhash import near_duplicates
 from yardline.llm.suffix_array import remove_repeated_bytes
@@ -170,3 +171,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = find_leaks(docs, table(spark, folder, "benchmark")).select("doc_id", F.explode("leaks").alias("leak"))
     names = {"item": "item_id", "start": "start_word", "words": "n_words", "similarity": "similarity", "distance": "distance"}
     return found.select("doc_id", *[F.col(f"leak.{a}").alias(b) for a, b in names.items()])
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those that aren't held out."""
+    docs = table(spark, folder, "documents")
+    labelled = docs.filter(~held_out()).select(F.col("doc_id").alias("id"), "text", "lang")
+    out = identify(docs.select("doc_id", held_out().alias("held_out"), "text"), fit(labelled))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
