@@ -15,6 +15,7 @@ from yardline.llm.quality_rules import judge
 from yardline.llm.simhash import near_duplicates
 from yardline.llm.suffix_array import remove_repeated_bytes
 from yardline.llm.suffix_trees import remove_repeated_words
+from yardline.llm.token_counts import section_tokens
 from yardline.llm.url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +181,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     labelled = docs.filter(~held_out()).select(F.col("doc_id").alias("id"), "text", "lang")
     out = identify(docs.select("doc_id", held_out().alias("held_out"), "text"), fit(labelled))
     return out.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query("op8_token_counts")
+def op8(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
+    """Tokens of every line of every document."""
+    path = vocabulary or tokenizer_path("byte_bpe_50k.json")
+    out = section_tokens(table(spark, folder, "documents").select("doc_id", "text"), path)
+    return out.select("doc_id", F.inline("sections"))
