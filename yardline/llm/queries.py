@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yardline.llm import quality_classifier
 from yardline.llm.bpe import decode, encode
 from yardline.llm.decontaminate import find_leaks
 from yardline.llm.language import fit, held_out, identify
@@ -189,3 +190,13 @@ def op8(spark: SparkSession, folder: str, vocabulary: str | None = None) -> Data
     path = vocabulary or tokenizer_path("byte_bpe_50k.json")
     out = section_tokens(table(spark, folder, "documents").select("doc_id", "text"), path)
     return out.select("doc_id", F.inline("sections"))
+
+
+@query("op10_quality_classifier")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labels."""
+    docs = table(spark, folder, "documents")
+    pages = docs.select(F.col("doc_id").alias("id"), "text", "source", "lang", F.col("n_chars").alias("size"))
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    out = quality_classifier.score(docs, quality_classifier.fit(pages, labels))
+    return out.select("doc_id", "quality", "text_quality", "metadata_quality", "good")
