@@ -78,7 +78,7 @@ def counts(bits: Column) -> Column:
 
 def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Pairs (a < b) of distinct fingerprints (column fp) that differ in at most ``distance`` bits."""
-    blocks = max(1, (distance + 1) // 2)  # some block then differs by one step at most
+    blocks = distance // 2 + 1  # some block then differs by one step at most
     edges = [2 * (SEGMENTS * i // blocks) for i in range(blocks + 1)]
     masks = [(1 << b) - (1 << a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
     masks = [m - (1 << 64) if m >> 63 else m for m in masks]
