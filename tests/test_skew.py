@@ -9,6 +9,7 @@ from yardline.operators.aggregates import average_rank, overall_quantiles, quant
 from yardline.operators.skew import group_sizes, with_position
 from yardline.operators.sets import chrono_split, ordinal_codes, pair_rows, time_folds
 from yardline.operators.columns import fill_median, fill_ramp
+from yardline.operators.windows import Lag, add_features, cumulative_sum, expanding_mean
 from yardline.plans.evaluate import calibration_curve, conformal_adjustment, quantile_bins, simulation_summary
 from yardline.plans.models import ks_distance, robust_scale
 
@@ -110,3 +111,38 @@ def test_overall_quantiles(frame):
         q = overall_quantiles(df, {"a": ("x", 0.5), "b": ("t", 0.25)}, floor=floor)
         row = df.limit(1).select(q["a"].alias("a"), q["b"].alias("b")).first()
         assert (row.a, row.b) == (pytest.approx(pdf["x"].median()), pytest.approx(pdf["t"].quantile(0.25)))
+
+
+def test_sizes_measured_before_a_filter(spark):
+    """The only large group is gone when the features are computed."""
+    df = spark.createDataFrame([("hot" if i < 300 else f"k{i % 50}", i, float(i)) for i in range(500)], "k string, t int, x double")
+    sizes = group_sizes(df, ["k"], 100)
+    assert not sizes.fits
+    cold = df.filter("k <> 'hot'")
+    feats = {"prev": Lag("x"), "mean": expanding_mean("x")}
+    got = add_features(cold, ["k"], ["t"], feats, sizes=sizes).toPandas().sort_values("t").reset_index(drop=True)
+    want = add_features(cold, ["k"], ["t"], feats).toPandas().sort_values("t").reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, want)
+
+
+@pytest.mark.parametrize("floor", [None, 50])
+def test_a_feature_may_replace_a_column_that_others_read(frame, floor):
+    pdf, df = frame
+    feats = {"x": Lag("x"), "sum": cumulative_sum("x")}
+    got = add_features(df, ["k"], ["t"], feats, floor=floor)
+    assert got.columns == ["id", "k", "t", "x", "sum"]
+    got = got.toPandas().set_index("id").sort_index()
+    by = pdf.sort_values("t").groupby("k")["x"]
+    pd.testing.assert_series_equal(got["x"], by.shift().sort_index(), check_names=False)
+    pd.testing.assert_series_equal(got["sum"], by.cumsum().sort_index(), check_names=False)
+
+
+def test_limit_does_not_grow(spark):
+    assert group_sizes(spark.range(5000).selectExpr("id % 2 as k"), ["k"], 100).limit == 100
+
+
+def test_ramp_leaves_later_nulls(spark):
+    df = spark.createDataFrame([(i, None) for i in range(19)] + [(50, 1.0)], "t int, x double")
+    for floor in (None, 5):
+        got = [r.x for r in fill_ramp(df, "x", ["t"], 250.0, 215.0, 18, floor=floor).orderBy("t").collect()]
+        assert got[0] == 250.0 and got[17] == pytest.approx(215.0) and got[18] is None and got[19] == 1.0

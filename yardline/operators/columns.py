@@ -47,7 +47,7 @@ def fill_median(df: DataFrame, cols: Sequence[str], *, floor: int | None = None)
 def fill_ramp(
     df: DataFrame, col: str, order: Sequence[str], start: float, stop: float, steps: int, *, floor: int | None = None
 ) -> DataFrame:
-    """Fill the k-th null, in order, with the k-th of ``steps`` evenly spaced values."""
+    """Fill the k-th null, in order, with the k-th of ``steps`` evenly spaced values; later nulls stay null."""
     nulls = with_position(df.filter(F.col(col).isNull()), [], order, "_k", floor=floor)
     step = (stop - start) / (steps - 1)
     ramp = F.when(F.col("_k") <= steps, F.lit(start) + F.lit(step) * (F.col("_k") - 1).cast("double"))
@@ -56,10 +56,12 @@ def fill_ramp(
 
 
 def round_all(df: DataFrame, places: int) -> DataFrame:
+    """Half-even rounding of all float columns. Float noise goes first, so exact ties round alike whatever order
+    sums were taken in."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
-            half_even(F.col(c), places).alias(c) if isinstance(t, T.DoubleType | T.FloatType) else F.col(c)
+            half_even(F.round(F.col(c).cast("double"), 9), places).alias(c) if isinstance(t, T.DoubleType | T.FloatType) else F.col(c)
             for c, t in kinds.items()
         ]
     )

@@ -39,14 +39,20 @@ def chrono_split(
     return df.withColumn("part", F.when(F.col("_pos") <= last, "train").otherwise("test")).drop("_pos")
 
 
+def hash_number(cols: Sequence[str], seed: int) -> Column:
+    """A number below 2**32 from the ids as text: the same for a row in any engine that has MD5."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def hash_fold(cols: Sequence[str], folds: int, seed: int) -> Column:
     """Fold number from a hash of an id: the same row always gets the same fold."""
-    return F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(folds)).cast("int")
+    return (hash_number(cols, seed) % folds).cast("int")
 
 
 def random_split(df: DataFrame, ids: Sequence[str], train_share: float = 0.8, seed: int = 0) -> DataFrame:
     """Add ``part``: a reproducible random split by id."""
-    bucket = F.pmod(F.xxhash64(*ids, F.lit(seed)), F.lit(1000))
+    bucket = hash_number(ids, seed) % 1000
     return df.withColumn("part", F.when(bucket < round(train_share * 1000), "train").otherwise("test"))
 
 

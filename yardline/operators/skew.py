@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from yardline.session import settle
 
-# Rows one task may always take; above it, a group may be as large as the mean shuffle partition.
+# Rows of one group that a task may take, whatever the size of the table.
 GROUP_FLOOR = 1_000_000
+# Rows of a lookup table that may be broadcast; a larger one is joined as Spark sees fit.
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -35,21 +37,19 @@ class GroupSizes:
 def group_sizes(
     df: DataFrame, keys: Sequence[str], floor: int | None = None, exact_from: float | None = None
 ) -> GroupSizes:
-    """Measure groups. The total is counted first, which is free on a Parquet scan; groups are only
-    counted when the total exceeds the limit (or ``exact_from``)."""
+    """Measure groups. The total is counted first, which is free on a Parquet scan (settle other plans before);
+    groups are only counted when the total exceeds the limit (or ``exact_from``)."""
     floor = GROUP_FLOOR if floor is None else floor
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     threshold = floor if exact_from is None else min(floor, exact_from)
     if keys and threshold < floor:
         row = _counted(df, keys).agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first()
         total, largest = row["total"] or 0, row["largest"] or 0
-        return GroupSizes(total, largest, max(floor, total // parts))
+        return GroupSizes(total, largest, floor)
     total = df.count()
-    limit = max(floor, total // parts)
-    if total <= limit or not keys:
-        return GroupSizes(total, total, limit)
+    if total <= floor or not keys:
+        return GroupSizes(total, total, floor)
     largest = _counted(df, keys).agg(F.max("_n")).first()[0] or 0
-    return GroupSizes(total, largest, limit)
+    return GroupSizes(total, largest, floor)
 
 
 def _counted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,11 +94,13 @@ def with_position(
         return df.withColumn(name, F.row_number().over(spec).cast("long"))
     if not keys:
         return _spread_positions(df, keys, order, name, descending, sizes.total, sizes.limit)
-    # fewer than total/limit groups can be above the limit, so this list is bounded by the shuffle width
-    large = _counted(df, keys).filter(F.col("_n") > sizes.limit)
-    large = df.sparkSession.createDataFrame(large.collect(), large.schema)
-    rows = large.agg(F.sum("_n")).first()[0]
-    large = F.broadcast(large.drop("_n"))
+    large = settle(_counted(df, keys).filter(F.col("_n") > sizes.limit))
+    groups, rows = large.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if not groups:  # ``sizes`` may have been measured before a filter
+        return df.withColumn(name, F.row_number().over(spec).cast("long"))
+    large = large.drop("_n")
+    if groups <= BROADCAST_ROWS:
+        large = F.broadcast(large)
     hot = df.join(large, same_keys(df, large, keys), "left_semi")
     cold = df.join(large, same_keys(df, large, keys), "left_anti")
     cold = cold.withColumn(name, F.row_number().over(spec).cast("long"))
@@ -123,8 +125,10 @@ def _spread_positions(
     spans = spans.select(
         *keys, "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    # one row per block and large group: at most parts + shuffle width rows
-    placed = join_on(pinned, F.broadcast(spans), [*keys, "_block"])
+    # one row per block and group in it: at most a row per block more than there are large groups
+    if 2 * parts <= BROADCAST_ROWS:
+        spans = F.broadcast(spans)
+    placed = join_on(pinned, spans, [*keys, "_block"])
     return placed.withColumn(name, F.col("_before") + F.col("_row") - F.col("_first") + 1).drop(
         "_row", "_block", "_first", "_before"
     )

@@ -265,10 +265,12 @@ def _in_one_window(df, keys, order, features, descending) -> DataFrame:
 
 def _in_chunks(df, keys, order, features, descending, sizes: GroupSizes) -> DataFrame:
     cols = [c for c in df.columns if c not in features]
+    clash = {n: f"_new_{n}" for n in features if n in df.columns}
+    if clash:  # a feature replaces a column, which others may still read
+        renamed = {clash.get(n, n): f for n, f in features.items()}
+        out = _in_chunks(df, keys, order, renamed, descending, sizes).drop(*clash)
+        return out.withColumnsRenamed({new: n for n, new in clash.items()}).select(*cols, *features)
     placed = with_position(df, keys, order, POS, descending=descending, sizes=sizes)
-    clash = [n for n in features if n in df.columns]
-    if clash:
-        raise ValueError(f"feature names already in use: {clash}")
     by_chunk: dict[int, dict[str, Near]] = {}
     for name, f in features.items():
         if not isinstance(f, Running):

@@ -176,6 +176,8 @@ def rb_workload(rush: DataFrame, receivers: DataFrame, **size) -> DataFrame:
     backfield = Window.partitionBy("game_id", "team")  # the backs of one team in one game
     rb = rb.withColumn("total_team_rb_touches", F.sum("player_touches").over(backfield))
     rb = settle(average_rank(rb, ["game_id", "team"], "player_touches", "workload_rank", grain="player"))
+    if "sizes" in size:  # the filter left fewer rows
+        size["sizes"] = group_sizes(rb, ["player_id"], size.get("floor"), 1)
     player = {
         "rolling_snap_pct": Ewm("offense_pct", span=4),
         "rolling_player_touches": Ewm("player_touches", span=5),

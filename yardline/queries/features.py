@@ -11,7 +11,7 @@ from yardline.plans import schedule
 from yardline.queries.builders import processed
 from yardline.queries.registry import Tables, query
 from yardline.queries.scalars import probability_sql
-from yardline.queries.views import GAME_ORDER, ewm, half_even, span
+from yardline.queries.views import GAME_ORDER, ewm, span, tidy
 from yardline.queries.windows import WEEKS_SQL
 
 c = F.col
@@ -252,8 +252,8 @@ WITH d AS (SELECT * FROM {ewm(_DEF_EPA, 'team', GAME_ORDER, {'rolling_pass_def_e
 q AS (SELECT f.*, g.spread_line, d.rolling_pass_def_epa, count(*) OVER (PARTITION BY starting_qb) AS n
       FROM (SELECT *, CASE WHEN home_team = team THEN away_team ELSE home_team END AS opp FROM qb_frame WHERE season >= 2016) AS f
       JOIN games AS g USING (game_id) LEFT JOIN d ON d.game_id = f.game_id AND d.team = f.opp)
-SELECT game_id, player_id, starting_qb, {half_even('dk_points', 3)} AS dk_points, {half_even('-spread_line', 3)} AS spread_line,
-       {', '.join(f'{half_even(n, 3)} AS {n}' for n in MODEL_OUT[2:])} FROM q WHERE n >= 6 AND dk_points > 0""",
+SELECT game_id, player_id, starting_qb, {tidy('dk_points', 3)} AS dk_points, {tidy('-spread_line', 3)} AS spread_line,
+       {', '.join(f'{tidy(n, 3)} AS {n}' for n in MODEL_OUT[2:])} FROM q WHERE n >= 6 AND dk_points > 0""",
        " ".join(MODEL_OUT))
 def model_table(t: Tables):
     """Passer model table: rolling features with the opposing defence's recent EPA allowed."""

@@ -137,7 +137,7 @@ e AS (
   SELECT season, week, avg(points) OVER (PARTITION BY week ORDER BY season
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS week_avg FROM w),
 k AS (SELECT e.*, row_number() OVER (PARTITION BY week_avg IS NULL ORDER BY season, week) AS k FROM e)
-SELECT season, week, coalesce(week_avg, 250.0::DOUBLE - 35.0::DOUBLE * (k - 1) / 17) AS week_avg FROM k""", "week_avg")
+SELECT season, week, coalesce(week_avg, CASE WHEN k <= 18 THEN 250.0::DOUBLE - 35.0::DOUBLE * (k - 1) / 17 END) AS week_avg FROM k""", "week_avg")
 def fill_ramp(t: Tables):
     weeks = t.games.groupBy("season", "week").agg(F.avg(c("home_score") + c("away_score")).alias("points"))
     weeks = add_features(weeks, ["week"], ["season"], {"week_avg": expanding_mean("points")}, row_bound=t.play_rows)
@@ -181,12 +181,16 @@ def time_series_folds(t: Tables):
     return sets.time_folds(t.events.select("event_id", "ts"), ["ts", "event_id"], 15).select("event_id", "fold")
 
 
-@query("kfold")
+_HASH = "CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || '|{seed}'), 1, 8) AS BIGINT)"
+
+
+@query("kfold", f"SELECT event_id, CAST({_HASH.format(seed=4416)} % 8 AS INT) AS fold FROM events")
 def kfold(t: Tables):
     return t.events.select("event_id", sets.hash_fold(["event_id"], 8, 4416).alias("fold"))
 
 
-@query("random_split")
+@query("random_split", f"""
+SELECT event_id, CASE WHEN {_HASH.format(seed=0)} % 1000 < 800 THEN 'train' ELSE 'test' END AS part FROM events""")
 def random_split(t: Tables):
     return sets.random_split(t.events.select("event_id"), ["event_id"], 0.8)
 

@@ -363,7 +363,7 @@ _KICK = """(SELECT k.*, CAST(split_part(game_id, '_', 1) AS INT) AS season, CAST
 _KICK_COLS = {"rolling_pat": "pats", "rolling_39": "fg_0_39", "rolling_49": "fg_40_49", "rolling_50": "fg_50_on",
               "rolling_dk_points": "kicker_dk_points", "rolling_fd_points": "kicker_fd_points"}
 VIEWS["kick_frame"] = f"""
-SELECT x.* REPLACE ({", ".join(f"{half_even(k, 2)} AS {k}" for k in _KICK_COLS)})
+SELECT x.* REPLACE ({", ".join(f"{tidy(k, 2)} AS {k}" for k in _KICK_COLS)})
 FROM {ewm(_KICK, "kicker_player_id, team", GAME_ORDER, {k: (v, span(15)) for k, v in _KICK_COLS.items()})} AS x
 """
 
