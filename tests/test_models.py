@@ -1,9 +1,12 @@
 """Regression jobs against closed forms in NumPy."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
 
+from yardline.functions.scalars import normal_cdf
 from yardline.operators.sets import time_folds
 from yardline.plans import models as M
 from yardline.plans import ratings as R
@@ -84,9 +87,18 @@ def test_random_intercept(data):
     v = fixed["sigma_sq"] * np.eye(len(pdf)) + fixed["tau_sq"] * z @ z.T
     beta = np.linalg.solve(x.T @ np.linalg.solve(v, x), x.T @ np.linalg.solve(v, pdf["y"]))
     u = fixed["tau_sq"] * z.T @ np.linalg.solve(v, pdf["y"] - x @ beta)
-    np.testing.assert_allclose([fixed["intercept"], fixed["a"], fixed["b"]], beta, rtol=1e-3)
+    np.testing.assert_allclose([fixed["intercept"], fixed["a"], fixed["b"]], beta, rtol=1e-6)
     got = effects.toPandas().set_index("g")["intercept"].sort_index()
-    np.testing.assert_allclose(got, u, atol=2e-3)
+    np.testing.assert_allclose(got, u, atol=1e-5)
+    # no other ratio of variances is more likely
+    def loss(ratio):
+        h = np.eye(len(pdf)) + ratio * z @ z.T
+        b = np.linalg.solve(x.T @ np.linalg.solve(h, x), x.T @ np.linalg.solve(h, pdf["y"]))
+        r = pdf["y"] - x @ b
+        return len(pdf) * np.log(r @ np.linalg.solve(h, r)) + np.linalg.slogdet(h)[1]
+
+    best = fixed["tau_sq"] / fixed["sigma_sq"]
+    assert loss(best) <= min(loss(best * 1.01), loss(best / 1.01))
 
 
 def test_partial_pool_moves_toward_the_grand_mean(data):
@@ -96,10 +108,17 @@ def test_partial_pool_moves_toward_the_grand_mean(data):
     assert ((rows["pooled_mean"] - grand).abs() <= (rows["mean"] - grand).abs() + 1e-12).all()
 
 
-def test_gamma_cdf():
-    x = np.array([0.1, 1.0, 2.5, 10.0])
-    np.testing.assert_allclose(M._gamma_cdf(1.0, x), 1 - np.exp(-x), rtol=1e-12)
-    np.testing.assert_allclose(M._gamma_cdf(2.0, x), 1 - np.exp(-x) * (1 + x), rtol=1e-12)
+def test_distribution_functions(spark):
+    df = spark.createDataFrame([(x,) for x in (0.1, 1.0, 2.5, 10.0)], "x double")
+    got = df.select("x", M.gamma_cdf(1.0, df["x"]).alias("one"), M.gamma_cdf(6.0, df["x"]).alias("six"),
+                    normal_cdf(df["x"]).alias("up"), normal_cdf(-df["x"]).alias("down")).toPandas()
+    x = got["x"].to_numpy()
+    np.testing.assert_allclose(got["one"], 1 - np.exp(-x), atol=8e-3)
+    tail = np.exp(-x) * sum(x**k / math.factorial(k) for k in range(6))
+    np.testing.assert_allclose(got["six"], 1 - tail, atol=1e-3)
+    up = [0.5 * math.erfc(-v / math.sqrt(2)) for v in x]
+    np.testing.assert_allclose(got["up"], up, atol=2e-7)
+    np.testing.assert_allclose(got["down"], 1 - np.array(up), atol=2e-7)
 
 
 def test_target_encode_test_rows(spark):
@@ -110,17 +129,26 @@ def test_target_encode_test_rows(spark):
     assert got == {0: mean, 1: (0 + mean) / 2, 2: (1 + mean) / 3, 3: (3 + mean) / 4, 9: mean}
 
 
-def test_lowess(spark):
+@pytest.mark.parametrize("floor", [None, 40])
+def test_local_smooth(spark, floor):
     line = spark.createDataFrame([("a", i, 3.0 + 2 * i) for i in range(30)], "k string, t int, y double")
-    got = M.lowess(line, ["k"], ["t"], "y").toPandas()
+    got = M.local_smooth(line, ["k"], ["t"], "y", floor=floor).toPandas()
     np.testing.assert_allclose(got["smooth"], got["y"], atol=1e-9)
     rng = np.random.default_rng(2)
-    noisy = [("a", i, float(np.sin(i / 15) + rng.normal(0, 0.2) + (50 if i == 40 else 0))) for i in range(120)]
-    got = M.lowess(spark.createDataFrame(noisy, "k string, t int, y double"), ["k"], ["t"], "y", share=0.2).toPandas()
-    assert np.abs(got.sort_values("t")["smooth"] - np.sin(np.arange(120) / 15)).max() < 0.3
+    noisy = [("a", i, float(np.sin(i / 15) + rng.normal(0, 0.2))) for i in range(120)] + [("b", 0, 5.0)]
+    got = M.local_smooth(spark.createDataFrame(noisy, "k string, t int, y double"), ["k"], ["t"], "y", floor=floor).toPandas()
+    a = got[got["k"] == "a"].sort_values("t")["smooth"]
+    assert np.abs(a - np.sin(np.arange(120) / 15)).max() < 0.35
+    assert got[got["k"] == "b"]["smooth"].tolist() == [5.0]
 
 
-def test_lowess_refuses_long_series(spark):
-    df = spark.range(M.LOWESS_ROWS + 1).selectExpr("'a' AS k", "id AS t", "double(id) AS y")
-    with pytest.raises(ValueError, match="at most"):
-        M.lowess(df, ["k"], ["t"], "y")
+def test_legacy_cutoff(data):
+    pdf, df = data
+    got = M.walk_forward(df, ["a", "b"], "y", alphas=[10.0], first_week=20, legacy_cutoff=True).toPandas().set_index("id")["preds"]
+    weeks = sorted(set(zip(pdf["season"], pdf["week"])))
+    for i in (20, 33, len(weeks) - 2):
+        s, w = weeks[i]
+        past = pdf[(pdf["season"] <= s) & (pdf["week"] <= w)]
+        b0, coef = _ols(past, 10.0, scale=True)
+        nxt = pdf[(pdf["season"] == weeks[i + 1][0]) & (pdf["week"] == weeks[i + 1][1])]
+        np.testing.assert_allclose(got[nxt["id"]], b0 + nxt[["a", "b"]].to_numpy() @ coef, rtol=1e-8)

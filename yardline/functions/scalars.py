@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from itertools import chain
 
@@ -157,3 +158,19 @@ def fantasy_points(rule: str) -> Column:
     terms = [F.col(c) * F.lit(float(w)) for c, w in weights.items()]
     terms += [flag(F.col(c) >= at) * F.lit(float(p)) for c, at, p in bonuses]
     return reduce(lambda a, b: a + b, terms)
+
+
+# Coefficients of a published approximation of the error function (error below 1.5e-7).
+ERF = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+ERF_SCALE = 0.3275911
+
+
+def normal_cdf(z: Column) -> Column:
+    """Distribution function of the standard normal."""
+    x = F.abs(z) / math.sqrt(2)
+    t = 1 / (1 + ERF_SCALE * x)
+    poly = F.lit(0.0)
+    for a in reversed(ERF):
+        poly = (poly + a) * t
+    half = poly * F.exp(-x * x) / 2
+    return F.when(z < 0, half).otherwise(1 - half)

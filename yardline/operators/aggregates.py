@@ -127,9 +127,10 @@ def mean_ci(df: DataFrame, keys: Sequence[str], col: str, z: float = 1.96) -> Da
 
 
 def quantiles(
-    df: DataFrame, keys: Sequence[str], col: str, probs: Mapping[str, float], *, floor: int | None = None
+    df: DataFrame, keys: Sequence[str], col: str, probs: Mapping[str, float], *, floor: int | None = None,
+    mean: str | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per entry of ``probs``.
+    """Exact quantiles with linear interpolation, one column per entry of ``probs``; ``mean`` names one for the mean.
 
     ``percentile`` keeps the distinct values of a group in one task. Groups too large for that are counted
     by value first (combined before the shuffle), numbered by a running count, and the two order
@@ -139,8 +140,9 @@ def quantiles(
     sizes = group_sizes(x, keys, floor)
     if sizes.fits:
         arr = F.array(*[F.lit(float(p)) for p in probs.values()])
-        out = x.groupBy(*keys).agg(F.percentile(col, arr).alias("_q"))
-        return out.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
+        out = x.groupBy(*keys).agg(F.percentile(col, arr).alias("_q"), F.avg(col).alias("_mean"))
+        means = [] if mean is None else [F.col("_mean").alias(mean)]
+        return out.select(*keys, *means, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
     counted = x.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
     counted = add_features(counted, keys, [col], {"_upto": cumulative_sum("_n")}, floor=floor)
     placed = with_group(counted, keys, {"_total": F.sum("_n")})
@@ -150,8 +152,9 @@ def quantiles(
         for end, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
             here = (F.col("_upto") - F.col("_n") <= at) & (at < F.col("_upto"))
             aggs.append(F.max(F.when(here, F.col(col).cast("double"))).alias(f"_{name}_{end}"))
-    picked = placed.groupBy(*keys).agg(F.max("_total").alias("_total"), *aggs)
-    out = []
+    average = F.sum(F.col(col) * F.col("_n")) / F.sum("_n")
+    picked = placed.groupBy(*keys).agg(F.max("_total").alias("_total"), average.alias("_mean"), *aggs)
+    out = [] if mean is None else [F.col("_mean").alias(mean)]
     for name, p in probs.items():
         rank = (F.col("_total") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardline.functions.scalars import half_even
-from yardline.operators.aggregates import quantiles
+from yardline.operators.aggregates import overall_quantiles
 from yardline.operators.skew import with_position
 
 
@@ -38,10 +38,8 @@ def fill_nulls(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 def fill_median(df: DataFrame, cols: Sequence[str], *, floor: int | None = None) -> DataFrame:
     """Fill nulls with the column's overall median."""
-    for c in cols:
-        med = quantiles(df, [], c, {"_median": 0.5}, floor=floor)
-        df = df.withColumn(c, F.coalesce(F.col(c), med.scalar()))
-    return df
+    medians = overall_quantiles(df, {f"_{n}": (n, 0.5) for n in cols}, floor=floor)
+    return df.withColumns({n: F.coalesce(F.col(n), medians[f"_{n}"]) for n in cols})
 
 
 def fill_ramp(

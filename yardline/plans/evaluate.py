@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yardline.functions.scalars import flag, interval_residual
+from yardline.functions.scalars import flag, interval_residual, normal_cdf
 from yardline.operators.aggregates import quantiles
 from yardline.operators.windows import add_features, cumulative_sum
 
@@ -33,10 +33,13 @@ def error_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str]
 
 
 def t_statistic(df: DataFrame, col: str, mu: float = 0.0) -> DataFrame:
-    """One-sample t statistic and degrees of freedom."""
+    """One-sample t statistic, degrees of freedom and two-sided p-value (by the normal variate that corresponds to t,
+    right to three places from a few degrees of freedom on)."""
     out = df.agg(F.count(col).alias("n"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("_s"))
     t = F.try_divide(c("mean") - F.lit(mu), c("_s") / F.sqrt(c("n").cast("double")))
-    return out.select("n", "mean", t.alias("t"), (c("n") - 1).alias("df"))
+    out = out.select("n", "mean", t.alias("t"), (c("n") - 1).alias("df"))
+    z = (8 * c("df") + 1) / (8 * c("df") + 3) * F.sqrt(c("df") * F.log1p(c("t") * c("t") / c("df")))
+    return out.withColumn("p", 2 * normal_cdf(-z))
 
 
 def coverage_by_bin(df: DataFrame, actual: str, low: str, high: str, by: str, bins: int = 10, **size) -> DataFrame:
@@ -81,10 +84,8 @@ def simulation_summary(
     draws: DataFrame, actuals: DataFrame, probs: Mapping[str, float] = SUMMARY, *, floor: int | None = None
 ) -> DataFrame:
     """Mean and quantiles of each row's draws, and how the actual value compares."""
-    mean = draws.groupBy("row_id").agg(F.avg("value").alias("mean"))
-    rows = mean.join(quantiles(draws, ["row_id"], "value", probs, floor=floor), ["row_id"]).join(
-        actuals.select("row_id", "actual"), ["row_id"]
-    )
+    rows = quantiles(draws, ["row_id"], "value", probs, floor=floor, mean="mean")
+    rows = rows.join(actuals.select("row_id", "actual"), ["row_id"])
     flags = {f"over_{n}": flag(c("actual") > c(n)) for n in probs if n != "q10"}
     return rows.withColumns(flags | {"under_q10": flag(c("actual") < c("q10"))})
 
@@ -103,7 +104,6 @@ def calibration_curve(
     probs = {f"p{i}": min(1.0, start + (stop - start) * i / (levels - 1)) for i in range(levels)}
     rows = quantiles(draws, ["row_id"], "value", probs, floor=floor)
     rows = rows.select("row_id", F.array(*probs).alias("q")).join(actuals.select("row_id", "actual"), ["row_id"])
-    hits = rows.select("actual", F.posexplode("q").alias("i", "q")).groupBy("i")
-    hits = hits.agg(F.avg(flag(c("actual") <= c("q"))).alias("share"))
-    level = F.element_at(F.array(*[F.lit(p) for p in probs.values()]), c("i") + 1)
-    return hits.select("i", level.alias("level"), "share")
+    shares = [F.avg(flag(c("actual") <= c("q")[i])) for i in range(levels)]
+    points = [F.struct(F.lit(i).alias("i"), F.lit(p).alias("level"), s.alias("share")) for i, (p, s) in enumerate(zip(probs.values(), shares, strict=True))]
+    return rows.agg(F.array(*points).alias("_p")).select(F.inline("_p"))

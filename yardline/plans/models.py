@@ -8,18 +8,19 @@ fold or per week, and everything after it is a solve the size of the feature lis
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+import warnings
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from yardline.operators.aggregates import quantiles, with_group
-from yardline.operators.skew import group_sizes
+from yardline.functions.scalars import normal_cdf
+from yardline.operators.aggregates import overall_quantiles, with_group
 from yardline.operators.windows import add_features, cumulative_sum, prior_totals
 from yardline.session import settle
 
@@ -63,11 +64,10 @@ def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def robust_scale(df: DataFrame, cols: Sequence[str], *, floor: int | None = None) -> DataFrame:
     """(x - median) / interquartile range, from exact quantiles."""
-    for n in cols:
-        q = quantiles(df, [], n, {"lo": 0.25, "mid": 0.5, "hi": 0.75}, floor=floor)
-        df = df.withColumn("_q", q.select(F.struct("lo", "mid", "hi").alias("s")).scalar())
-        df = df.withColumn(f"{n}_scaled", F.try_divide(c(n) - c("_q.mid"), c("_q.hi") - c("_q.lo"))).drop("_q")
-    return df
+    wanted = {f"_{n}_{end}": (n, p) for n in cols for end, p in (("lo", 0.25), ("mid", 0.5), ("hi", 0.75))}
+    q = overall_quantiles(df, wanted, floor=floor)
+    scaled = {f"{n}_scaled": F.try_divide(c(n) - q[f"_{n}_mid"], q[f"_{n}_hi"] - q[f"_{n}_lo"]) for n in cols}
+    return df.withColumns(scaled)
 
 
 # --- Gram matrices -----------------------------------------------------------------------------------
@@ -130,21 +130,21 @@ def read_gram(row, size: int) -> Gram:
     return Gram(m)
 
 
-def grams(df: DataFrame, xs: Sequence[str], y: str, by: Sequence[str], most: int = 100_000) -> dict[tuple, Gram]:
-    """Gram matrices by group, on the driver. Groups are folds or calendar weeks; more than ``most`` of
-    them is refused."""
-    rows = gram_table(df, xs, y, by).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} groups")
-    return {tuple(r[b] for b in by): read_gram(r, len(xs) + 2) for r in rows}
+def solved(table: DataFrame, by: Sequence[str], xs: Sequence[str], solve: Callable[[Gram], list[float]]) -> DataFrame:
+    """Coefficients (array ``_coefs``) of each row of a Gram table: one small solve per row, in the tasks."""
+    size = len(xs) + 2
+    kinds = {f.name: f.dataType.simpleString() for f in table.schema.fields}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            coefs = [[float(v) for v in solve(read_gram(row, size))] for row in pdf.to_dict("records")]
+            yield pdf[list(by)].assign(_coefs=coefs)
 
+    return table.mapInPandas(run, ", ".join(f"`{n}` {kinds[n]}" for n in by) + ", _coefs array<double>")
 
-def total(parts) -> Gram:
-    parts = list(parts)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out
+
+def _sums(table: DataFrame) -> list[str]:
+    return [n for n in table.columns if n.startswith("m_")]
 
 
 def linear_prediction(xs: Sequence[str], coefs: Column) -> Column:
@@ -155,24 +155,20 @@ def linear_prediction(xs: Sequence[str], coefs: Column) -> Column:
     return out
 
 
-def _with_coefficients(df: DataFrame, by: Sequence[str], coefs: dict[tuple, list[float]]) -> DataFrame:
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join(f"{b} {kinds[b]}" for b in by) + ", _coefs array<double>"
-    table = df.sparkSession.createDataFrame([(*k, v) for k, v in coefs.items()], schema)
-    return df.join(F.broadcast(table), list(by), "left")  # one row per fold or calendar week
-
-
 def out_of_fold(df: DataFrame, xs: Sequence[str], y: str, fold: str, alpha: float = 0.0, name: str = "oof") -> DataFrame:
     """Predict each fold from a model fitted on the other folds; one pass for all fits."""
     df = settle(df)
-    parts = grams(df, xs, y, [fold])
-    whole = total(parts.values())
-    coefs = {}
-    for k, g in parts.items():
-        b0, w, _ = (whole - g).ridge(alpha)
-        coefs[k] = [b0, *map(float, w)]
-    rows = _with_coefficients(df, [fold], coefs)
-    return rows.withColumn(name, linear_prediction(xs, c("_coefs"))).drop("_coefs")
+    parts = settle(gram_table(df, xs, y, [fold]))
+    names = _sums(parts)
+    others = with_group(parts, [], {f"_all_{n}": F.sum(n) for n in names})
+    others = others.select(fold, *[(c(f"_all_{n}") - c(n)).alias(n) for n in names])
+
+    def solve(g: Gram) -> list[float]:
+        b0, w, _ = g.ridge(alpha)
+        return [b0, *w]
+
+    rows = df.join(solved(others, [fold], xs, solve), [fold], "left")
+    return rows.withColumn(name, linear_prediction(xs, c("_coefs"))).drop("_coefs").select(*df.columns, name)
 
 
 def time_series_scores(
@@ -180,14 +176,15 @@ def time_series_scores(
 ) -> DataFrame:
     """Mean absolute error per alpha and test block; block k is predicted from all lower blocks."""
     df = settle(df)
-    parts = grams(df, xs, y, [fold])
-    past, coefs = None, {}
-    for (k,) in sorted(parts):
-        if k > 0 and past is not None:
-            fits = [past.ridge(a, scale) for a in alphas]
-            coefs[(k,)] = [v for b0, w, _ in fits for v in (b0, *map(float, w))]
-        past = parts[(k,)] if past is None else past + parts[(k,)]
-    rows = _with_coefficients(df.filter(c(fold) > 0), [fold], coefs).na.drop("any", subset=[*xs, y])
+    parts = settle(gram_table(df, xs, y, [fold]))
+    earlier = Window.orderBy(fold).rowsBetween(Window.unboundedPreceding, -1)  # a row per block
+    past = parts.select(fold, *[F.sum(n).over(earlier).alias(n) for n in _sums(parts)])
+
+    def solve(g: Gram) -> list[float]:
+        return [v for a in alphas for b0, w, _ in [g.ridge(a, scale)] for v in (b0, *w)]
+
+    coefs = solved(past.filter((c(fold) > 0) & c("m_0_0").isNotNull()), [fold], xs, solve)
+    rows = df.filter(c(fold) > 0).join(coefs, [fold], "left").na.drop("any", subset=[*xs, y])
     p = len(xs) + 1
     maes = []
     for i, a in enumerate(alphas):
@@ -196,6 +193,22 @@ def time_series_scores(
     return rows.groupBy(fold).agg(F.array(*maes).alias("_m")).select(fold, F.inline("_m"))
 
 
+def _known_by(parts: DataFrame, legacy_cutoff: bool) -> DataFrame:
+    """Running sums of a Gram table over its weeks: everything up to a week, or, as the legacy cutoff has it, every
+    earlier or equal season with an earlier or equal week number. One row per week of the calendar."""
+    names = _sums(parts)
+    if not legacy_cutoff:
+        upto = Window.orderBy("season", "week").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return parts.select("season", "week", *[F.sum(n).over(upto).alias(n) for n in names])
+    calendar = parts.agg(F.collect_set("season").alias("s"), F.collect_set("week").alias("w"))
+    grid = calendar.select(F.explode("s").alias("season"), "w").select("season", F.explode("w").alias("week"))
+    grid = grid.join(parts, ["season", "week"], "left").na.fill(0.0, subset=names)
+    for by, order in (("week", "season"), ("season", "week")):
+        upto = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        grid = grid.select("season", "week", *[F.sum(n).over(upto).alias(n) for n in names])
+    return grid.join(parts.select("season", "week"), ["season", "week"], "left_semi")
+
+
 def walk_forward(
     df: DataFrame, xs: Sequence[str], y: str, alphas: Sequence[float] = (10, 100, 200, 500, 1000),
     first_week: int = 50, legacy_cutoff: bool = False, name: str = "preds",
@@ -206,19 +219,20 @@ def walk_forward(
     equal season *and* an earlier or equal week number instead of everything before.
     """
     df = settle(df)
-    parts = grams(df, xs, y, ["season", "week"])
-    weeks = sorted(parts)
-    coefs = {}
-    past = total(parts[w] for w in weeks[: first_week + 1]) if len(weeks) > first_week else None
-    for i in range(first_week, len(weeks) - 1):
-        s, w = weeks[i]
-        if i > first_week:
-            past = past + parts[weeks[i]]
-        known = total(g for (a, b), g in parts.items() if a <= s and b <= w) if legacy_cutoff else past
-        b0, coef, _ = known.best_ridge(alphas, scale=True)
-        coefs[weeks[i + 1]] = [b0, *map(float, coef)]
-    rows = _with_coefficients(df, ["season", "week"], coefs).filter(c("_coefs").isNotNull())
-    return rows.withColumn(name, linear_prediction(xs, c("_coefs"))).drop("_coefs")
+    parts = settle(gram_table(df, xs, y, ["season", "week"]))
+    order = Window.orderBy("season", "week")
+    weeks = parts.select("season", "week", F.row_number().over(order).alias("_i"),
+                         F.lead("season").over(order).alias("_s"), F.lead("week").over(order).alias("_w"))
+    known = _known_by(parts, legacy_cutoff).join(weeks, ["season", "week"])
+    known = known.filter((c("_i") > first_week) & c("_s").isNotNull())
+    known = known.select(c("_s").alias("season"), c("_w").alias("week"), *_sums(parts))
+
+    def solve(g: Gram) -> list[float]:
+        b0, w, _ = g.best_ridge(alphas, scale=True)
+        return [b0, *w]
+
+    rows = df.join(solved(known, ["season", "week"], xs, solve), ["season", "week"])
+    return rows.withColumn(name, linear_prediction(xs, c("_coefs"))).drop("_coefs").select(*df.columns, name)
 
 
 def quantile_regression(
@@ -228,7 +242,8 @@ def quantile_regression(
     """Quantile regression by iteratively re-weighted least squares; all quantiles share a pass.
 
     A pass is one Spark job: each task adds up, batch by batch, the weighted Gram matrix and the pinball
-    loss of every quantile, and Spark sums the tasks' few numbers. It stops when no loss changes.
+    loss of every quantile, and Spark sums the tasks' few numbers. It stops when no loss changes, and warns
+    if that doesn't happen.
     """
     size = len(xs) + 2
     rows = settle(df.select(*[c(x).cast("double").alias(x) for x in xs], c(y).cast("double").alias(y)).na.drop())
@@ -251,6 +266,8 @@ def quantile_regression(
             coefs[p] = np.array([b0, *w])
         if moved < tolerance:
             break
+    else:
+        warnings.warn(f"quantile regression still moves by {moved:.1e} of the spread after {passes} passes", stacklevel=2)
     return {p: [float(v) for v in best[p][1]] for p in probs}
 
 
@@ -320,7 +337,7 @@ def count_glm(df: DataFrame, xs: Sequence[str], y: str, name: str = "count_pred"
     return row["s"] / (row["n"] - len(xs) - 1), out
 
 
-def boosted_trees(df: DataFrame, xs: Sequence[str], y: str, trees: int = 20, name: str = "boost_pred") -> DataFrame:
+def boosted_trees(df: DataFrame, xs: Sequence[str], y: str, trees: int = 100, name: str = "boost_pred") -> DataFrame:
     """Boosted trees of depth 2 on the log of a positive target."""
     rows = _assembled(df.filter(c(y) > 0), xs, y).withColumn("_log", F.log(c(y)))
     est = GBTRegressor(maxDepth=2, maxIter=trees, seed=7, featuresCol="_x", labelCol="_log", predictionCol="_p")
@@ -328,129 +345,63 @@ def boosted_trees(df: DataFrame, xs: Sequence[str], y: str, trees: int = 20, nam
 
 
 # --- distribution distance ---------------------------------------------------------------------------
-def _normal_cdf(z: np.ndarray) -> np.ndarray:
-    return np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in z])
-
-
-def _gamma_cdf(a: float, x: np.ndarray) -> np.ndarray:
-    """Regularised lower incomplete gamma function: series below a + 1, continued fraction above."""
-    x = np.maximum(x, 0.0)
-    out = np.zeros_like(x)
-    front = np.exp(a * np.log(np.where(x > 0, x, 1.0)) - x - math.lgamma(a))
-    low = (x > 0) & (x < a + 1)
-    if low.any():
-        v, term = x[low], np.full(low.sum(), 1.0 / a)
-        acc = term.copy()
-        for k in range(1, 1000):
-            term = term * v / (a + k)
-            acc += term
-            if np.all(term < acc * 1e-16):
-                break
-        out[low] = front[low] * acc
-    high = x >= a + 1
-    if high.any():
-        v = x[high]
-        b = v + 1 - a
-        cc, d = np.full_like(v, 1e300), 1 / b
-        h = d.copy()
-        for k in range(1, 1000):
-            an = -k * (k - a)
-            b = b + 2
-            d = 1 / (an * d + b)
-            cc = b + an / cc
-            step = d * cc
-            h *= step
-            if np.all(np.abs(step - 1) < 1e-15):
-                break
-        out[high] = 1 - front[high] * h
-    return out
+def gamma_cdf(shape: float, x: Column) -> Column:
+    """Distribution function of the gamma distribution with scale 1, by the cube-root approximation: a cube root of
+    a gamma variate is nearly normal (error below 0.008 from shape 1 on, 0.001 from shape 6 on)."""
+    spread = 1 / (9 * shape)
+    z = (F.pow(F.greatest(x, F.lit(0.0)) / shape, 1 / 3) - (1 - spread)) / math.sqrt(spread)
+    return normal_cdf(z)
 
 
 def ks_distance(df: DataFrame, col: str, *, floor: int | None = None) -> DataFrame:
     """Kolmogorov-Smirnov distance to a normal and to a gamma distribution fitted by moments.
 
-    The empirical distribution comes from counts by value; only distinct values reach Python.
+    The empirical distribution comes from counts by value; the fitted ones are column expressions.
     """
     rows = df.filter(c(col).isNotNull()).select(c(col).cast("double").alias("x"))
     m = rows.agg(F.count("x").alias("n"), F.avg("x").alias("mean"), F.var_pop("x").alias("var")).first()
     n, mean, var = m["n"], m["mean"], m["var"]
-    counted = rows.groupBy("x").agg(F.count(F.lit(1)).alias("_n"))
+    counted = settle(rows.groupBy("x").agg(F.count(F.lit(1)).alias("_n")))
     counted = add_features(counted, [], ["x"], {"_upto": cumulative_sum("_n")}, floor=floor)
-    sd, shape, scale = math.sqrt(var), mean * mean / var, var / mean
-    schema = T.StructType([T.StructField("normal", T.DoubleType()), T.StructField("gamma", T.DoubleType())])
-
-    @F.pandas_udf(schema)
-    def fitted(xs: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for x in xs:
-            v = x.to_numpy(dtype=float)
-            yield pd.DataFrame({"normal": _normal_cdf((v - mean) / sd), "gamma": _gamma_cdf(shape, v / scale)})
-
-    counted = counted.withColumn("_cdf", fitted("x"))
+    fitted = {"normal": normal_cdf((c("x") - mean) / math.sqrt(var)), "gamma": gamma_cdf(mean * mean / var, c("x") * (mean / var))}
     aggs = []
-    for d in ("normal", "gamma"):
-        f = c(f"_cdf.{d}")
+    for d, f in fitted.items():
         gap = F.greatest(c("_upto") / F.lit(n) - f, f - (c("_upto") - c("_n")) / F.lit(n))
         aggs.append(F.max(gap).alias(f"{d}_distance"))
     return counted.agg(F.sum("_n").alias("n"), *aggs)
 
 
 # --- smoothing ---------------------------------------------------------------------------------------
-LOWESS_ROWS = 20_000
+@dataclass(frozen=True)
+class LocalLine:
+    """Local linear smooth: a weighted line through the rows up to ``half`` away, read off at the row.
+
+    Tricube weights by distance in rows; rows beyond the ends and null values have no weight.
+    """
 
+    col: str
+    half: int
 
-def lowess(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, share: float = 0.7, passes: int = 3,
-    name: str = "smooth",
+    @property
+    def reach(self) -> tuple[int, int]:
+        return self.half, self.half
+
+    def column(self, w: WindowSpec, base: Column) -> Column:
+        sums = [F.lit(0.0)] * 5
+        for d in range(-self.half, self.half + 1):
+            v = (F.lag(self.col, -d) if d < 0 else F.lead(self.col, d)).over(w).cast("double")
+            weight = (1 - (abs(d) / (self.half + 1)) ** 3) ** 3
+            known = F.when(v.isNotNull(), F.lit(weight)).otherwise(0.0)
+            v = F.coalesce(v, F.lit(0.0))
+            for i, term in enumerate((known, known * d, known * (d * d), known * v, known * v * d)):
+                sums[i] = sums[i] + term
+        n, x, xx, y, xy = sums
+        spread = n * xx - x * x
+        return F.when(spread > 1e-9, F.try_divide(y * xx - x * xy, spread)).otherwise(F.try_divide(y, n))
+
+
+def local_smooth(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, half: int = 6, name: str = "smooth", **size
 ) -> DataFrame:
-    """Robust local linear smooth of each series on its position, tricube weights over the nearest share
-    of its points.
-
-    Every point looks at ``share`` of its series, so the work grows with the square of a series; series
-    above ``LOWESS_ROWS`` rows are refused before anything runs (smooth those by season).
-    """
-    rows = df.filter(c(col).isNotNull())
-    sizes = group_sizes(rows, keys, LOWESS_ROWS)
-    if sizes.largest > LOWESS_ROWS:
-        raise ValueError(f"a series has {sizes.largest} rows; the smoother takes at most {LOWESS_ROWS}")
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    kept = list(dict.fromkeys([*keys, *order, col]))
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in kept) + f", `{name}` double"
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order))
-        return pdf.assign(**{name: _lowess(pdf[col].to_numpy(dtype=float), share, passes)})
-
-    return rows.select(*kept).groupBy(*keys).applyInPandas(smooth, schema)
-
-
-def _lowess(y: np.ndarray, share: float, passes: int) -> np.ndarray:
-    n = len(y)
-    near = max(2, min(n, int(share * n + 1e-10)))
-    if n < 3:
-        return y.copy()
-    x, robust, out = np.arange(n, dtype=float), np.ones(n), np.zeros(n)
-    for _ in range(passes + 1):
-        for i in range(n):
-            left = min(max(0, i - near // 2), n - near)
-            while left + near < n and x[i] - x[left] > x[left + near] - x[i]:
-                left += 1
-            while left > 0 and x[i] - x[left - 1] < x[left + near - 1] - x[i]:
-                left -= 1
-            part = slice(left, left + near)
-            gap = np.abs(x[part] - x[i])
-            reach = gap.max()
-            w = robust[part] * np.where(gap <= 0.999 * reach, (1 - (gap / reach) ** 3) ** 3, 0.0)
-            if w.sum() <= 0:
-                out[i] = y[i]
-                continue
-            w = w / w.sum()
-            centre = w @ x[part]
-            spread = w @ (x[part] - centre) ** 2
-            slope = (w @ ((x[part] - centre) * y[part])) / spread if spread > 1e-12 else 0.0
-            out[i] = w @ y[part] + slope * (x[i] - centre)
-        resid = np.abs(y - out)
-        scale = 6 * np.median(resid)
-        if scale <= 1e-12:
-            break
-        robust = np.where(resid < scale, (1 - np.minimum(resid / scale, 1) ** 2) ** 2, 0.0)
-    return out
+    """Smooth each series over its rows by local lines of bounded width, whatever the length of a series."""
+    return add_features(df.filter(c(col).isNotNull()), keys, order, {name: LocalLine(col, half)}, **size)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,14 +77,14 @@ def partial_pool(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def random_intercept(
-    df: DataFrame, key: str, y: str, xs: Sequence[str], iterations: int = 200, most: int = 200_000
+    df: DataFrame, key: str, y: str, xs: Sequence[str], tolerance: float = 1e-9
 ) -> tuple[dict[str, float], DataFrame]:
-    """Linear model with a random intercept per group, by EM.
+    """Linear model with a random intercept per group, by maximum likelihood.
 
-    What EM needs of a group is its row count and sums, and groups of one count enter as one sum of
-    products. So the rows are reduced to one row per distinct group size (at most the root of twice the
-    row count) in Spark, and the iterations run on that table. Returns the fixed effects and variances,
-    and the group table with its intercepts.
+    Given the ratio of the two variances, everything else follows from sums of products in which a group only counts
+    by its size, so rows are reduced to one row per distinct group size. The likelihood is searched over the ratio:
+    each round is one aggregate of that table for a grid of ratios, around the best one so far. Returns the fixed
+    effects and variances, and the group table with its intercepts.
     """
     names = ["_one", *xs]
     p = len(names)
@@ -97,40 +98,60 @@ def random_intercept(
             *[F.sum(c(every[i]) * c(every[j])).alias(f"_m{i}_{j}") for i, j in pairs],
         )
     )
-    by_size = groups.groupBy(c("_s0").alias("n")).agg(
-        F.count(F.lit(1)).alias("k"),
-        *[F.sum(c(f"_s{i}") * c(f"_s{j}")).alias(f"b{i}_{j}") for i, j in pairs],
-        *[F.sum(f"_m{i}_{j}").alias(f"m{i}_{j}") for i, j in pairs],
-    ).limit(most + 1).collect()
-    if len(by_size) > most:
-        raise ValueError(f"more than {most} distinct group sizes")
-
-    def matrix(label: str) -> np.ndarray:
-        out = np.zeros((len(by_size), p + 1, p + 1))
-        for r, row in enumerate(by_size):
-            for i, j in pairs:
-                out[r, i, j] = out[r, j, i] = row[f"{label}{i}_{j}"]
-        return out
-
-    n, k = np.array([r["n"] for r in by_size]), np.array([r["k"] for r in by_size], dtype=float)
-    between, whole = matrix("b"), matrix("m").sum(axis=0)
+    by_size = settle(
+        groups.groupBy(c("_s0").alias("n")).agg(
+            F.count(F.lit(1)).alias("k"), *[F.sum(c(f"_s{i}") * c(f"_s{j}")).alias(f"b{i}_{j}") for i, j in pairs]
+        )
+    )
+    row = groups.agg(*[F.sum(f"_m{i}_{j}").alias(f"b{i}_{j}") for i, j in pairs]).first()
+    whole = _symmetric([row[f"b{i}_{j}"] or 0.0 for i, j in pairs], p + 1)
     total = whole[0, 0]
-    beta = np.linalg.solve(whole[:p, :p], whole[:p, p])
-    sigma = tau = max((whole[p, p] - whole[:p, p] @ beta) / total / 2, 1e-12)
-    for _ in range(iterations):
-        shrink = tau / (sigma + n * tau)
-        gls = whole - np.tensordot(shrink, between, axes=1)
-        beta = np.linalg.solve(gls[:p, :p], gls[:p, p])
+
+    def fit(ratio: float, shrunk: np.ndarray, logs: float) -> tuple[float, np.ndarray, float, float]:
+        gls = whole - shrunk
+        beta = np.linalg.lstsq(gls[:p, :p], gls[:p, p], rcond=None)[0]
         e = np.append(-beta, 1.0)  # residual as a combination of (1, x, y)
-        squared = np.einsum("i,rij,j->r", e, between, e)  # sum over groups of the squared residual sum
-        post = k * sigma * shrink
-        u2 = shrink**2 * squared + post
-        rss = e @ whole @ e + np.sum(n * u2) - 2 * np.sum(shrink * squared)
-        before, tau, sigma = tau, max(u2.sum() / k.sum(), 1e-12), max(rss / total, 1e-12)
-        if abs(tau - before) < 1e-10 * (tau + sigma):
-            break
+        sigma = max(float(e @ gls @ e) / total, 1e-12)
+        return total * np.log(sigma) + logs, beta, sigma, ratio * sigma
+
+    low, high, best = -14.0, 10.0, None
+    while best is None or high - low > tolerance * 24 * 16:
+        ratios = np.exp(np.linspace(low, high, 17))
+        sums = _shrunk_sums(by_size, ratios, pairs)
+        fits = [fit(r, _symmetric(s[:-1], p + 1), s[-1]) for r, s in zip(ratios, sums, strict=True)]
+        at = min(range(len(fits)), key=lambda i: fits[i][0])
+        best, step = fits[at], (high - low) / 16
+        middle = float(np.log(ratios[at]))
+        low, high = middle - step, middle + step
+    _, beta, sigma, tau = best
     resid = c(f"_s{p}") - sum((F.lit(float(beta[i])) * c(f"_s{i}") for i in range(p)), F.lit(0.0))
     shrunk = F.lit(float(tau)) / (F.lit(float(sigma)) + c("_s0") * F.lit(float(tau))) * resid
     fixed = {"intercept": float(beta[0])} | {x: float(v) for x, v in zip(xs, beta[1:], strict=True)}
     effects = groups.select(key, c("_s0").cast("long").alias("n"), shrunk.alias("intercept"))
     return fixed | {"sigma_sq": float(sigma), "tau_sq": float(tau)}, effects
+
+
+def _symmetric(values: Sequence[float], size: int) -> np.ndarray:
+    out = np.zeros((size, size))
+    out[np.triu_indices(size)] = values
+    return out + np.triu(out, 1).T
+
+
+def _shrunk_sums(by_size: DataFrame, ratios: np.ndarray, pairs: Sequence[tuple[int, int]]) -> np.ndarray:
+    """For each ratio of variances the shrunk sums between groups, and the log determinant."""
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = np.zeros((len(ratios), len(pairs) + 1))
+        for pdf in batches:
+            n = pdf["n"].to_numpy(dtype=float)
+            spread = 1 + np.outer(ratios, n)
+            acc[:, :-1] += (ratios[:, None] / spread) @ pdf[[f"b{i}_{j}" for i, j in pairs]].to_numpy(dtype=float)
+            acc[:, -1] += np.log(spread) @ pdf["k"].to_numpy(dtype=float)
+        i, j = np.indices(acc.shape)
+        yield pd.DataFrame({"r": i.ravel(), "at": j.ravel(), "v": acc.ravel()})
+
+    parts = by_size.mapInPandas(fold, "r int, at int, v double").groupBy("r", "at").agg(F.sum("v").alias("v"))
+    out = np.zeros((len(ratios), len(pairs) + 1))
+    for row in parts.collect():  # one number per ratio and entry
+        out[row["r"], row["at"]] = row["v"]
+    return out

@@ -10,6 +10,7 @@ from yardline.plans import ratings as R
 from yardline.plans.features import GAME_ORDER
 from yardline.queries.features import starter_ewm
 from yardline.queries.registry import Tables, query
+from yardline.queries.views import normal_sql
 from yardline.session import settle
 
 c = F.col
@@ -101,9 +102,8 @@ def elastic_net(t: Tables):
 def quantile_regression(t: Tables):
     """5, 50 and 95 % quantile predictions."""
     rows = settle(model_rows(t))
-    xs = ["ewm_passing_yards", "total_line"]
-    for p, coefs in M.quantile_regression(rows, xs, Y).items():
-        rows = M.predict_linear(rows, xs, coefs, f"q{round(p * 100)}")
+    for p, coefs in M.quantile_regression(rows, FEATURES, Y).items():
+        rows = M.predict_linear(rows, FEATURES, coefs, f"q{round(p * 100)}")
     return rows.select(*IDS, Y, "q5", "q50", "q95")
 
 
@@ -121,16 +121,110 @@ def walk_forward(t: Tables):
 
 @query("boosted_trees")
 def boosted_trees(t: Tables):
-    return M.boosted_trees(model_rows(t), FEATURES, Y, trees=10).select(*IDS, Y, "boost_pred")
-
-
-@query("ks_distance")
+    return M.boosted_trees(model_rows(t), FEATURES, Y).select(*IDS, Y, "boost_pred")
+
+
+@query("ks_distance", f"""
+WITH m AS (SELECT count(value) AS n, avg(value) AS mean, var_pop(value) AS var FROM events),
+k AS (SELECT value AS x, count(*) AS k FROM events WHERE value IS NOT NULL GROUP BY value),
+e AS (SELECT x, k, sum(k) OVER (ORDER BY x) AS upto, n, (x - mean) / sqrt(var) AS z,
+             (pow(greatest(x * mean / var, 0) / (mean * mean / var), 1.0::DOUBLE / 3) - (1 - var / (9 * mean * mean)))
+               / sqrt(var / (9 * mean * mean)) AS g FROM k, m),
+f AS (SELECT e.*, {normal_sql("z")} AS a, {normal_sql("g")} AS b FROM e)
+SELECT CAST(sum(k) AS BIGINT) AS n, max(greatest(upto / n - a, a - (upto - k) / n)) AS normal_distance,
+       max(greatest(upto / n - b, b - (upto - k) / n)) AS gamma_distance FROM f""", "normal_distance gamma_distance")
 def ks_distance(t: Tables):
     return M.ks_distance(t.events, "value")
 
 
-@query("lowess")
+HALF = 6
+
+
+def _smooth_sql() -> str:
+    cols, sums = [], {"n": [], "x": [], "xx": [], "y": [], "xy": []}
+    for d in range(-HALF, HALF + 1):
+        v = f"v{d + HALF}"
+        cols.append(f"{'lag' if d < 0 else 'lead'}({Y}, {abs(d)}) OVER (PARTITION BY player_id ORDER BY {', '.join(GAME_ORDER)}) AS {v}")
+        w = f"CASE WHEN {v} IS NULL THEN 0.0::DOUBLE ELSE {(1 - (abs(d) / (HALF + 1)) ** 3) ** 3!r} END"
+        for name, term in (("n", w), ("x", f"{w} * {d}"), ("xx", f"{w} * {d * d}"), ("y", f"{w} * coalesce({v}, 0)"), ("xy", f"{w} * coalesce({v}, 0) * {d}")):
+            sums[name].append(term)
+    return f"""
+WITH v AS (SELECT player_id, {', '.join(GAME_ORDER)}, {Y}, {', '.join(cols)} FROM starter_ewm WHERE {Y} IS NOT NULL),
+s AS (SELECT *, {', '.join(f"{' + '.join(terms)} AS s_{name}" for name, terms in sums.items())} FROM v)
+SELECT player_id, {', '.join(GAME_ORDER)}, {Y}, CASE WHEN s_n * s_xx - s_x * s_x > 1e-9
+  THEN (s_y * s_xx - s_x * s_xy) / (s_n * s_xx - s_x * s_x) ELSE s_y / s_n END AS smooth FROM s"""
+
+
+@query("lowess", _smooth_sql(), "smooth")
 def lowess(t: Tables):
     """Smoothed passing yards of every starter over their games."""
-    rows = model_rows(t).select("player_id", *GAME_ORDER, Y)
-    return M.lowess(settle(rows), ["player_id"], GAME_ORDER, Y)
+    rows = settle(model_rows(t).select("player_id", *GAME_ORDER, Y))
+    return M.local_smooth(rows, ["player_id"], GAME_ORDER, Y, HALF)
+
+
+X = "ewm_passing_yards"
+
+
+@query("out_of_fold_line", f"""
+WITH r AS (SELECT game_id, player_id, {Y}, {X}, CAST(CAST('0x' || substr(md5(game_id || '|' || player_id || '|4416'), 1, 8)
+             AS BIGINT) % 8 AS INT) AS fold FROM starter_ewm),
+c AS (SELECT f.fold, regr_slope(r.{Y}, r.{X}) AS b, regr_intercept(r.{Y}, r.{X}) AS a
+      FROM (SELECT DISTINCT fold FROM r) AS f JOIN r ON r.fold <> f.fold GROUP BY f.fold)
+SELECT game_id, player_id, fold, {Y}, a + b * {X} AS oof FROM r JOIN c USING (fold)""", "oof")
+def out_of_fold_line(t: Tables):
+    """Out-of-fold predictions from one feature."""
+    rows = model_rows(t).withColumn("fold", sets.hash_fold(IDS, 8, 4416))
+    return M.out_of_fold(rows, [X], Y, "fold").select(*IDS, "fold", Y, "oof")
+
+
+@query("walk_forward_line", f"""
+WITH r AS (SELECT game_id, player_id, season, week, {Y}, {X} FROM starter_ewm),
+w AS (SELECT season, week, row_number() OVER (ORDER BY season, week) AS i FROM (SELECT DISTINCT season, week FROM r)),
+c AS (SELECT w.season, w.week, regr_slope(p.{Y}, p.{X}) AS b, regr_intercept(p.{Y}, p.{X}) AS a
+      FROM w JOIN r AS p ON (p.season, p.week) < (w.season, w.week) WHERE w.i > 51 GROUP BY w.season, w.week)
+SELECT game_id, player_id, season, week, {Y}, a + b * {X} AS preds FROM r JOIN c USING (season, week)""", "preds")
+def walk_forward_line(t: Tables):
+    """One-feature line refitted every week on everything played before."""
+    return M.walk_forward(model_rows(t), [X], Y, alphas=(0.0,)).select(*IDS, "season", "week", Y, "preds")
+
+
+def _equations(rows, residual, size):
+    """What the score equations of a fit leave, as a share of their terms, to three places: 0 at the optimum."""
+    terms = {"intercept": F.lit(1.0)} | {x: c(x).cast("double") for x in FEATURES}
+    left = [F.struct(F.lit(n).alias("term"), F.round(F.abs(F.sum(residual * x)) / F.sum(F.abs(size * x)), 3).alias("left"))
+            for n, x in terms.items()]
+    return rows.agg(F.array(*left).alias("e")).select(F.inline("e"))
+
+
+_ZEROS = " UNION ALL ".join(f"SELECT '{n}' AS term, 0.0::DOUBLE AS \"left\"" for n in ["intercept", *FEATURES])
+
+
+@query("count_glm_equations", _ZEROS)
+def count_glm_equations(t: Tables):
+    """Checks the optimum of the Poisson fit, not single predictions."""
+    rows = model_rows(t).withColumn("completions", F.greatest(c(Y) / 10, F.lit(0.0)).cast("int"))
+    _, out = M.count_glm(rows, FEATURES, "completions")
+    return _equations(out, c("completions") - c("count_pred"), c("count_pred"))
+
+
+@query("gamma_equations", _ZEROS)
+def gamma_equations(t: Tables):
+    """Checks the optimum of the gamma fit, not single predictions."""
+    out = M.gamma_regression(model_rows(t), FEATURES, Y)
+    return _equations(out, (c(Y) - c("gamma_pred")) / c("gamma_pred"), F.lit(1.0))
+
+
+@query("quantile_coverage", """
+SELECT * FROM (VALUES ('q5', 0.05::DOUBLE, true), ('q50', 0.5::DOUBLE, true), ('q95', 0.95::DOUBLE, true)) AS v(name, level, covered)""")
+def quantile_coverage(t: Tables):
+    """A quantile fit leaves as many rows below it as its level says, but for those it passes through (one per
+    coefficient) and a half per cent."""
+    rows = quantile_regression(t)
+    levels = {"q5": 0.05, "q50": 0.5, "q95": 0.95}
+    n = F.count(c(Y))
+    entries = []
+    for name, p in levels.items():
+        below = F.sum(F.when(c(Y) <= c(name), 1).otherwise(0))
+        slack = 0.005 * n + len(FEATURES) + 1
+        entries.append(F.struct(F.lit(name).alias("name"), F.lit(p).alias("level"), (F.abs(below - p * n) <= slack).alias("covered")))
+    return rows.filter(c("q50").isNotNull()).agg(F.array(*entries).alias("e")).select(F.inline("e"))

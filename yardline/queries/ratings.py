@@ -8,6 +8,7 @@ from yardline.operators import sets
 from yardline.plans import evaluate as E
 from yardline.plans import ratings as R
 from yardline.queries.registry import Tables, query
+from yardline.queries.views import normal_sql
 
 c = F.col
 
@@ -101,9 +102,11 @@ def error_metrics(t: Tables):
     return E.error_metrics(rows, "value", "p", ["event_type"])
 
 
-@query("t_statistic", """
-SELECT count(r) AS n, avg(r) AS mean, avg(r) / (stddev_samp(r) / sqrt(count(r))) AS t, count(r) - 1 AS df
-FROM (SELECT value - 40 AS r FROM events)""", "mean t")
+@query("t_statistic", f"""
+WITH s AS (SELECT count(r) AS n, avg(r) AS mean, avg(r) / (stddev_samp(r) / sqrt(count(r))) AS t, count(r) - 1 AS df
+           FROM (SELECT value - 40 AS r FROM events)),
+z AS (SELECT s.*, -((8 * df + 1) / (8 * df + 3) * sqrt(df * ln(1 + t * t / df))) AS z FROM s)
+SELECT n, mean, t, df, 2 * ({normal_sql("z")}) AS p FROM z""", "mean t p")
 def t_statistic(t: Tables):
     return E.t_statistic(t.events.select((c("value") - 40).alias("r")), "r")
 

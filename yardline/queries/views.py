@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import re
 
+from yardline.functions.scalars import ERF, ERF_SCALE
 from yardline.queries import adapters
 
 
@@ -49,6 +50,16 @@ def span(n: float) -> float:
     return 2 / (n + 1)
 
 
+def normal_sql(z: str) -> str:
+    """The same approximation as ``normal_cdf``."""
+    t = f"(1 / (1 + {ERF_SCALE} * abs({z}) / sqrt(2)))"
+    poly = "0.0::DOUBLE"
+    for a in reversed(ERF):
+        poly = f"(({poly} + {a}) * {t})"
+    half = f"({poly} * exp(-({z}) * ({z}) / 2) / 2)"
+    return f"CASE WHEN {z} < 0 THEN {half} ELSE 1 - {half} END"
+
+
 PLAY_ORDER = "play_seq, play_tie"
 GAME_ORDER = "season, week, game_id"
 
