@@ -61,13 +61,28 @@ def group_with_labels(
     group, and the second step picks among those few. ``at``: a number ordering the rows; rows where it is
     null give no label. A sum without any value is null.
     """
-    maxes = maxes or {}
+    return pick_labels(label_groups(df, keys, labels, at, sums, maxes), list(keys), list(labels), list(sums), list(maxes or {}))
+
+
+def label_groups(
+    df: DataFrame,
+    keys: Mapping[str, str],
+    labels: Mapping[str, str],
+    at: Column,
+    sums: Mapping[str, Column],
+    maxes: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """First step of ``group_with_labels``: a row per keys and labels (named ``_l_`` and the label)."""
     by = [F.col(v).alias(k) for k, v in {**keys, **{f"_l_{n}": v for n, v in labels.items()}}.items()]
-    fine = df.groupBy(*by).agg(
+    return df.groupBy(*by).agg(
         F.min(at).alias("_at"),
         *[F.sum(x).alias(n) for n, x in sums.items()],
-        *[F.max(x).alias(n) for n, x in maxes.items()],
+        *[F.max(x).alias(n) for n, x in (maxes or {}).items()],
     )
+
+
+def pick_labels(fine: DataFrame, keys: Sequence[str], labels: Sequence[str], sums: Sequence[str], maxes: Sequence[str] = ()) -> DataFrame:
+    """Second step of ``group_with_labels``: a row per keys."""
     names = F.struct(*[F.col(f"_l_{n}").alias(n) for n in labels])
     first = F.min_by(names, F.when(F.col("_at").isNotNull(), F.struct("_at", names)))
     coarse = fine.groupBy(*keys).agg(

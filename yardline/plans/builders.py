@@ -16,12 +16,15 @@ from yardline.operators.aggregates import (
     count_where,
     first_known,
     group_with_labels,
+    label_groups,
     last_known,
+    pick_labels,
     share,
     total,
     total_where,
 )
 from yardline.operators.windows import Lead, add_features, expanding_mean
+from yardline.session import settle
 from yardline.sources.schemas import require_columns
 
 PLAY_ORDER = ("play_seq", "play_tie")  # total order of the plays of a game
@@ -75,7 +78,6 @@ def zero(*names: str) -> dict[str, Column]:
 
 def qb_pass(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
     """Passing line per game, passer and team."""
-    named = plays.filter(c("passer_player_name").isNotNull() & c("posteam").isNotNull())
     real = (c("pass_attempt") == 1) & (c("play_type") != TWO_POINT)
     thrown = real & (c("sack") == 0)
     caught = c("complete_pass") == 1
@@ -86,14 +88,16 @@ def qb_pass(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
     sums = {n: F.when(thrown, c(col)) for n, col in on_throw.items()}
     sums |= {"_thrown": flag(thrown), "sack": c("sack"), "_caught": flag(caught), "_missed": flag(missed),
              "ay_completions": F.when(caught, c("air_yards")), "ay_incompletions": F.when(missed, c("air_yards"))}
-    stats = group_with_labels(
-        named,
-        {"game_id": "game_id", "player": "passer_player_name", "team": "posteam"},
-        {"player_id": "passer_player_id", "season_type": "season_type", "home_team": "home_team", "away_team": "away_team"},
-        F.when(thrown, c(order)),
-        sums,
-        {n: F.when(thrown, c(n)) for n in ("total_line", "temp", "wind")},
-    ).filter(c("_thrown") > 0)
+    # touchdowns belong to the passer id, under whatever name and team the play lists
+    scored = thrown & (c("interception") == 0) & c("passer_player_id").isNotNull()
+    keys = {"game_id": "game_id", "player": "passer_player_name", "team": "posteam"}
+    labels = {"player_id": "passer_player_id", "season_type": "season_type", "home_team": "home_team", "away_team": "away_team"}
+    maxes = {n: F.when(thrown, c(n)) for n in ("total_line", "temp", "wind")}
+    by_id = {"_scored": flag(scored), "_td": F.when(scored, c("touchdown"))}
+    # one pass over plays; the two results come from its few rows
+    fine = settle(label_groups(plays, keys, labels, F.when(thrown, c(order)), sums | by_id, maxes))
+    named = fine.filter(c("player").isNotNull() & c("team").isNotNull())
+    stats = pick_labels(named, list(keys), list(labels), list(sums), list(maxes)).filter(c("_thrown") > 0)
     stats = stats.withColumns(zero(*on_throw, "sack", "ay_completions", "ay_incompletions")).withColumns(
         {
             "cpoe": c("cpoe") / 100,
@@ -101,10 +105,8 @@ def qb_pass(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
             "ay_incompletions": F.when(c("_missed") > 0, c("ay_incompletions")),
         }
     ).drop("_thrown", "_caught", "_missed")
-    # touchdowns belong to the passer id, under whatever name the play lists
-    scored = thrown & (c("interception") == 0) & c("passer_player_id").isNotNull()
-    tds = plays.filter(scored).groupBy("game_id", c("passer_player_id").alias("player_id"))
-    stats = stats.join(tds.agg(total("touchdown").alias("touchdown")), ["game_id", "player_id"], "left")
+    tds = fine.groupBy("game_id", c("_l_player_id").alias("player_id")).agg(F.sum("_scored").alias("_scored"), total("_td").alias("touchdown"))
+    stats = stats.join(tds.filter(c("_scored") > 0).drop("_scored"), ["game_id", "player_id"], "left")
     dropbacks = c("att") + c("sack")
     return stats.withColumns(
         {
@@ -274,20 +276,25 @@ def game_results(plays: DataFrame, schedule: DataFrame) -> DataFrame:
     scoring = c("td_team") == c("posteam")
     yards = {"rush_yards": "rush_attempt", "pass_yards": "pass_attempt"}
     scores = {"off_td": "touchdown", "fgs": "field_goal_result", "two_pts_conv": "two_point_conv_result"}
-    # grouped on the texts first, so that the pass over plays hashes; their maximum is taken of the few rows left
-    fine = plays.filter(c("posteam").isNotNull()).groupBy("game_id", c("posteam").alias("team"), *texts).agg(
+    # one pass over plays, grouped on both teams and the texts, so that it hashes; the rest comes from its few rows
+    fine = plays.filter(c("posteam").isNotNull() | c("defteam").isNotNull())
+    fine = fine.groupBy("game_id", c("posteam").alias("team"), "defteam", *texts).agg(
         *[F.max(n).alias(n) for n in numbers],
         F.sum(flag(scoring)).alias("_scoring"),
         *[F.sum(F.when(c(on) == 1, F.coalesce("yards_gained", F.lit(0)))).alias(n) for n, on in yards.items()],
         *[F.sum(F.when(scoring, c(col))).alias(n) for n, col in scores.items()],
     )
-    own = fine.groupBy("game_id", "team").agg(
+    fine = settle(fine)
+    allowed = fine.filter(c("defteam").isNotNull()).groupBy("game_id", c("defteam").alias("team")).agg(
+        F.sum("pass_yards").alias("opp_pass_yds"), F.sum("rush_yards").alias("opp_rush_yds")
+    ).filter(c("opp_pass_yds").isNotNull() | c("opp_rush_yds").isNotNull())
+    own = fine.filter(c("team").isNotNull()).groupBy("game_id", "team").agg(
         *[F.max(n).alias(n) for n in [*numbers, *texts]],
         *[F.sum(n).alias(n) for n in ["_scoring", *yards, *scores]],
     )
     own = own.withColumns({n: F.when(c("_scoring") > 0, F.coalesce(n, F.lit(0))) for n in scores}).drop("_scoring")
     rest = schedule.select("game_id", "home_rest", "away_rest", "home_coach", "away_coach")
-    rows = own.join(opponent_yards(plays), ["game_id", "team"], "left").join(rest, ["game_id"], "left")
+    rows = own.join(allowed, ["game_id", "team"], "left").join(rest, ["game_id"], "left")
     home = c("home") == 1
 
     def sided(a: str, b: str) -> Column:

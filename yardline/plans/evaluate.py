@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from yardline.functions.scalars import flag, interval_residual, normal_cdf
 from yardline.operators.aggregates import quantiles
 from yardline.operators.windows import add_features, cumulative_sum
+from yardline.session import settle
 
 
 def c(name: str) -> Column:
@@ -59,9 +60,9 @@ def conformal_adjustment(
     Residuals are counted by value before they are ordered, so the many zeros are one row.
     """
     rows = df.select(interval_residual(c(low), c(high), c(actual)).alias("_r")).filter(c("_r").isNotNull())
-    counted = rows.groupBy("_r").agg(F.count(F.lit(1)).alias("_n"))
+    counted = settle(rows.groupBy("_r").agg(F.count(F.lit(1)).alias("_n")))
+    n = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
     counted = add_features(counted, [], ["_r"], {"_upto": cumulative_sum("_n")}, floor=floor)
-    n = rows.agg(F.count(F.lit(1))).scalar()
     k = F.ceil(F.lit(level) * (n + 1))
     return counted.withColumn("_k", k).agg(F.min(F.when(c("_upto") >= c("_k"), c("_r"))).alias("adjustment"))
 

@@ -416,7 +416,7 @@ def receiver_model_table(
     lines = team_games.select("game_id", "team", "total_line", "spread_line")
     rows = rows.join(lines, ["game_id", "team"], "left").filter(c("position") == position).distinct()
     rows = zscore_filter(rows.na.drop("any", subset=needed), ["player_id"], "offense_pct")
-    rows = rows.filter(c("depth_team") == 1)
+    rows = settle(rows.filter(c("depth_team") == 1))
     rows = add_features(rows, ["player_id"], GAME_ORDER, {"last_game_dk": Lag("rec_dk_points")}, **size)
     return rows.na.drop()
 

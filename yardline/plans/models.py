@@ -87,10 +87,10 @@ class Gram:
     def n(self) -> float:
         return float(self.m[0, 0])
 
-    def ridge(self, alpha: float = 0.0, scale: bool = False) -> tuple[float, np.ndarray, float]:
-        """Intercept (not penalised), coefficients, generalised cross-validation score."""
+    def ridge(self, alpha: float = 0.0, scale: bool = False, intercept: bool = True) -> tuple[float, np.ndarray, float]:
+        """Intercept (not penalised; 0 without one), coefficients, generalised cross-validation score."""
         n = self.n
-        mean = self.m[0] / n
+        mean = self.m[0] / n if intercept else np.zeros(len(self.m))
         cov = self.m[1:, 1:] - n * np.outer(mean[1:], mean[1:])
         a, b, yy = cov[:-1, :-1], cov[:-1, -1], cov[-1, -1]
         sd = np.sqrt(np.maximum(np.diag(a) / n, 0)) if scale else np.ones(len(b))
@@ -99,7 +99,7 @@ class Gram:
         inv = np.linalg.pinv(a + alpha * np.eye(len(b)))
         w = inv @ b
         rss = max(yy - 2 * w @ b + w @ a @ w, 0.0)
-        free = n - 1 - np.trace(inv @ a)
+        free = n - int(intercept) - np.trace(inv @ a)
         score = n * rss / free**2 if free > 0 else math.inf
         w = w / sd
         return float(mean[-1] - w @ mean[1:-1]), w, score

@@ -76,6 +76,17 @@ def partial_pool(df: DataFrame, key: str, col: str) -> DataFrame:
     return rows.select(key, "n", "mean", "weight", shrunk.alias("pooled_mean"))
 
 
+def posterior_edges(estimates: DataFrame, first_season: int, label: str = "label", value: str = "mean") -> DataFrame:
+    """Labels ``1|season/term[season:team]`` split into their parts; offence beside defence per season and team."""
+    part = lambda pattern: F.regexp_extract(label, pattern, 1)
+    rows = estimates.select(
+        part(r"/(\w+)\[").alias("term"), part(r"\[(\d+):").cast("int").alias("season"), part(r":(.+)\]").alias("team"), c(value).alias("v")
+    ).filter(c("season") >= first_season)
+    sides = {"off_mean": "team_a", "def_mean": "team_b"}
+    out = rows.groupBy("season", "team").agg(*[F.max(F.when(c("term") == t, c("v"))).alias(n) for n, t in sides.items()])
+    return out.withColumn("total_edge", c("off_mean") - c("def_mean"))
+
+
 def random_intercept(
     df: DataFrame, key: str, y: str, xs: Sequence[str], tolerance: float = 1e-9
 ) -> tuple[dict[str, float], DataFrame]:

@@ -25,6 +25,7 @@ from yardline.operators.aggregates import first_known, mean_interval
 from yardline.operators.joins import join_renamed
 from yardline.operators.sets import home_away_rows, keep_first, pair_rows
 from yardline.operators.windows import Lead, add_features, running_count
+from yardline.session import settle
 
 
 def c(name: str) -> Column:
@@ -127,11 +128,12 @@ def odds_table(lines: DataFrame, order: list[str], **size) -> DataFrame:
         F.min_by("ml", seq).alias("away_ml"),
         F.max_by("ml", seq).alias("home_ml"),
     )
+    games = settle(games)  # read for the games and for their dates
     away, home = moneyline_probability(c("away_ml")), moneyline_probability(c("home_ml"))
     games = games.withColumns(
         {"date_dt": game_date(c("year"), c("date")), "home_win_proba_no_vig": without_margin(home, away)}
     )
-    weeks = week_numbers(games.select("date_dt").distinct(), **size).select("date_dt", "season", "week")
+    weeks = week_numbers(settle(games.select("date_dt").distinct()), **size).select("date_dt", "season", "week")
     games = games.join(weeks, ["date_dt"], "left")
     game_id = build_game_id(c("season"), c("week"), c("away_team"), c("home_team"))
     return games.select(game_id.alias("game_id"), "away_team", "home_team", "home_ml", "home_win_proba_no_vig")

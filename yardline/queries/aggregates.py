@@ -112,11 +112,13 @@ def mean_ci_by_group(t: Tables):
 
 
 @query("agg_distinct_list", """
-SELECT season, array_to_string(list_sort(list(DISTINCT home_team)), ',') AS teams, min(home_team) AS first_team
-FROM games GROUP BY season""")
+SELECT season, CAST(substr(home_team, 2) AS INT) // 25 AS league, array_to_string(list_sort(list(DISTINCT home_team)), ',') AS teams,
+       min(home_team) AS first_team FROM games GROUP BY ALL""")
 def agg_distinct_list(t: Tables):
-    teams = t.games.groupBy("season").agg(F.sort_array(F.collect_set("home_team")).alias("teams"))
-    return teams.select("season", F.array_join("teams", ",").alias("teams"), F.element_at("teams", 1).alias("first_team"))
+    """Teams of each season and league; a league has 25, so the lists stay short."""
+    league = F.floor(F.substring("home_team", 2, 6).cast("int") / 25).cast("int").alias("league")
+    teams = t.games.groupBy("season", league).agg(F.sort_array(F.collect_set("home_team")).alias("teams"))
+    return teams.select("season", "league", F.array_join("teams", ",").alias("teams"), F.element_at("teams", 1).alias("first_team"))
 
 
 @query("min_games_filter", """

@@ -60,6 +60,27 @@ def scan_with_filename_year(t: Tables):
     return rows.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
 
 
+@query("scan_year_of_file", """
+SELECT CAST(year(o_orderdate) AS INT) AS year, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL""")
+def scan_year_of_file(t: Tables):
+    """Files named after their year (``odds-1995-...``) in one folder, the year cut from the name."""
+    path = f"{scratch_folder(t.spark)}/odds-{uuid.uuid4().hex}"
+    rows = t.orders.select(F.year("o_orderdate").alias("part"), "o_orderpriority")
+    rows.repartition("part").write.partitionBy("part").parquet(path)
+    fs_path = t.spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    for folder in fs.listStatus(fs_path(path)):  # a folder per year
+        label = folder.getPath().getName()
+        if not label.startswith("part="):
+            continue
+        for i, file in enumerate(fs.listStatus(folder.getPath())):
+            if file.getPath().getName().endswith(".parquet"):
+                fs.rename(file.getPath(), fs_path(f"{path}/odds-{label[5:]}-{i}.parquet"))
+        fs.delete(folder.getPath(), True)
+    files = T.read_matching(t.spark, path, "odds-*.parquet")
+    return T.with_file_year(files, 5).groupBy("year", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _name(label: str) -> str:
     return f"yardline_{label}_{uuid.uuid4().hex}"
 
@@ -100,9 +121,11 @@ def sink_drop(t: Tables):
 
 
 @query("profile_table", """
-WITH x AS (SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN value END AS value FROM events)
-SELECT 'event_id' AS "column", count(*) AS n_rows, count(*) - count(event_id) AS n_null, CAST(3 AS BIGINT) AS n_columns FROM x
-UNION ALL SELECT 'user_id', count(*), count(*) - count(user_id), 3 FROM x
-UNION ALL SELECT 'value', count(*), count(*) - count(value), 3 FROM x""")
+WITH x AS (SELECT event_id, user_id, event_type, CASE WHEN event_type <> 'error' THEN value END AS value FROM events)
+SELECT 'event_id' AS "column", count(*) AS n_rows, count(*) - count(event_id) AS n_null, 8 * count(event_id) AS n_bytes,
+       CAST(4 AS BIGINT) AS n_columns FROM x
+UNION ALL SELECT 'user_id', count(*), count(*) - count(user_id), 8 * count(user_id), 4 FROM x
+UNION ALL SELECT 'event_type', count(*), count(*) - count(event_type), CAST(sum(strlen(event_type)) AS BIGINT), 4 FROM x
+UNION ALL SELECT 'value', count(*), count(*) - count(value), 8 * count(value), 4 FROM x""")
 def profile_table(t: Tables):
-    return T.profile(t.events.select("event_id", "user_id", F.when(c("event_type") != "error", c("value")).alias("value")))
+    return T.profile(t.events.select("event_id", "user_id", "event_type", F.when(c("event_type") != "error", c("value")).alias("value")))

@@ -71,27 +71,29 @@ def partial_pool(t: Tables):
     return R.partial_pool(rows, "season", "mov")
 
 
-@query("posterior_terms", """
-SELECT team, off_mean, def_mean, off_mean - def_mean AS total_edge
-FROM (SELECT team, avg(points) AS off_mean, avg(opp_points) AS def_mean FROM (
-  SELECT home_team AS team, home_score AS points, away_score AS opp_points FROM games
-  UNION ALL SELECT away_team, away_score, home_score FROM games) GROUP BY team)""", "off_mean def_mean total_edge")
+_LABELS = """(SELECT '1|season/' || term || '[' || season || ':' || team || ']' AS label, avg(points) AS mean FROM (
+  SELECT 'team_a' AS term, season, home_team AS team, home_score AS points FROM games
+  UNION ALL SELECT 'team_a', season, away_team, away_score FROM games
+  UNION ALL SELECT 'team_b', season, home_team, away_score FROM games
+  UNION ALL SELECT 'team_b', season, away_team, home_score FROM games) GROUP BY term, season, team)"""
+
+
+@query("posterior_terms", f"""
+WITH parts AS (SELECT regexp_extract(label, '/(\\w+)\\[', 1) AS term, CAST(regexp_extract(label, '\\[(\\d+):', 1) AS INT) AS season,
+                      regexp_extract(label, ':(.+)\\]', 1) AS team, mean FROM {_LABELS})
+SELECT season, team, max(mean) FILTER (term = 'team_a') AS off_mean, max(mean) FILTER (term = 'team_b') AS def_mean,
+       max(mean) FILTER (term = 'team_a') - max(mean) FILTER (term = 'team_b') AS total_edge
+FROM parts WHERE season >= 2022 GROUP BY season, team""", "off_mean def_mean total_edge")
 def posterior_terms(t: Tables):
-    """Labelled estimates such as ``1|season/team_a[2016:T1]`` split into term and team, offence beside defence."""
+    """Labelled estimates such as ``1|season/team_a[2016:T1]`` split into term, season and team; of the seasons from
+    2022 on, offence beside defence."""
     sides = sets.home_away_rows(t.games)
     labels = []
-    for term, team, value in (("team_a", "team_a", "team_a_score"), ("team_b", "team_a", "team_b_score")):
-        est = sides.groupBy(c(team).alias("team")).agg(F.avg(value).alias("mean"))
-        label = F.concat(F.lit(f"1|season/{term}[2022:"), c("team"), F.lit("]"))
+    for term, value in (("team_a", "team_a_score"), ("team_b", "team_b_score")):
+        est = sides.groupBy("season", c("team_a").alias("team")).agg(F.avg(value).alias("mean"))
+        label = F.concat(F.lit(f"1|season/{term}["), c("season").cast("string"), F.lit(":"), c("team"), F.lit("]"))
         labels.append(est.select(label.alias("label"), "mean"))
-    table = labels[0].unionByName(labels[1])
-    name = F.rtrim(F.substring_index("label", ":", -1), F.lit("]"))
-    table = table.withColumn("team", name)
-    edge = table.groupBy("team").agg(
-        F.max(F.when(c("label").contains("team_a["), c("mean"))).alias("off_mean"),
-        F.max(F.when(c("label").contains("team_b["), c("mean"))).alias("def_mean"),
-    )
-    return edge.withColumn("total_edge", c("off_mean") + c("def_mean") * -1)
+    return R.posterior_edges(labels[0].unionByName(labels[1]), first_season=2022)
 
 
 @query("error_metrics", """

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
@@ -80,13 +81,29 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Shape and null counts: one row per column, from one pass over the data."""
+    """Shape, null counts and bytes of the values: one row per column, from one pass over the data."""
     names = df.columns
+
+    def size(name: str, kind: T.DataType) -> Column:
+        width = FIXED_BYTES.get(kind.typeName())
+        value = F.col(f"`{name}`")
+        each = F.when(value.isNotNull(), F.lit(width)) if width else F.octet_length(value.cast("string"))
+        return F.coalesce(F.sum(each.cast("long")), F.lit(0).cast("long"))
+
     row = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(names)]
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(F.col(f"`{n}`")).alias(f"_c{i}") for i, n in enumerate(names)],
+        *[size(f.name, f.dataType).alias(f"_b{i}") for i, f in enumerate(df.schema.fields)],
     )
     entries = [
-        F.struct(F.lit(c).alias("column"), F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_c{i}")).alias("n_null"))
-        for i, c in enumerate(names)
+        F.struct(
+            F.lit(n).alias("column"), F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_c{i}")).alias("n_null"),
+            F.col(f"_b{i}").alias("n_bytes"),
+        )
+        for i, n in enumerate(names)
     ]
     return row.select(F.inline(F.array(*entries))).withColumn("n_columns", F.lit(len(names)).cast("long"))
+
+
+# Bytes of a value by type; values of other types count as text.
+FIXED_BYTES = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "float": 4, "date": 4, "long": 8, "double": 8, "timestamp": 8}
