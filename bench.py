@@ -11,7 +11,7 @@ import os
 import time
 
 from yardline.queries import QUERIES
-from yardline.session import local_session
+from yardline.session import clean_up, local_session
 
 HEADLINE = (
     "game_stats qb_pass rushing receiving def_stats drive_stats game_results rolling_mean_full ewm_mean expanding_mean "
@@ -33,6 +33,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+    clean_up()
     spark.stop()
     result = {"metric": "headline query time", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
               "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf")}

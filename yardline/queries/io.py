@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from yardline.session import scratch_folder
+from yardline.session import at_end, scratch_path
 from yardline.sources import tables as T
 from yardline.queries.registry import Tables, query
 
@@ -43,7 +43,7 @@ def filtered_scan(t: Tables):
 
 @query("scan_csv_roundtrip", EVENTS, "value")
 def scan_csv_roundtrip(t: Tables):
-    path = f"{scratch_folder(t.spark)}/csv-{uuid.uuid4().hex}"
+    path = scratch_path(t.spark, "csv")
     T.write_csv(events(t), path)
     return T.read_csv(t.spark, path, EVENT_SCHEMA)
 
@@ -52,7 +52,7 @@ def scan_csv_roundtrip(t: Tables):
 SELECT CAST(year(o_orderdate) AS INT) AS year, count(*) AS n, sum(o_totalprice) AS total FROM orders GROUP BY ALL""", "total")
 def scan_with_filename_year(t: Tables):
     """One folder per year, the year read back from the file's path."""
-    path = f"{scratch_folder(t.spark)}/years-{uuid.uuid4().hex}"
+    path = scratch_path(t.spark, "years")
     rows = t.orders.select(F.concat(F.lit("season-"), F.year("o_orderdate").cast("string")).alias("part"), "o_totalprice")
     rows.write.partitionBy("part").csv(path)
     files = t.spark.read.schema("o_totalprice DOUBLE").option("recursiveFileLookup", True).csv(path)
@@ -64,7 +64,7 @@ def scan_with_filename_year(t: Tables):
 SELECT CAST(year(o_orderdate) AS INT) AS year, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL""")
 def scan_year_of_file(t: Tables):
     """Files named after their year (``odds-1995-...``) in one folder, the year cut from the name."""
-    path = f"{scratch_folder(t.spark)}/odds-{uuid.uuid4().hex}"
+    path = scratch_path(t.spark, "odds")
     rows = t.orders.select(F.year("o_orderdate").alias("part"), "o_orderpriority")
     rows.repartition("part").write.partitionBy("part").parquet(path)
     fs_path = t.spark._jvm.org.apache.hadoop.fs.Path
@@ -81,20 +81,23 @@ def scan_year_of_file(t: Tables):
     return T.with_file_year(files, 5).groupBy("year", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _name(label: str) -> str:
-    return f"yardline_{label}_{uuid.uuid4().hex}"
+def _name(t: Tables, label: str) -> str:
+    """A new table, dropped when Python ends."""
+    name = f"yardline_{label}_{uuid.uuid4().hex}"
+    at_end(lambda: T.drop_table(t.spark, name))
+    return name
 
 
 @query("sink_create", f"{EVENTS} WHERE 1 = 0")
 def sink_create(t: Tables):
-    name = _name("create")
+    name = _name(t, "create")
     T.create_table(events(t), name)
     return T.read_table(t.spark, name)
 
 
 @query("sink_overwrite", EVENTS, "value")
 def sink_overwrite(t: Tables):
-    name = _name("overwrite")
+    name = _name(t, "overwrite")
     T.create_table(events(t), name)
     T.overwrite_table(events(t), name)
     return T.read_table(t.spark, name)
@@ -103,7 +106,7 @@ def sink_overwrite(t: Tables):
 @query("sink_append", f"{EVENTS} UNION ALL {EVENTS}", "value")
 def sink_append(t: Tables):
     """Two appends to an existing table."""
-    name = _name("append")
+    name = _name(t, "append")
     T.create_table(events(t), name)
     T.append_table(events(t), name)
     T.append_table(events(t), name, rows_per_file=10_000)
@@ -112,7 +115,7 @@ def sink_append(t: Tables):
 
 @query("sink_drop", "SELECT CAST(0 AS BIGINT) AS remaining, count(*) AS written FROM events")
 def sink_drop(t: Tables):
-    name = _name("drop")
+    name = _name(t, "drop")
     T.overwrite_table(events(t), name)
     written = T.read_table(t.spark, name).count()
     T.drop_table(t.spark, name)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,14 +52,51 @@ def settle(df: DataFrame) -> DataFrame:
 
     For tables that the following steps read several times: each reader scans the columns it needs
     instead of repeating the plan, sizes are known when joins are planned, and a lost executor costs no
-    recomputation.
+    recomputation. The files go when Python ends, or earlier by ``drop_files``.
     """
-    path = f"{scratch_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    return settle_at(df)[0]
+
+
+def settle_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """``settle``, with the place of the files."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """Shared folder for intermediate files: under the checkpoint folder of the session."""
     ensure_checkpoint_dir(spark)
     return spark.sparkContext.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new place in the shared folder; what is written there goes when Python ends."""
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    at_end(lambda: drop_files(spark, path))
+    return path
+
+
+def drop_files(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_CLEANUP: list[Callable[[], object]] = []
+
+
+def at_end(action: Callable[[], object]) -> None:
+    """Run an action when Python ends if Spark still runs then."""
+    if not _CLEANUP:
+        atexit.register(clean_up)
+    _CLEANUP.append(action)
+
+
+def clean_up() -> None:
+    """Delete what intermediate tables were written; results that still read them can't be computed after that."""
+    while _CLEANUP:
+        action = _CLEANUP.pop()
+        if SparkContext._active_spark_context is not None:
+            with contextlib.suppress(Exception):  # the JVM may be gone
+                action()
