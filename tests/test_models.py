@@ -152,3 +152,48 @@ def test_legacy_cutoff(data):
         b0, coef = _ols(past, 10.0, scale=True)
         nxt = pdf[(pdf["season"] == weeks[i + 1][0]) & (pdf["week"] == weeks[i + 1][1])]
         np.testing.assert_allclose(got[nxt["id"]], b0 + nxt[["a", "b"]].to_numpy() @ coef, rtol=1e-8)
+
+
+def test_walk_forward_models(data):
+    pdf, df = data
+    got = M.walk_forward_models(df, ["a", "b"], "y", alphas=[10.0], net=(0.3, 0.5), first_week=30).toPandas().set_index("id")
+    ridge = M.walk_forward(df, ["a", "b"], "y", alphas=[10.0], first_week=30).toPandas().set_index("id")["preds"]
+    np.testing.assert_allclose(got["ridge_preds"].sort_index(), ridge.sort_index())
+    np.testing.assert_allclose(got["ensemble"], got[["ridge_preds", "en_preds", "huber_preds"]].mean(axis=1))
+    last = got[(got["season"] == pdf["season"].max())]
+    last = last[last["week"] == last["week"].max()]
+    past = pdf[pdf["season"] * 100 + pdf["week"] < int((last["season"] * 100 + last["week"]).iloc[0])]
+    x, y = past[["a", "b"]].to_numpy(), past["y"].to_numpy()
+    mean, sd = x.mean(axis=0), x.std(axis=0)
+    z = (x - mean) / sd
+    rows = np.column_stack([np.ones(len(last)), (last[["a", "b"]].to_numpy() - mean) / sd])
+
+    def net_loss(b):
+        return ((y - b[0] - z @ b[1:]) ** 2).mean() / 2 + 0.3 * (0.5 * np.abs(b[1:]).sum() + 0.25 * (b[1:] ** 2).sum())
+
+    def huber_loss(b):
+        r = np.abs(y - b[0] - z @ b[1:3])
+        s = np.exp(b[3])
+        h = np.where(r < 1.15 * s, (r / s) ** 2, 2 * 1.15 * r / s - 1.15**2)
+        return (s + s * h).sum() + 5.0 * (b[1:3] ** 2).sum()
+
+    for name, loss in (("en_preds", net_loss), ("huber_preds", huber_loss)):
+        b = np.linalg.lstsq(rows, last[name].to_numpy(), rcond=None)[0]
+        np.testing.assert_allclose(rows @ b, last[name], atol=1e-8)
+        if name == "huber_preds":
+            grid = np.linspace(-3, 3, 4001)
+            b = np.append(b, grid[np.argmin([huber_loss(np.append(b, g)) for g in grid])])
+        for i in range(len(b)):
+            for step in (-1e-2, 1e-2):
+                moved = b.copy()
+                moved[i] += step
+                assert loss(b) <= loss(moved) + 1e-9
+
+
+def test_no_intercept(data):
+    pdf, df = data
+    g = M.read_gram(M.gram_table(df, ["a", "b"], "y").first(), 4)
+    b0, w, _ = g.ridge(intercept=False)
+    x = pdf[["a", "b"]].to_numpy()
+    np.testing.assert_allclose(w, np.linalg.lstsq(x, pdf["y"], rcond=None)[0], rtol=1e-8)
+    assert b0 == 0

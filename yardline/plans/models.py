@@ -54,6 +54,25 @@ def rare_bucket(df: DataFrame, col: str, at_least: int = 6, name: str | None = N
     return rows.withColumn(name or f"{col}_bucket", F.coalesce("_c", F.lit("rare"))).drop("_c")
 
 
+def one_hot(
+    df: DataFrame, cols: Sequence[str], at_least: int = 6, most: int = 50, train: Column | None = None
+) -> tuple[DataFrame, list[str]]:
+    """One 0/1 column per common category, and ``<col>_rare`` for all others, unknown ones and nulls.
+
+    Common: seen ``at_least`` times in training rows, and among the ``most`` most frequent (a model setting that
+    bounds the width of the table). Returns the frame and the names of the new columns.
+    """
+    seen = df if train is None else df.filter(train)
+    added: dict[str, Column] = {}
+    for col in cols:
+        counts = seen.filter(c(col).isNotNull()).groupBy(c(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        common = [r["v"] for r in counts.filter(c("n") >= at_least).orderBy(F.desc("n"), "v").limit(most).collect()]
+        value = c(col).cast("string")
+        added |= {f"{col}_{v}": F.coalesce(value == v, F.lit(False)).cast("double") for v in common}
+        added[f"{col}_rare"] = (~F.coalesce(value.isin(common), F.lit(False))).cast("double")
+    return df.withColumns(added), list(added)
+
+
 def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - mean) / population deviation."""
     stats = {f"_m_{n}": F.avg(n) for n in cols} | {f"_s_{n}": F.stddev_pop(n) for n in cols}
@@ -104,6 +123,27 @@ class Gram:
         w = w / sd
         return float(mean[-1] - w @ mean[1:-1]), w, score
 
+    def elastic_net(self, alpha: float, l1_ratio: float, steps: int = 1000, tolerance: float = 1e-9) -> tuple[float, np.ndarray]:
+        """Intercept and coefficients on standardised features, by coordinate descent on the products."""
+        n = self.n
+        mean = self.m[0] / n
+        cov = self.m[1:, 1:] / n - np.outer(mean[1:], mean[1:])
+        sd = np.sqrt(np.maximum(np.diag(cov)[:-1], 0))
+        used = sd > 0
+        sd = np.where(used, sd, 1.0)
+        a, b = cov[:-1, :-1] / np.outer(sd, sd), cov[:-1, -1] / sd
+        w = np.zeros(len(b))
+        for _ in range(steps):
+            moved = 0.0
+            for j in np.flatnonzero(used):
+                r = b[j] - a[j] @ w + a[j, j] * w[j]
+                new = np.sign(r) * max(abs(r) - alpha * l1_ratio, 0.0) / (a[j, j] + alpha * (1 - l1_ratio))
+                moved, w[j] = max(moved, abs(new - w[j])), new
+            if moved <= tolerance * max(1.0, float(np.abs(w).max(initial=0.0))):
+                break
+        w = w / sd
+        return float(mean[-1] - w @ mean[1:-1]), w
+
     def best_ridge(self, alphas: Sequence[float], scale: bool = False) -> tuple[float, np.ndarray, float]:
         """Ridge with the alpha of the lowest score; returns intercept, coefficients, alpha."""
         fits = [(*self.ridge(a, scale), a) for a in alphas]
@@ -209,6 +249,17 @@ def _known_by(parts: DataFrame, legacy_cutoff: bool) -> DataFrame:
     return grid.join(parts.select("season", "week"), ["season", "week"], "left_semi")
 
 
+def _weekly(df: DataFrame, xs: Sequence[str], y: str, first_week: int, legacy_cutoff: bool = False) -> DataFrame:
+    """What is known before each week from the one after ``first_week`` on: a Gram table by season and week."""
+    parts = settle(gram_table(df, xs, y, ["season", "week"]))
+    order = Window.orderBy("season", "week")
+    weeks = parts.select("season", "week", F.row_number().over(order).alias("_i"),
+                         F.lead("season").over(order).alias("_s"), F.lead("week").over(order).alias("_w"))
+    known = _known_by(parts, legacy_cutoff).join(weeks, ["season", "week"])
+    known = known.filter((c("_i") > first_week) & c("_s").isNotNull())
+    return known.select(c("_s").alias("season"), c("_w").alias("week"), *_sums(parts))
+
+
 def walk_forward(
     df: DataFrame, xs: Sequence[str], y: str, alphas: Sequence[float] = (10, 100, 200, 500, 1000),
     first_week: int = 50, legacy_cutoff: bool = False, name: str = "preds",
@@ -219,22 +270,112 @@ def walk_forward(
     equal season *and* an earlier or equal week number instead of everything before.
     """
     df = settle(df)
-    parts = settle(gram_table(df, xs, y, ["season", "week"]))
-    order = Window.orderBy("season", "week")
-    weeks = parts.select("season", "week", F.row_number().over(order).alias("_i"),
-                         F.lead("season").over(order).alias("_s"), F.lead("week").over(order).alias("_w"))
-    known = _known_by(parts, legacy_cutoff).join(weeks, ["season", "week"])
-    known = known.filter((c("_i") > first_week) & c("_s").isNotNull())
-    known = known.select(c("_s").alias("season"), c("_w").alias("week"), *_sums(parts))
 
     def solve(g: Gram) -> list[float]:
         b0, w, _ = g.best_ridge(alphas, scale=True)
         return [b0, *w]
 
-    rows = df.join(solved(known, ["season", "week"], xs, solve), ["season", "week"])
+    rows = df.join(solved(_weekly(df, xs, y, first_week, legacy_cutoff), ["season", "week"], xs, solve), ["season", "week"])
     return rows.withColumn(name, linear_prediction(xs, c("_coefs"))).drop("_coefs").select(*df.columns, name)
 
 
+def walk_forward_models(
+    df: DataFrame, xs: Sequence[str], y: str, *, alphas: Sequence[float] = (10, 100, 200, 500, 1000),
+    net: tuple[float, float] = (0.1, 0.5), epsilon: float = 1.15, huber_alpha: float = 5.0, first_week: int = 50,
+) -> DataFrame:
+    """Ridge, elastic net and Huber regression refitted each week on everything played, and their mean, for the next
+    week: ``ridge_preds``, ``en_preds``, ``huber_preds``, ``ensemble``.
+
+    Ridge and net need the weekly products only. Huber's weights depend on each fit, so a pass over the rows adds up
+    the weighted products of all weeks' fits at once.
+    """
+    df = settle(df)
+    known = settle(_weekly(df, xs, y, first_week))
+    p = len(xs) + 1
+
+    def solve(g: Gram) -> list[float]:
+        b0, w, _ = g.best_ridge(alphas, scale=True)
+        e0, e = g.elastic_net(*net)
+        return [b0, *w, e0, *e]
+
+    rows = df.join(solved(known, ["season", "week"], xs, solve), ["season", "week"])
+    rows = rows.withColumns({n: linear_prediction(xs, F.slice("_coefs", i * p + 1, p)) for i, n in enumerate(("ridge_preds", "en_preds"))})
+    robust = huber_by_week(df, known, xs, y, epsilon, huber_alpha)
+    rows = rows.drop("_coefs").join(robust, ["season", "week"])
+    rows = rows.withColumn("huber_preds", linear_prediction(xs, c("_coefs"))).drop("_coefs")
+    rows = rows.withColumn("ensemble", (c("ridge_preds") + c("en_preds") + c("huber_preds")) / 3)
+    return rows.select(*df.columns, "ridge_preds", "en_preds", "huber_preds", "ensemble")
+
+
+def huber_by_week(
+    df: DataFrame, known: DataFrame, xs: Sequence[str], y: str, epsilon: float, alpha: float, passes: int = 100, tolerance: float = 1e-5
+) -> DataFrame:
+    """Coefficients of Huber regressions, with a scale of their own, on the rows before each week of ``known``.
+
+    Re-weighted least squares; the driver holds the products of every week, a number that only the calendar sets.
+    """
+    size = len(xs) + 2
+    grams = {(r["season"], r["week"]): read_gram(r, size) for r in known.collect()}
+    weeks = sorted(grams)
+    kinds = {f.name: f.dataType.simpleString() for f in known.schema.fields}
+    schema = f"season {kinds['season']}, week {kinds['week']}, _coefs array<double>"
+    if not weeks:
+        return df.sparkSession.createDataFrame([], schema)
+    rows = df.select("season", "week", *[c(n).cast("double").alias(n) for n in [*xs, y]]).na.drop()
+    rows = settle(rows)
+    spread = [np.sqrt(np.maximum(np.diag(g.m)[1:-1] / g.n - (g.m[0, 1:-1] / g.n) ** 2, 0)) for g in (grams[w] for w in weeks)]
+    fits = [grams[w].ridge() for w in weeks]
+    beta = np.array([[b0, *w] for b0, w, _ in fits])
+    scale = np.array([math.sqrt(max(float(np.append(-b, 1.0) @ grams[w].m @ np.append(-b, 1.0)) / grams[w].n, 1e-12))
+                      for w, b in zip(weeks, beta, strict=True)])
+    moved = math.inf
+    for _ in range(passes):
+        sums = _huber_sums(rows, weeks, beta, scale, epsilon, size)
+        new, new_scale = np.empty_like(beta), np.empty_like(scale)
+        for i, s in enumerate(sums):
+            m = s[:-3].reshape(size, size)
+            penalty = np.diag([0.0, *(alpha * scale[i] * spread[i] ** 2)])
+            new[i] = np.linalg.lstsq(m[:-1, :-1] + penalty, m[:-1, -1], rcond=None)[0]
+            inside, out, n = s[-3:]
+            new_scale[i] = math.sqrt(max(inside / max(n - epsilon**2 * out, 1.0), 1e-12))
+        step = np.abs((new - beta) * np.array([[1.0, *s] for s in spread])).max(axis=1) / scale
+        moved = max(float(step.max()), float(np.abs(new_scale / scale - 1).max()))
+        beta, scale = new, new_scale
+        if moved < tolerance:
+            break
+    else:
+        warnings.warn(f"Huber fits still move by {moved:.1e} of their scale after {passes} passes", stacklevel=2)
+    return df.sparkSession.createDataFrame([(*w, [float(v) for v in b]) for w, b in zip(weeks, beta, strict=True)], schema)
+
+
+def _huber_sums(
+    rows: DataFrame, weeks: Sequence[tuple[int, int]], beta: np.ndarray, scale: np.ndarray, epsilon: float, size: int
+) -> np.ndarray:
+    """Per week, of the rows before it: weighted products, squared residuals inside, rows outside, rows."""
+    starts = np.array([s * 100 + w for s, w in weeks])  # weeks of a season have two digits
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = np.zeros((len(weeks), size * size + 3))
+        for pdf in batches:
+            at = (pdf["season"] * 100 + pdf["week"]).to_numpy()
+            order = np.argsort(at, kind="stable")
+            v = np.column_stack([np.ones(len(pdf)), pdf.iloc[:, 2:].to_numpy(dtype=float)])[order]
+            for i, n in enumerate(np.searchsorted(at[order], starts).tolist()):
+                own = v[:n]
+                e = np.abs(own[:, -1] - own[:, :-1] @ beta[i])
+                far = e > epsilon * scale[i]
+                weight = np.where(far, epsilon * scale[i] / np.maximum(e, 1e-300), 1.0)
+                acc[i, :-3] += ((own * weight[:, None]).T @ own).ravel()
+                acc[i, -3:] += (e[~far] ** 2).sum(), far.sum(), n
+        i, j = np.indices(acc.shape)
+        yield pd.DataFrame({"w": i.ravel(), "at": j.ravel(), "v": acc.ravel()})
+
+    parts = rows.mapInPandas(fold, "w int, at int, v double").groupBy("w", "at").agg(F.sum("v").alias("v")).toPandas()
+    out = np.zeros((len(weeks), size * size + 3))
+    out[parts["w"], parts["at"]] = parts["v"]
+    return out
+
+
 def quantile_regression(
     df: DataFrame, xs: Sequence[str], y: str, probs: Sequence[float] = (0.05, 0.5, 0.95),
     passes: int = 60, eps: float = 1e-4, tolerance: float = 1e-6,

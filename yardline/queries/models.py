@@ -35,6 +35,22 @@ def rare_bucket(t: Tables):
     return M.rare_bucket(rows, "team", 6).drop("team")
 
 
+_KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+@query("one_hot", f"""
+WITH x AS (SELECT event_id, CASE WHEN event_id % 10 = 3 THEN 'odd' || event_id WHEN event_id % 10 <> 4 THEN event_type END AS kind FROM events)
+SELECT event_id, {', '.join(f"CASE WHEN kind = '{k}' THEN 1.0::DOUBLE ELSE 0 END AS kind_{k}" for k in _KINDS)},
+       CASE WHEN kind IN {_KINDS} THEN 0.0::DOUBLE ELSE 1 END AS kind_rare FROM x""",
+       " ".join(f"kind_{k}" for k in (*_KINDS, "rare")))
+def one_hot(t: Tables):
+    """Event types as columns; types seen once, and missing ones, are rare."""
+    last = c("event_id") % 10
+    kind = F.when(last == 3, F.concat(F.lit("odd"), c("event_id").cast("string"))).when(last != 4, c("event_type"))
+    rows, names = M.one_hot(t.events.select("event_id", kind.alias("kind")), ["kind"])
+    return rows.select("event_id", *names)
+
+
 @query("standardise", """
 SELECT event_id, (value - avg(value) OVER ()) / stddev_pop(value) OVER () AS value_scaled FROM events""", "value_scaled")
 def standardise(t: Tables):
@@ -119,6 +135,14 @@ def walk_forward(t: Tables):
     return M.walk_forward(model_rows(t), FEATURES, Y).select(*IDS, "season", "week", Y, "preds")
 
 
+@query("walk_forward_models")
+def walk_forward_models(t: Tables):
+    """Three models refitted every week and their mean; the season enters as one column per season."""
+    rows, seasons = M.one_hot(settle(model_rows(t)), ["season"])
+    out = M.walk_forward_models(rows, [*FEATURES, *seasons], Y)
+    return out.select(*IDS, "season", "week", Y, "ridge_preds", "en_preds", "huber_preds", "ensemble")
+
+
 @query("boosted_trees")
 def boosted_trees(t: Tables):
     return M.boosted_trees(model_rows(t), FEATURES, Y).select(*IDS, Y, "boost_pred")
