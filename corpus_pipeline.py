@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yardline.llm.bpe import decode, encode
+from yardline.llm.bpe import encode_and_decode
 from yardline.llm.common import settle
 from yardline.llm.decontaminate import find_leaks
 from yardline.llm.quality_rules import judge
@@ -59,7 +59,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and their number, and the text that they decode to."""
-    out = decode(encode(_held(docs), VOCABULARY), VOCABULARY)
+    out = encode_and_decode(_held(docs), VOCABULARY)
     return _given_back(out.withColumn("n_tokens", F.size("token_ids").cast("long")), "token_ids", "n_tokens", "decoded")
 
 

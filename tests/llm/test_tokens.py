@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from yardline.llm.bpe import decode, encode, vocabulary
+from yardline.llm.bpe import decode, encode, encode_and_decode, vocabulary
 from yardline.llm.token_counts import section_tokens
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
@@ -43,7 +43,8 @@ def test_documents_and_odd_texts(spark, name):
         ids = LIBRARY[name].encode(r.text or "", add_special_tokens=False).ids
         assert r.token_ids == ids, r.text
         assert r.decoded == LIBRARY[name].decode(ids, skip_special_tokens=False)
-    assert encode(docs.limit(0), path).collect() == []
+    assert encode_and_decode(docs, path).collect() == out
+    assert encode(docs.limit(0), path).collect() == [] == encode_and_decode(docs.limit(0), path).collect()
 
 
 ASSIGNED = st.characters(exclude_categories=("Cs", "Cn", "Co"), max_codepoint=0x2FFF)

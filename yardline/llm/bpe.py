@@ -30,7 +30,7 @@ from yardline.llm.common import append_columns
 
 END = "</w>"
 END_MARK = ""  # stands for END within a word; the byte alphabet doesn't have it
-MOST_WORDS = 1 << 19  # encoded words that a task remembers
+MOST_WORDS = 1 << 18  # encoded words that a task remembers
 # fixed patterns of the two kinds of vocabulary
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -224,6 +224,16 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _encoded(column: pa.Array, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of texts behind each other, and how many each text has."""
+    ids = [words.encode(t or "") for t in column.to_pylist()]
+    return np.concatenate(ids) if ids else np.zeros(0, np.int32), np.array([len(x) for x in ids], np.int64)
+
+
+def _lists(ids: np.ndarray, count: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32)), pa.array(ids))
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """Add the ids of whole texts (array of int), with no special tokens but those that a text spells out.
 
@@ -232,10 +242,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
     """
 
     def step(batch: pa.RecordBatch) -> list[pa.Array]:
-        words = vocabulary(path)
-        ids = [words.encode(t or "") for t in batch.column(text_col).to_pylist()]
-        at = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-        return [pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))]
+        return [_lists(*_encoded(batch.column(text_col), vocabulary(path)))]
 
     return append_columns(docs, text_col, step, {ids_col: "array<int>"})
 
@@ -244,10 +251,23 @@ def decode(rows: DataFrame, path: str, ids_col: str = "token_ids", text_col: str
     """Add the text of ids. Null lists are empty texts; null ids and ids that the vocabulary lacks are left out."""
 
     def step(batch: pa.RecordBatch) -> list[pa.Array]:
-        words = vocabulary(path)
         lists = batch.column(ids_col)
         count = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
         ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
-        return [pa.array(words.decode(ids, count), pa.string())]
+        return [pa.array(vocabulary(path).decode(ids, count), pa.string())]
 
     return append_columns(rows, ids_col, step, {text_col: "string"})
+
+
+def encode_and_decode(
+    docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids", decoded_col: str = "decoded"
+) -> DataFrame:
+    """``encode`` and then ``decode``, by the same workers: one vocabulary in memory per task, and ids don't travel
+    twice."""
+
+    def step(batch: pa.RecordBatch) -> list[pa.Array]:
+        words = vocabulary(path)
+        ids, count = _encoded(batch.column(text_col), words)
+        return [_lists(ids, count), pa.array(words.decode(ids, count), pa.string())]
+
+    return append_columns(docs, text_col, step, {ids_col: "array<int>", decoded_col: "string"})

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yardline.llm import quality_classifier
-from yardline.llm.bpe import decode, encode
+from yardline.llm.bpe import encode_and_decode
 from yardline.llm.decontaminate import find_leaks
 from yardline.llm.language import fit, held_out, identify
 from yardline.llm.quality_rules import judge
@@ -149,8 +149,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str, vocabulary: str | None = None) -> DataFrame:
     """Every document to tokens and back; ``vocabulary`` is the file's path on every executor."""
     path = vocabulary or tokenizer_path("word_bpe_49k.json")
-    rows = encode(table(spark, folder, "documents").select("doc_id", "text"), path).select("doc_id", "token_ids")
-    rows = decode(rows, path)
+    rows = encode_and_decode(table(spark, folder, "documents").select("doc_id", "text"), path)
     ids = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
     return rows.select(
         "doc_id",
