@@ -84,7 +84,7 @@ def test_op10(spark, documents):
     got = {r.doc_id: r for r in QUERIES["op10_quality_classifier"](spark, FOLDER).collect()}
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet").collect()
     assert len(got) == len(documents)
-    assert sum(got[r.doc_id].good == bool(r.quality) for r in labels) >= 0.85 * len(labels)
+    assert sum(got[r.doc_id].kept == bool(r.quality) for r in labels) >= 0.85 * len(labels)
 
 
 def test_pipeline(spark, documents):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from yardline.session import scratch_folder
+from yardline.session import drop_files, settle_at
 
 SPACE = r"[\x20\x09-\x0D]+"  # between words
 SLICE = 4 << 20  # bytes of text that a task works on at once
@@ -21,16 +20,9 @@ SALTS = 16
 
 
 def settle(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
-    """Write a table to the shared folder and go on from its files; the second value deletes them."""
-    spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-
-    def drop() -> None:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-    return spark.read.schema(df.schema).parquet(path), drop
+    """Write a table to the shared folder and go on from its files; the second value deletes them before the end."""
+    kept, path = settle_at(df)
+    return kept, lambda: drop_files(df.sparkSession, path)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:

@@ -198,4 +198,4 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     pages = docs.select(F.col("doc_id").alias("id"), "text", "source", "lang", F.col("n_chars").alias("size"))
     labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
     out = quality_classifier.score(docs, quality_classifier.fit(pages, labels))
-    return out.select("doc_id", "quality", "text_quality", "metadata_quality", "good")
+    return out.select("doc_id", "quality", "text_quality", "metadata_quality", F.col("good").alias("kept"))
