@@ -12,6 +12,7 @@ from yardline.plans.builders import receiving, rushing, team_yards, with_time
 from yardline.plans.features import GAME_ORDER
 from yardline.queries.registry import Tables, query
 from yardline.queries.views import ewm, span
+from yardline.session import settle
 
 c = F.col
 
@@ -103,7 +104,7 @@ def opponent_join(t: Tables):
     """A team's yards beside what its opponent's defence had been allowing."""
     allowed = t.plays.groupBy("game_id", c("defteam").alias("team")).agg(F.sum("yards_gained").alias("allowed"))
     feats = {"rolling_allowed": Ewm("allowed", span=15)}
-    defence = add_features(with_time(allowed), ["team"], GAME_ORDER, feats)
+    defence = add_features(settle(with_time(allowed)), ["team"], GAME_ORDER, feats)
     own = team_yards(t.plays).join(t.games.select("game_id", "home_team", "away_team"), ["game_id"], "left")
     out = joins.opponent_join(own, defence, ["rolling_allowed"])
     return out.select("game_id", "team", "opp_team", "pass_yards", "rolling_allowed")
