@@ -30,7 +30,8 @@ from yardline.llm.common import append_columns
 
 END = "</w>"
 END_MARK = ""  # stands for END within a word; the byte alphabet doesn't have it
-MOST_WORDS = 1 << 18  # encoded words that a task remembers
+MOST_WORDS = 1 << 19  # chunks of text that a task remembers, and as many older ones
+MOST_PAIRS = 1 << 20  # pairs in the table
 # fixed patterns of the two kinds of vocabulary
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -45,20 +46,33 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-class Chunks(dict):
-    """Ids of chunks, made of those of their words."""
+class Remembered(dict):
+    """Ids of chunks of text. When it is full, what was used lately stays: it becomes the older half, from which
+    chunks come back as they are met again."""
 
-    def __init__(self, words: Vocabulary) -> None:
-        self.words = words
+    def __init__(self, words: Vocabulary, most: int = MOST_WORDS) -> None:
+        self.words, self.most, self.older = words, most, {}
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        words = self.words
-        ids = self[chunk] = tuple(chain.from_iterable([words[w] for w in words.pattern.findall(chunk)]))
+        ids = self.older.get(chunk)
+        if ids is None:
+            words = self.words
+            parts = words.pattern.findall(chunk)
+            if len(parts) == 1 and parts[0] == chunk:
+                ids = words.encode_word(chunk)
+            else:
+                ids = tuple(chain.from_iterable([self[w] for w in parts]))
+        self[chunk] = ids
         return ids
 
+    def make_room(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
 
-class Vocabulary(dict):
-    """Tokens, merges and the table of compatible pairs. As a dictionary: ids of words (in the byte alphabet's text)."""
+class Vocabulary:
+    """Tokens, merges and the table of compatible pairs."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
@@ -92,18 +106,9 @@ class Vocabulary(dict):
         self.alphabet = byte_alphabet()
         self.pattern = regex.compile(WORDS if self.suffix else PIECES)
         self.special_pattern = regex.compile("|".join(regex.escape(s) for s in self.specials)) if self.specials else None
-        self.whole = Chunks(self)
+        self.whole = Remembered(self)
         self.table, self.at = self.offset_table()
 
-    def may_stand_beside(self, a: int, b: int) -> bool:
-        """Whether merging leaves a border between a and b where they are neighbours."""
-        known = self.beside.get((a, b))
-        if known is None:
-            if len(self.beside) > 4 * MOST_WORDS:
-                self.beside.clear()
-            known = self.beside[a, b] = self._border_holds(a, b)
-        return known
-
     def _border_holds(self, a: int, b: int) -> bool:
         # Go back through the merges that made a and b, latest first. At each moment the two tokens at the border
         # must not merge before the later of them was made. A tie of ranks goes to the left.
@@ -121,33 +126,38 @@ class Vocabulary(dict):
             else:
                 return True
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self[word] = tuple(self.backtrack("".join([self.alphabet[b] for b in word.encode("utf-8")])))
-        return ids
-
-    def backtrack(self, word: str) -> list[int]:
-        """Ids of a word that is written in the byte alphabet."""
-        text = word + END_MARK if self.suffix else word
+    def encode_word(self, word: str) -> tuple[int, ...]:
+        """Ids of a word, by backtracking over its text in the byte alphabet."""
+        text = "".join([self.alphabet[b] for b in word.encode("utf-8")]) + (END_MARK if self.suffix else "")
+        length, beside = self.length, self.beside
+        if len(beside) > MOST_PAIRS:
+            beside.clear()
         fitting: list[list[int]] = [[] for _ in text]  # tokens from each place, longest last
         for end, token in self.scan.iter(text):
-            fitting[end + 1 - self.length[token]].append(token)
-        untried = [len(x) for x in fitting]
+            fitting[end + 1 - length[token]].append(token)
         dead = set()  # places from which the rest can't be encoded
-        place, tokens, n = 0, [], len(text)
+        place, last, tokens, n = 0, -1, [], len(text)
         while place < n:
-            if untried[place]:
-                untried[place] -= 1
-                token = fitting[place][untried[place]]
-                after = place + self.length[token]
-                if after not in dead and (not tokens or self.may_stand_beside(tokens[-1], token)):
-                    tokens.append(token)
-                    place = after
+            if fitting[place]:  # a place is entered once: either its rest can be encoded or it is dead
+                token = fitting[place].pop()
+                after = place + length[token]
+                if after in dead:
+                    continue
+                if tokens:
+                    fits = beside.get((last, token))
+                    if fits is None:
+                        fits = beside[last, token] = self._border_holds(last, token)
+                    if not fits:
+                        continue
+                tokens.append(token)
+                place, last = after, token
             elif tokens:
                 dead.add(place)
-                place -= self.length[tokens.pop()]
+                place -= length[tokens.pop()]
+                last = tokens[-1] if tokens else -1
             else:
                 raise ValueError(f"no tokens for {word!r}")
-        return tokens
+        return tuple(tokens)
 
     def segments(self, text: str) -> Iterator[tuple[int | None, str, int]]:
         """(id of a special token or None, text, offset) in order."""
@@ -177,9 +187,7 @@ class Vocabulary(dict):
 
     def encode_parts(self, text: str) -> list[tuple[int, ...]]:
         """Ids of the chunks of a text."""
-        if len(self) + len(self.whole) > MOST_WORDS:
-            self.clear()
-            self.whole.clear()
+        self.whole.make_room()
         found: list[tuple[int, ...]] = []
         whole = self.whole
         for special, part, _ in self.segments(text):
