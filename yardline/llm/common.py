@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from yardline.session import drop_files, settle_at
 
 SPACE = r"[\x20\x09-\x0D]+"  # between words
-SLICE = 4 << 20  # bytes of text that a task works on at once
+SLICE = 2 << 20  # bytes of text that a task works on at once
 SMALL_ROWS = 100_000  # rows of a side that may be broadcast
 SALTS = 16
 

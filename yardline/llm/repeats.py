@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from yardline.llm.common import append_columns, free_name, per_batch
 from yardline.llm.rolling import BYTE_VALUES, stretches, text_buffer, word_hashes, word_spans
 
-GROUP_TOKENS = 1 << 20  # tokens of one key that a task takes at once; more are filed again, see ``refiled``
-BATCH_TOKENS = 1 << 20  # tokens of several keys that a task takes at once
+GROUP_TOKENS = 1 << 19  # tokens of one key that a task takes at once; more are filed again, see ``refiled``
+BATCH_TOKENS = 1 << 19  # tokens of several keys that a task takes at once
 NO_ID = -(2**63)
 OCCURRENCE = "r1 long, r2 long, start int, windows int, key long, content long, twice boolean"
 CUT = "key long, content long, windows int, first long, text binary"

@@ -15,7 +15,7 @@ import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
-PIECE = 1 << 20  # tokens that are worked on at once
+PIECE = 1 << 18  # tokens that are worked on at once: few enough for caches and for two tasks beside a JVM
 
 
 def mix(x: np.ndarray) -> np.ndarray:
