@@ -1,10 +1,10 @@
 """Benchmark decontamination: windows of documents that are near copies of benchmark items.
 
-For an item of n words the windows are n consecutive words of a document. Each window gets a SimHash fingerprint of
-its five-word shingles. An index over the items' fingerprints, cut into blocks, finds all items within the radius: of
-eight blocks one must differ in at most an eighth of the bits, so each block lists its items under every value that
-close. What is found is held against the exact distance and then the exact similarity, which weighs each shingle by
-how often it occurs.
+For an item of n words the windows are n consecutive words of a document; a document with fewer words is one window.
+Each window gets a SimHash fingerprint of its five-word shingles. An index over the items' fingerprints, cut into
+blocks, finds all items within the radius: of eight blocks one must differ in at most an eighth of the bits, so each
+block lists its items under every value that close. What is found is held against the exact distance and then the
+exact similarity, which weighs each shingle by how often it occurs.
 
 Windows are laid only where a document has a shingle of an item of that size: without one in common no window can
 reach the similarity. The items travel to the tasks in blocks of bounded size, each block meets all documents, and
@@ -154,42 +154,45 @@ class Index:
             best: dict[int, tuple] = {}
             for size, at in wanted.items():
                 self.search_size(hashes, low, high, size, np.array(at), best)
-            found[t] = [(self.ids[i], s - low, size + SHINGLE - 1, sim, d) for i, (_, s, size, sim, d) in sorted(best.items())]
+            found[t] = [(self.ids[i], s - low, length + SHINGLE - 1, sim, d) for i, (_, s, length, sim, d) in sorted(best.items())]
         return found
 
     def search_size(self, hashes: np.ndarray, low: int, high: int, size: int, at: np.ndarray, best: dict[int, tuple]) -> None:
-        """Windows of ``size`` shingles that hold one of the places ``at``, in runs of neighbours."""
-        begin, end = np.maximum(low, at - size + 1), np.minimum(high - size, at)
-        begin, end = begin[begin <= end], end[begin <= end]
-        if not len(begin):
+        """Windows of ``size`` shingles that hold one of the places ``at``, in runs of neighbours.
+
+        A text with fewer shingles is one window; it can share no more than it has.
+        """
+        length = min(size, high - low)
+        if length / size < self.similarity - 1e-12:
             return
+        begin, end = np.maximum(low, at - length + 1), np.minimum(high - length, at)
         head = np.flatnonzero(np.concatenate(([True], begin[1:] > np.maximum.accumulate(end)[:-1] + 1)))
         sized = self.by_size[size]
         for a, b in zip(head.tolist(), [*(head[1:] - 1).tolist(), len(begin) - 1], strict=True):
             last = int(end[a : b + 1].max())
             for start in range(int(begin[a]), last + 1, PIECE // 64):  # a long run in parts
-                own = hashes[start : min(last, start + PIECE // 64 - 1) + size]
-                prints = window_fingerprints(own, size)
+                own = hashes[start : min(last, start + PIECE // 64 - 1) + length]
+                prints = window_fingerprints(own, length)
                 window, item = sized.candidates(prints, self.radius)
                 for i in np.unique(item).tolist():
-                    self.verify(own, size, start, window[item == i], sized.items[i], prints, sized.prints[i], best)
+                    self.verify(own, length, size, start, window[item == i], sized.items[i], prints, sized.prints[i], best)
 
-    def verify(self, own: np.ndarray, size: int, start: int, windows: np.ndarray, item: int, prints: np.ndarray, print_: np.uint64, best: dict[int, tuple]) -> None:
+    def verify(self, own: np.ndarray, length: int, size: int, start: int, windows: np.ndarray, item: int, prints: np.ndarray, print_: np.uint64, best: dict[int, tuple]) -> None:
         gram, times = self.grams[item], self.times[item]
         for part in np.array_split(windows, -(-len(windows) // 4096)):
-            low, high = int(part[0]), int(part[-1]) + size
+            low, high = int(part[0]), int(part[-1]) + length
             place = np.searchsorted(gram, own[low:high])
             place[place == len(gram)] = 0
             same = gram[place] == own[low:high]
             sums = np.zeros((high - low + 1, len(gram)), np.int32)
             sums[1:][np.flatnonzero(same), place[same]] = 1
             np.cumsum(sums, axis=0, out=sums)
-            shared = np.minimum(sums[part - low + size] - sums[part - low], times).sum(1)
-            similarity = shared / (2 * size - shared)
+            shared = np.minimum(sums[part - low + length] - sums[part - low], times).sum(1)
+            similarity = shared / (length + size - shared)
             for w, s in zip(part[similarity >= self.similarity - 1e-12].tolist(), similarity[similarity >= self.similarity - 1e-12].tolist(), strict=True):
                 rank = (-s, start + w)
                 if item not in best or rank < best[item][0]:
-                    best[item] = (rank, start + w, size, s, int(np.bitwise_count(prints[w] ^ print_)))
+                    best[item] = (rank, start + w, length, s, int(np.bitwise_count(prints[w] ^ print_)))
 
 
 def find_leaks(
@@ -211,9 +214,10 @@ def find_leaks(
     five-word shingles with their counts, at least ``similarity``, and the distance of fingerprints. Words are compared
     without punctuation and the case of A-Z; words of punctuation only don't count, and places count the others.
 
-    Items with fewer than five words, or a null text, can't be told from ordinary text and match nothing; so do null
-    and short documents. Items may repeat (with another id each shows). Columns stay; one with the name of the result
-    is replaced. An empty table on either side gives no leaks.
+    A document with fewer words than an item is compared whole. Items with fewer than five words, or a null text, can't
+    be told from ordinary text and match nothing; so do null documents and those with fewer than five words. Items may
+    repeat (with another id each shows). Columns stay; one with the name of the result is replaced. An empty table on
+    either side gives no leaks.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("id"), F.col(f"`{item_text_col}`").alias("text"))
