@@ -14,6 +14,7 @@ documents never move.
 from __future__ import annotations
 
 import math
+from bisect import bisect
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -132,9 +133,9 @@ class Index:
         index.sizes_of = [np.array(sorted(sizes[g])) for g in sorted(sizes)]
         return index
 
-    def search(self, hashes: np.ndarray, first: np.ndarray) -> list[list[tuple]]:
-        """Per text its hits (item id, first word, words, similarity, distance), the best window of each item."""
-        found: list[list[tuple]] = [[] for _ in first[1:]]
+    def search(self, hashes: np.ndarray, first: np.ndarray) -> list[list[list[tuple]]]:
+        """Per text and item that it holds the hits (item id, first word, words, similarity, distance), best first."""
+        found: list[list[list[tuple]]] = [[] for _ in first[1:]]
         if not len(self.known) or not len(hashes):
             return found
         place = np.searchsorted(self.known, hashes)
@@ -151,13 +152,16 @@ class Index:
             for p in hit[group].tolist():
                 for size in self.sizes_of[place[p]].tolist():
                     wanted.setdefault(size, []).append(p)
-            best: dict[int, tuple] = {}
+            near: dict[int, list[tuple]] = {}
             for size, at in wanted.items():
-                self.search_size(hashes, low, high, size, np.array(at), best)
-            found[t] = [(self.ids[i], s - low, length + SHINGLE - 1, sim, d) for i, (_, s, length, sim, d) in sorted(best.items())]
+                self.search_size(hashes, low, high, size, np.array(at), near)
+            for i, parts in sorted(near.items()):
+                start, similarity, distance = (np.concatenate(x) for x in list(zip(*parts, strict=True))[1:])
+                words = parts[0][0] + SHINGLE - 1
+                found[t].append([(self.ids[i], int(start[k]) - low, words, float(similarity[k]), int(distance[k])) for k in apart(start, similarity, words)])
         return found
 
-    def search_size(self, hashes: np.ndarray, low: int, high: int, size: int, at: np.ndarray, best: dict[int, tuple]) -> None:
+    def search_size(self, hashes: np.ndarray, low: int, high: int, size: int, at: np.ndarray, near: dict[int, list[tuple]]) -> None:
         """Windows of ``size`` shingles that hold one of the places ``at``, in runs of neighbours.
 
         A text with fewer shingles is one window; it can share no more than it has.
@@ -175,9 +179,9 @@ class Index:
                 prints = window_fingerprints(own, length)
                 window, item = sized.candidates(prints, self.radius)
                 for i in np.unique(item).tolist():
-                    self.verify(own, length, size, start, window[item == i], sized.items[i], prints, sized.prints[i], best)
+                    self.verify(own, length, size, start, window[item == i], sized.items[i], prints, sized.prints[i], near)
 
-    def verify(self, own: np.ndarray, length: int, size: int, start: int, windows: np.ndarray, item: int, prints: np.ndarray, print_: np.uint64, best: dict[int, tuple]) -> None:
+    def verify(self, own: np.ndarray, length: int, size: int, start: int, windows: np.ndarray, item: int, prints: np.ndarray, print_: np.uint64, near: dict[int, list[tuple]]) -> None:
         gram, times = self.grams[item], self.times[item]
         for part in np.array_split(windows, -(-len(windows) // 4096)):
             low, high = int(part[0]), int(part[-1]) + length
@@ -189,10 +193,23 @@ class Index:
             np.cumsum(sums, axis=0, out=sums)
             shared = np.minimum(sums[part - low + length] - sums[part - low], times).sum(1)
             similarity = shared / (length + size - shared)
-            for w, s in zip(part[similarity >= self.similarity - 1e-12].tolist(), similarity[similarity >= self.similarity - 1e-12].tolist(), strict=True):
-                rank = (-s, start + w)
-                if item not in best or rank < best[item][0]:
-                    best[item] = (rank, start + w, length, s, int(np.bitwise_count(prints[w] ^ print_)))
+            enough = similarity >= self.similarity - 1e-12
+            if enough.any():
+                hit = part[enough]
+                near.setdefault(item, []).append((length, start + hit, similarity[enough], np.bitwise_count(prints[hit] ^ print_)))
+
+
+def apart(start: np.ndarray, similarity: np.ndarray, words: int) -> list[int]:
+    """Windows that don't overlap: the best one (the first of equals), the best of those apart from it, and so on."""
+    chosen: list[int] = []
+    out = []
+    for k in np.lexsort((start, -similarity)).tolist():
+        s = int(start[k])
+        at = bisect(chosen, s)
+        if (at == 0 or s - chosen[at - 1] >= words) and (at == len(chosen) or chosen[at] - s >= words):
+            chosen.insert(at, s)
+            out.append(k)
+    return out
 
 
 def find_leaks(
@@ -207,8 +224,10 @@ def find_leaks(
     block_items: int = BLOCK_ITEMS,
     block_words: int = BLOCK_WORDS,
     result: str = "leaks",
+    spans: str = "leak_spans",
 ) -> DataFrame:
-    """Add ``leaks`` to documents: for each benchmark item with a near copy in the text its best window.
+    """Add ``leak_spans`` to documents, the near copies of benchmark items in the text, and ``leaks``, the best of each
+    item. Spans of one item don't overlap: the best window, the best of those apart from it, and so on.
 
     A leak is (item, start, words, similarity, distance): the window's first word and size, the Jaccard similarity of
     five-word shingles with their counts, at least ``similarity``, and the distance of fingerprints. Words are compared
@@ -216,7 +235,7 @@ def find_leaks(
 
     A document with fewer words than an item is compared whole. Items with fewer than five words, or a null text, can't
     be told from ordinary text and match nothing; so do null documents and those with fewer than five words. Items may
-    repeat (with another id each shows). Columns stay; one with the name of the result is replaced. An empty table on
+    repeat (with another id each shows). Columns stay; those with the names of results are replaced. An empty table on
     either side gives no leaks.
     """
     spark = docs.sparkSession
@@ -226,6 +245,7 @@ def find_leaks(
     row = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(F.split("text", SPACE))).alias("words")).first()
     blocks = max(1, math.ceil(row["n"] / block_items), math.ceil((row["words"] or 0) / block_words))
     out = docs.withColumn(found := free_name(docs, "found"), F.array().cast(HITS))
+    out = out.withColumn(every := free_name(out, "every"), F.array().cast(HITS))
     number = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
     for block in range(blocks):
         rows = items.filter(number == block).orderBy("id", "text").collect()  # about block_items at most
@@ -234,15 +254,17 @@ def find_leaks(
         def step(batch: pa.RecordBatch, index=index) -> list[pa.Array]:
             names = ("item", "start", "words", "similarity", "distance")
             hits = index.value.search(*shingles(*text_buffer(batch.column(text_col))))
-            return [pa.array([[dict(zip(names, h, strict=True)) for h in row] for row in hits], HITS_ARROW)]
+            best = [[own[0] for own in row] for row in hits]
+            whole = [[h for own in row for h in sorted(own, key=lambda h: h[1])] for row in hits]
+            return [pa.array([[dict(zip(names, h, strict=True)) for h in row] for row in rows], HITS_ARROW) for rows in (best, whole)]
 
-        fresh = free_name(out, "fresh")
-        out = append_columns(out, text_col, step, {fresh: HITS})
-        out = out.withColumn(found, F.concat(found, fresh)).drop(fresh)
+        fresh, more = free_name(out, "fresh"), free_name(out, "more")
+        out = append_columns(out, text_col, step, {fresh: HITS, more: HITS})
+        out = out.withColumns({found: F.concat(found, fresh), every: F.concat(every, more)}).drop(fresh, more)
         if blocks > 1:
             out, _ = settle(out)
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != result.lower()]
-    return out.select(*kept, F.col(found).alias(result))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (result.lower(), spans.lower())]
+    return out.select(*kept, F.col(found).alias(result), F.col(every).alias(spans))
 
 
 HITS_ARROW = pa.list_(
