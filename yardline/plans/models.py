@@ -55,18 +55,18 @@ def rare_bucket(df: DataFrame, col: str, at_least: int = 6, name: str | None = N
 
 
 def one_hot(
-    df: DataFrame, cols: Sequence[str], at_least: int = 6, most: int = 50, train: Column | None = None
+    df: DataFrame, cols: Sequence[str], at_least: int = 6, train: Column | None = None
 ) -> tuple[DataFrame, list[str]]:
     """One 0/1 column per common category, and ``<col>_rare`` for all others, unknown ones and nulls.
 
-    Common: seen ``at_least`` times in training rows, and among the ``most`` most frequent (a model setting that
-    bounds the width of the table). Returns the frame and the names of the new columns.
+    Common: seen ``at_least`` times in training rows, however many such categories there are. Returns the frame and the
+    names of the new columns.
     """
     seen = df if train is None else df.filter(train)
     added: dict[str, Column] = {}
     for col in cols:
         counts = seen.filter(c(col).isNotNull()).groupBy(c(col).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        common = [r["v"] for r in counts.filter(c("n") >= at_least).orderBy(F.desc("n"), "v").limit(most).collect()]
+        common = [r["v"] for r in counts.filter(c("n") >= at_least).orderBy(F.desc("n"), "v").collect()]
         value = c(col).cast("string")
         added |= {f"{col}_{v}": F.coalesce(value == v, F.lit(False)).cast("double") for v in common}
         added[f"{col}_rare"] = (~F.coalesce(value.isin(common), F.lit(False))).cast("double")
