@@ -129,10 +129,10 @@ def test_nothing_else_imports_these_modules():
             assert "yardline.llm" not in path.read_text(), path
 
 
-def test_entry_lists_all_eleven():
+def test_entry_lists_all():
     root = Path(__file__).resolve().parents[2]
     code = "import json, __spark_entry__ as e; print(json.dumps(sorted(e.queries())))"
     names = json.loads(subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout)
     assert "pipeline" in names
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 14))
     assert WORD.findall("a\x0bb") == ["a", "b"]

@@ -18,6 +18,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from sys import getsizeof
 
 import ahocorasick
 import numpy as np
@@ -30,7 +31,8 @@ from yardline.llm.common import append_columns
 
 END = "</w>"
 END_MARK = ""  # stands for END within a word; the byte alphabet doesn't have it
-MOST_WORDS = 1 << 19  # chunks of text that a task remembers, and as many older ones
+MOST_BYTES = 96 << 20  # of memory for chunks of text that a task remembers, and as much for older ones
+LONGEST = 64  # characters of a chunk that is remembered; text without spaces is one chunk, hardly ever seen again
 MOST_PAIRS = 1 << 20  # pairs in the table
 # fixed patterns of the two kinds of vocabulary
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
@@ -48,10 +50,10 @@ def byte_alphabet() -> list[str]:
 
 class Remembered(dict):
     """Ids of chunks of text. When it is full, what was used lately stays: it becomes the older half, from which
-    chunks come back as they are met again."""
+    chunks come back as they are met again. Its bound is in bytes."""
 
-    def __init__(self, words: Vocabulary, most: int = MOST_WORDS) -> None:
-        self.words, self.most, self.older = words, most, {}
+    def __init__(self, words: Vocabulary, most: int = MOST_BYTES) -> None:
+        self.words, self.most, self.older, self.held = words, most, {}, 0
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
         ids = self.older.get(chunk)
@@ -62,12 +64,14 @@ class Remembered(dict):
                 ids = words.encode_word(chunk)
             else:
                 ids = tuple(chain.from_iterable([self[w] for w in parts]))
-        self[chunk] = ids
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
+            self.held += getsizeof(chunk) + getsizeof(ids) + 100  # and its place in the table
         return ids
 
     def make_room(self) -> None:
-        if len(self) > self.most:
-            self.older = dict(self)
+        if self.held > self.most:
+            self.older, self.held = dict(self), 0
             self.clear()
 
 

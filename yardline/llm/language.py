@@ -5,7 +5,7 @@ normalised. Each language has several centroids, the clusters of its training ve
 nearest centroid has the largest cosine; it is rejected if it is farther from that centroid than nearly all training
 texts were.
 
-The model is fitted on a bounded sample of labelled rows, chosen by a hash of their ids; every text is then classified
+The model is fitted on a bounded sample of labelled rows, chosen by a hash of the text; every text is then classified
 whole, in one pass, without moving it.
 """
 
@@ -115,22 +115,27 @@ def clusters(vectors: np.ndarray, k: int, rounds: int) -> tuple[np.ndarray, np.n
 
 
 def sampled(labelled: DataFrame, sample: int) -> DataFrame:
-    """About ``sample`` rows per language (all of a smaller one), the same ones at every run."""
-    sizes, _ = settle(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
-    place = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(sizes.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of")).filter(place < sample / F.col("n"))
+    """About ``sample`` different texts per language (all of a smaller one), the same ones at every run.
+
+    They are chosen by a hash of the text, so neither null nor repeated ids weigh, and copies of a text count once.
+    """
+    texts = labelled.select("lang", F.xxhash64("text").alias("h")).distinct()
+    sizes, _ = settle(texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = labelled.join(sizes.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of")).filter(place < sample / F.col("n"))
+    return chosen.select("lang", "text").distinct()
 
 
 def fit(
     labelled: DataFrame, *, sample: int = SAMPLE, dimensions: int = DIMENSIONS, centroids: int = CENTROIDS, tail: float = TAIL
 ) -> Model:
-    """Fit on columns id, text and lang (rows with a null in text or lang are left out).
+    """Fit on columns text and lang (rows with a null in text or lang are left out, equal rows count once).
 
     ``sample`` bounds the texts per language. Each language's clusters come from one task, which holds their vectors;
     only centroids reach the driver.
     """
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows, _ = settle(sampled(rows, sample).select("lang", "text"))
+    rows, _ = settle(sampled(rows, sample))
     total = rows.count()
 
     def document_frequency(batches):

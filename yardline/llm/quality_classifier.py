@@ -388,7 +388,7 @@ def fit(pages: DataFrame, labels: DataFrame, *, labelled: int = LABELLED, rounds
     known = small.filter(F.col("label").isNotNull())
     seen = known.count()
     # some thousand rows, bounded above
-    table = known.filter(_chosen("id", labels.count(), labelled)).toArrow().sort_by("id").combine_chunks()
+    table = known.filter(_chosen("id", seen, labelled)).toArrow().sort_by("id").combine_chunks()
     views: list[np.ndarray] = [np.zeros((0, 1), np.float32)] * 2
     if len(table):
         views = [np.concatenate(x) for x in zip(*[unpacked(b) for b in table.to_batches(ROWS)], strict=True)]
