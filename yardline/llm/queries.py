@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yardline.llm import quality_classifier
+from yardline.llm import merkle, quality_classifier
 from yardline.llm.bpe import encode_and_decode
 from yardline.llm.decontaminate import find_leaks
 from yardline.llm.language import fit, held_out, identify
@@ -199,3 +199,58 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
     out = quality_classifier.score(docs, quality_classifier.fit(pages, labels))
     return out.select("doc_id", "quality", "text_quality", "metadata_quality", F.col("good").alias("kept"))
+
+
+CRC32 = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(d) + 1), lambda i: ascii(d[i])::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END)))"""
+PAIRED = "list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], '')))"
+LEAF = "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{n}", "text")) + ")"
+FOLDED = """list_reduce(list_prepend({leaf}, steps), lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END))"""
+BESIDE = "coalesce(s.l[xor({i} >> s.h, 1) + 1], '')"
+
+OP12 = f"""
+WITH RECURSIVE
+d AS (SELECT *, doc_id::VARCHAR AS d FROM documents),
+t AS (SELECT *, coalesce(xor({CRC32}, 4294967295::BIGINT) % 7 = 0, false) AS bad FROM d),
+leaves AS (SELECT doc_id, lang, {LEAF.format(n="n_chars")} AS leaf, CASE WHEN bad THEN {LEAF.format(n="(n_chars + 1)")}
+           ELSE {LEAF.format(n="n_chars")} END AS claimed FROM t),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+levels AS (SELECT lang, 0 AS h, list(leaf ORDER BY i) AS l FROM placed GROUP BY lang
+           UNION ALL SELECT lang, h + 1, {PAIRED} FROM levels WHERE len(l) > 1),
+roots AS (SELECT lang, l[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r FROM levels WHERE len(l) = 1),
+tops AS (SELECT 0 AS h, list(subroot ORDER BY r) AS l FROM roots
+         UNION ALL SELECT h + 1, {PAIRED} FROM tops WHERE len(l) > 1),
+steps AS (SELECT p.doc_id, p.leaf, p.claimed, p.lang, p.i, s.h, (p.i >> s.h) & 1 AS side, {BESIDE.format(i="p.i")} AS beside
+          FROM placed p JOIN levels s ON s.lang IS NOT DISTINCT FROM p.lang AND len(s.l) > 1
+          UNION ALL SELECT p.doc_id, p.leaf, p.claimed, p.lang, p.i, 1000 + s.h, (r.r >> s.h) & 1, {BESIDE.format(i="r.r")}
+          FROM placed p JOIN roots r ON r.lang IS NOT DISTINCT FROM p.lang JOIN tops s ON len(s.l) > 1),
+found AS (SELECT lang, i, string_agg(beside, '' ORDER BY h) AS proof,
+                 list(CASE side WHEN 1 THEN 'L' ELSE 'R' END || beside ORDER BY h) AS steps FROM steps GROUP BY lang, i),
+out AS (SELECT p.doc_id, p.leaf, r.subroot, (SELECT l[1] FROM tops WHERE len(l) = 1) AS root, sha256(coalesce(f.proof, '')) AS proof_sha256,
+               CASE WHEN f.steps IS NULL THEN p.claimed ELSE {FOLDED.format(leaf="p.claimed").replace("steps", "f.steps")} END AS folded_root
+        FROM placed p JOIN roots r ON r.lang IS NOT DISTINCT FROM p.lang
+        LEFT JOIN found f ON f.lang IS NOT DISTINCT FROM p.lang AND f.i = p.i)
+SELECT *, folded_root = root AS verified FROM out
+"""
+
+
+@query("op12_merkle_manifest", OP12)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document; every seventh row's proof is tried with a size that is one too large."""
+    docs = table(spark, folder, "documents")
+    text = lambda size: merkle.digest(merkle.leaf_text(F.col("doc_id"), F.col("source"), F.col("lang"), size, F.col("text")))
+    size = F.col("n_chars")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = docs.select("doc_id", "lang", text(size).alias("leaf"), text(F.when(tampered, size + 1).otherwise(size)).alias("claimed"))
+    out = merkle.proofs(merkle.manifest(rows, "lang", ["doc_id"], "leaf"), "claimed", ["doc_id"])
+    hexed = lambda name: F.lower(F.hex(name))
+    return out.select(
+        "doc_id",
+        hexed("digest").alias("leaf"),
+        hexed("subroot").alias("subroot"),
+        hexed("root").alias("root"),
+        F.sha2(merkle.joined_hex(F.col("siblings")).cast("binary"), 256).alias("proof_sha256"),
+        hexed("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
