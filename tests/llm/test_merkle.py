@@ -5,7 +5,7 @@ from hashlib import sha256
 import pytest
 from pyspark.sql import functions as F
 
-from yardline.llm import merkle
+from yardline.llm import common, merkle
 
 H = lambda *parts: sha256("".join(parts).encode()).hexdigest()
 
@@ -93,7 +93,7 @@ def test_empty_manifest(spark):
 
 def test_numbers_of_one_large_group(spark):
     rows = spark.range(5000).selectExpr("0 AS g", "id % 3 AS k").repartition(7)
-    out, groups = merkle.numbered(merkle.settle(rows)[0], ["g"], ["k"])
+    out, groups = common.numbered(common.settle(rows)[0], ["g"], ["k"])
     out = sorted((r["index"], r.k, r.size) for r in out.collect())
     assert [r[0] for r in out] == list(range(5000)) and [r[1] for r in out] == sorted(r[1] for r in out)
     assert {r[2] for r in out} == {5000} and [tuple(r) for r in groups.collect()] == [(0, 5000)]

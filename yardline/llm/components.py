@@ -10,20 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yardline.llm.common import settle
+from yardline.llm.common import lookup, settle
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a").toDF("a", "b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    moved = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.filter("a != b").distinct()
+    least, drop = settle(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+    moved = lookup(both, least, ["a"], "inner").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved, _ = settle(moved.filter("a != b").distinct())
+    drop()
+    return moved
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
+    least, _ = settle(down.groupBy("a").agg(F.min("b").alias("m")))
+    moved = lookup(down, least, ["a"], "inner").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 

@@ -21,12 +21,12 @@ from hashlib import sha256
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from yardline.llm.common import lookup, settle
+from yardline.llm.common import lookup, numbered, settle
 
 LEVELS = 10  # levels above the leaves that a builder completes
 
@@ -60,30 +60,6 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "index") -> tuple[DataFrame, DataFrame]:
-    """Number rows from 0 within their group, and count them: (rows with ``name`` and ``size``, groups with ``size``).
-
-    A range exchange over group and order numbers the rows in each of its parts, however large a group is; ties go by
-    their place in ``rows``, which is a settled table. Parts are written before they are counted, so that numbers and
-    counts agree when a task runs again.
-    """
-    rows = rows.withColumn("_tie", F.monotonically_increasing_id())
-    by = [*group, *order, "_tie"]
-    placed, _ = settle(rows.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie").withColumn("_row", F.monotonically_increasing_id()))
-    placed = placed.withColumn("_part", F.shiftright("_row", 33))
-    spans, _ = settle(placed.groupBy(*group, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")))
-    # a row per part, and one more per group that begins or ends there
-    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    spans = spans.select(
-        *group, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_n").over(whole).alias("size")
-    )
-    spans, _ = settle(spans)
-    out = lookup(placed, spans, [*group, "_part"], "inner")
-    out = out.withColumn(name, F.col("_row") + F.col("_shift")).drop("_row", "_part", "_shift")
-    return out, spans.groupBy(*group).agg(F.first("size").alias("size"))
-
-
 def subtree(leaves: Sequence[bytes], levels: int) -> list[list[bytes]]:
     """All levels of the subtree of a builder, from its leaves up; one node is left after ``levels``, or earlier."""
     found = [list(leaves)]

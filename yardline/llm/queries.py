@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yardline.llm import merkle, quality_classifier
+from yardline.llm import merkle, quality_classifier, vector_join
 from yardline.llm.bpe import encode_and_decode
+from yardline.llm.collocations import collocations
 from yardline.llm.decontaminate import find_leaks
 from yardline.llm.language import fit, held_out, identify
 from yardline.llm.quality_rules import judge
@@ -201,6 +202,25 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "quality", "text_quality", "metadata_quality", F.col("good").alias("kept"))
 
 
+OP11 = """
+WITH RECURSIVE
+v AS (SELECT row_number() OVER () AS i, vec_id, CASE WHEN len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN embedding::DOUBLE[] END AS e FROM embeddings),
+links AS (SELECT a.i, b.i AS j FROM v a JOIN v b ON a.i <> b.i AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT i, i AS j FROM v UNION SELECT r.i, l.j FROM reach r JOIN links l ON l.i = r.j),
+least AS (SELECT r.i, min(v.vec_id) AS component_id FROM reach r JOIN v ON v.i = r.j GROUP BY r.i),
+counts AS (SELECT i, count(*) AS n FROM links GROUP BY i)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN least USING (i) LEFT JOIN counts USING (i)
+"""
+
+
+@query("op11_embedding_near_dedup", OP11)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vector_join.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 CRC32 = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(d) + 1), lambda i: ascii(d[i])::BIGINT)),
     lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
                           lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END)))"""
@@ -254,3 +274,29 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
         hexed("folded").alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
+
+
+OP13 = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS k FROM places),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+parted AS (SELECT c.lang, c.phrase, c.k, c.a, c.cut, x.a AS l, y.a AS r, t.n, (1000::HUGEINT * c.a * t.n) // (x.a::HUGEINT * y.a) AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[:c.cut], ' ')
+           JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[c.cut + 1:], ' ') JOIN totals t ON t.lang = c.lang),
+best AS (SELECT * FROM parted QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+whole AS (SELECT b.* FROM best b WHERE NOT EXISTS (SELECT 1 FROM f g WHERE g.lang = b.lang AND g.k > b.k AND 100 * g.a >= 100 * b.a
+                                                   AND contains(' ' || g.phrase || ' ', ' ' || b.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM whole)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op13_phrase_collocations", OP13)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """The strongest phrases of each language."""
+    return collocations(table(spark, folder, "documents").select("text", "lang"))
