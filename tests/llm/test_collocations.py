@@ -49,13 +49,12 @@ def corpus(seed, n=150):
 
 
 @pytest.mark.parametrize(("size", "burst", "bits"), [(C.MOST, C.BURST, C.SCREEN_BITS), (50, 4, 12), (300, 20, 7)])
-def test_collocations(spark, monkeypatch, size, burst, bits):
+def test_collocations(spark, size, burst, bits):
     """Also with tries that burst and spill all the time, and screens that let nearly all through."""
     rows = corpus(1)
     docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "text string, lang string, phrase string, N int")
-    monkeypatch.setattr(C.Trie.__init__, "__defaults__", (burst,))
     for at_least in (100, 12):
-        got = [tuple(r) for r in C.collocations(docs, at_least=at_least, size=size, bits=bits).collect()]
+        got = [tuple(r) for r in C.collocations(docs, at_least=at_least, size=size, burst=burst, bits=bits).collect()]
         assert sorted(got) == sorted(brute(rows, at_least=at_least)) and got
     if size == 50:
         got = [tuple(r) for r in C.collocations(docs, at_least=12, top=3, words=3).collect()]

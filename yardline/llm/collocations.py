@@ -131,7 +131,8 @@ class Trie:
                 return at
             self.entries -= len(at)
             rest = self._matrix(list(at), self.width - depth)
-            rows = np.concatenate((np.zeros((len(rest), depth), ">u4"), rest), axis=1)
+            rows = np.zeros((len(rest), self.width), ">u4")
+            rows[:, depth:] = rest
             return self._add({}, rows, np.array(list(at.values()), np.int64), depth)
         order = np.argsort(rows[:, depth], kind="stable")
         rows = rows[order]
@@ -193,10 +194,10 @@ def prefix_counts(rows: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.
 class Counting:
     """What a task holds: ids of words, and the trie of suffixes with ``least`` to ``most`` words."""
 
-    def __init__(self, least: int, most: int, held: Screen | None, size: int) -> None:
+    def __init__(self, least: int, most: int, held: Screen | None, size: int = MOST, burst: int = BURST) -> None:
         self.least, self.most, self.screen, self.size = least, most, held, size
         self.ids: dict[bytes, int] = {}
-        self.trie = Trie(most)
+        self.trie = Trie(most, burst)
         self.words: Counter = Counter()
 
     def add(self, batch: pa.RecordBatch) -> None:
@@ -306,14 +307,14 @@ class Counting:
             yield pa.record_batch([pa.array([lang]), pa.array([""]), pa.array([0], pa.int32()), pa.array([n])], names=["lang", "phrase", "words", "n"])
 
 
-def counted(texts: DataFrame, least: int, most: int, at_least: int, held: Screen | None = None, size: int = MOST) -> DataFrame:
+def counted(texts: DataFrame, least: int, most: int, at_least: int, held: Screen | None = None, size: int = MOST, burst: int = BURST) -> DataFrame:
     """Phrases of ``least`` to ``most`` words in texts (lang, text) that occur ``at_least`` times: (lang, phrase, words, n).
 
     Counting words also gives the number of all words of each language, under the empty phrase. Settled."""
     shared = texts.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = Counting(least, most, shared.value, size)
+        task = Counting(least, most, shared.value, size, burst)
         for batch in batches:
             for part in slices(batch, "text"):
                 task.add(part)
@@ -327,17 +328,18 @@ def counted(texts: DataFrame, least: int, most: int, at_least: int, held: Screen
 
 
 def frequent(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, words: int = WORDS, at_least: int = LEAST, size: int = MOST, bits: int = SCREEN_BITS
-) -> DataFrame:
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, words: int = WORDS, at_least: int = LEAST, size: int = MOST,
+    burst: int = BURST, bits: int = SCREEN_BITS,
+) -> DataFrame:
     """Phrases of up to ``words`` words that occur ``at_least`` times in a language: (lang, phrase, words, n), and the number of all words
     of each language under the empty phrase."""
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    out = single = counted(texts, 1, 1, at_least, None, size)
+    out = single = counted(texts, 1, 1, at_least, None, size, burst)
     if words > 1:
-        pairs = counted(texts, 2, 2, at_least, screen(single.filter("words = 1"), 1, bits), size)
+        pairs = counted(texts, 2, 2, at_least, screen(single.filter("words = 1"), 1, bits), size, burst)
         out = out.unionByName(pairs)
     if words > 2:
-        out = out.unionByName(counted(texts, 3, words, at_least, screen(pairs, 2, bits), size))
+        out = out.unionByName(counted(texts, 3, words, at_least, screen(pairs, 2, bits), size, burst))
     return settle(out)[0]
 
 
@@ -372,7 +374,7 @@ def maximal(candidates: DataFrame, absorbed: int = ABSORBED) -> DataFrame:
 
 def collocations(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", *, words: int = WORDS, at_least: int = LEAST, absorbed: int = ABSORBED,
-    top: int = TOP, size: int = MOST, bits: int = SCREEN_BITS,
+    top: int = TOP, size: int = MOST, burst: int = BURST, bits: int = SCREEN_BITS,
 ) -> DataFrame:
     """Each language's first ``top`` phrases of 2 to ``words`` words: (lang, rank, phrase, a, l, r, n, score).
 
@@ -381,7 +383,7 @@ def collocations(
     score, then count, then themselves (bytes), so there are no ties. Other columns don't matter; an empty table gives an empty
     result.
     """
-    found = frequent(docs, text_col, lang_col, words=words, at_least=at_least, size=size, bits=bits)
+    found = frequent(docs, text_col, lang_col, words=words, at_least=at_least, size=size, burst=burst, bits=bits)
     best, _ = settle(maximal(settle(scored(found))[0], absorbed).withColumns({"_score": -F.col("score"), "_a": -F.col("a")}))
     ranked, _ = numbered(best, ["lang"], ["_score", "_a", "phrase"], "place")
     return ranked.filter(F.col("place") < top).select("lang", (F.col("place") + 1).alias("rank"), "phrase", "a", "l", "r", "n", "score")
