@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from yardline.operators import sets
 from yardline.plans import models as M
 from yardline.plans import ratings as R
-from yardline.plans.features import GAME_ORDER
+from yardline.plans.features import GAME_ORDER, opponent_defence, shrunk_ewm
+from yardline.plans.wide import walk_forward_wide
 from yardline.queries.features import starter_ewm
 from yardline.queries.registry import Tables, query
 from yardline.queries.views import normal_sql
@@ -66,6 +67,7 @@ def robust_scale(t: Tables):
 
 FEATURES = ["ewm_passing_yards", "ewm_passing_attempts", "ewm_interceptions", "total_line", "spread_line"]
 Y = "passing_yards"
+X = "ewm_passing_yards"
 
 
 def model_rows(t: Tables):
@@ -135,12 +137,45 @@ def walk_forward(t: Tables):
     return M.walk_forward(model_rows(t), FEATURES, Y).select(*IDS, "season", "week", Y, "preds")
 
 
+NUMBERS = ["adj_ewm_passing_yards", "adj_ewm_passing_attempts", "wind", "temp", "total_line", "team_spread", "adj_def_ewm_py",
+           "local_trend_ewm25", "ewm_interceptions", "adj_ewm_py_per_att"]
+
+
+def weekly_rows(t: Tables):
+    """Starters with the ten numbers and the three categories of the weekly models."""
+    rows = opponent_defence(shrunk_ewm(starter_ewm(t)))
+    rows = rows.withColumns({"wind": F.coalesce(c("wind").cast("double"), F.lit(0.0)), "temp": F.coalesce(c("temp").cast("double"), F.lit(72.0))})
+    return rows.select(*IDS, "season", "week", "roof", Y, *[c(n).cast("double").alias(n) for n in NUMBERS])
+
+
+def weekly_models(t: Tables):
+    return walk_forward_wide(weekly_rows(t), NUMBERS, ["season", "roof"], "player_id", Y, IDS)
+
+
 @query("walk_forward_models")
 def walk_forward_models(t: Tables):
-    """Three models refitted every week and their mean; the season enters as one column per season."""
-    rows, seasons = M.one_hot(settle(model_rows(t)), ["season"])
-    out = M.walk_forward_models(rows, [*FEATURES, *seasons], Y)
-    return out.select(*IDS, "season", "week", Y, "ridge_preds", "en_preds", "huber_preds", "ensemble")
+    """Three models refitted every week and their mean: ten numbers, season, roof, and an effect for every player; penalties by
+    cross-validation."""
+    out = weekly_models(t)
+    return out.select(*IDS, "season", "week", Y, "ridge_preds", "en_preds", "huber_preds", "ensemble", "ridge_alpha", "en_alpha", "en_ratio")
+
+
+@query("walk_forward_player_line", f"""
+WITH r AS (SELECT game_id, player_id, season, week, {Y}, {X} FROM starter_ewm),
+w AS (SELECT season, week, row_number() OVER (ORDER BY season, week) AS i FROM (SELECT DISTINCT season, week FROM r)),
+p AS (SELECT w.season, w.week, r.player_id, count(*) AS n, sum({X}) AS x, sum({X} * {X}) AS xx, sum({Y}) AS y, sum({X} * {Y}) AS xy
+      FROM w JOIN r ON (r.season, r.week) < (w.season, w.week) WHERE w.i > 51 GROUP BY w.season, w.week, r.player_id),
+s AS (SELECT season, week, sum(n) - sum(n * n / (n + 10.0::DOUBLE)) AS a, sum(x) - sum(n * x / (n + 10)) AS b,
+             sum(xx) - sum(x * x / (n + 10)) + 10 * (sum(xx) / sum(n) - pow(sum(x) / sum(n), 2)) AS c,
+             sum(y) - sum(n * y / (n + 10)) AS d, sum(xy) - sum(x * y / (n + 10)) AS e FROM p GROUP BY season, week),
+f AS (SELECT season, week, (d * c - e * b) / (a * c - b * b) AS base, (e * a - d * b) / (a * c - b * b) AS slope FROM s)
+SELECT r.game_id, r.player_id, r.season, r.week, r.{Y}, f.base + f.slope * r.{X}
+       + coalesce((p.y - p.n * f.base - p.x * f.slope) / (p.n + 10), 0) AS preds
+FROM r JOIN f USING (season, week) LEFT JOIN p ON p.season = r.season AND p.week = r.week AND p.player_id = r.player_id""", "preds")
+def walk_forward_player_line(t: Tables):
+    """A line and an effect for every player, refitted every week."""
+    out = walk_forward_wide(model_rows(t), [X], [], "player_id", Y, IDS, alphas=(10.0,), at_least=1, models=("ridge",))
+    return out.select(*IDS, "season", "week", Y, c("ridge_preds").alias("preds"))
 
 
 @query("boosted_trees")
@@ -186,9 +221,6 @@ def lowess(t: Tables):
     return M.local_smooth(rows, ["player_id"], GAME_ORDER, Y, HALF)
 
 
-X = "ewm_passing_yards"
-
-
 @query("out_of_fold_line", f"""
 WITH r AS (SELECT game_id, player_id, {Y}, {X}, CAST(CAST('0x' || substr(md5(game_id || '|' || player_id || '|4416'), 1, 8)
              AS BIGINT) % 8 AS INT) AS fold FROM starter_ewm),
