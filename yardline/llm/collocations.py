@@ -3,11 +3,12 @@
 Tasks count phrases in a trie over word ids whose lower part is hash tables (a HAT-trie): a table holds what may follow the
 words on the way to it, and bursts into a node with a table per next word when it has too many entries. A text's words go
 in as suffixes of a few words, so the count of a phrase is the sum over the subtree below it. When a task holds too much, the
-largest subtrees are written as sorted runs, from which one pass gives the counts of all prefixes. Spark adds up the runs, each
-prefix by itself, so no hot word or pair gathers its continuations in a task.
+largest subtrees are taken out as sorted runs, from which one pass gives the counts of all prefixes. Runs are dealt by prefix,
+many to a row, and Spark adds them up part by part. A prefix is dealt by all of its words, so no hot word or pair gathers its
+continuations in a task.
 
-Phrases go by length: words, pairs, then all longer ones. A phrase is as frequent as asked only if its words and its pairs are;
-fixed-size bit tables of those (``Screen``), which may let others through but hold none back, keep the rest out of the
+Words and pairs are counted first, then all longer phrases. A phrase is as frequent as asked only if its pairs are; a
+fixed-size bit table of those (``Screen``), which may let others through but holds none back, keeps the rest out of the
 tries. Counts are those of whole texts.
 """
 
@@ -37,6 +38,8 @@ MOST_IDS = 1 << 19  # words that a task has ids for
 SCREEN_BITS = 25  # a screen has 2 ** bits places: 4 MB, however large the corpus is
 PART = 4 << 20  # bytes of text whose words are held at once
 ROWS = 1 << 16
+RUNS = "part long, lang string, words int, phrases string, counts array<long>"
+RUN_NAMES = ["part", "lang", "words", "phrases", "counts"]
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -194,8 +197,8 @@ def prefix_counts(rows: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.
 class Counting:
     """What a task holds: ids of words, and the trie of suffixes with ``least`` to ``most`` words."""
 
-    def __init__(self, least: int, most: int, held: Screen | None, size: int = MOST, burst: int = BURST) -> None:
-        self.least, self.most, self.screen, self.size = least, most, held, size
+    def __init__(self, least: int, most: int, held: Screen | None, size: int = MOST, burst: int = BURST, parts: int = 1) -> None:
+        self.least, self.most, self.screen, self.size, self.parts = least, most, held, size, parts
         self.ids: dict[bytes, int] = {}
         self.trie = Trie(most, burst)
         self.words: Counter = Counter()
@@ -258,39 +261,49 @@ class Counting:
                 self.trie.add(x, mine)
 
     def _lengths(self, joined: np.ndarray, word: np.ndarray, names: pa.Array, langs: np.ndarray) -> np.ndarray:
-        """Words of the longest suffix from each word that is counted: up to ``most``, within a piece, and by words or pairs
-        that the screen has."""
-        link, alone = joined, np.ones(len(joined), bool)
+        """Words of the longest suffix from each word that is counted: up to ``most``, within a piece, and by pairs that the screen
+        has."""
+        link = joined
         if self.screen is not None:
             buffer, at = text_buffer(names)
             each = word_hashes(buffer, at[:-1], at[1:])[word]
-            if self.least == 2:
-                alone = self.screen.has(phrase_hashes(langs, each))
-                link = joined & alone & np.append(alone[1:], False)
-            else:
-                link = joined.copy()
-                pair = np.flatnonzero(joined)
-                link[pair] = self.screen.has(phrase_hashes(langs[pair], each[pair], each[pair + 1]))
-        length = alone.astype(np.int64)
-        going = alone
+            link = joined.copy()
+            pair = np.flatnonzero(joined)
+            link[pair] = self.screen.has(phrase_hashes(langs[pair], each[pair], each[pair + 1]))
+        length = np.ones(len(joined), np.int64)
+        going = np.ones(len(joined), bool)
         for j in range(self.most - 1):
             going = going & np.append(link[j:], np.zeros(min(j, len(link)), bool))
             length += going
         return length
 
     def spill(self, keep: int = 0) -> Iterator[pa.RecordBatch]:
-        """Sorted runs as rows (lang, phrase, words, n)."""
+        """Sorted runs as rows (part, lang, words, phrases, counts), phrases one a line."""
         names = pa.array([b"", *self.ids], pa.binary()).cast(pa.string())
+        buffer, offsets = text_buffer(names)
+        each = word_hashes(buffer, offsets[:-1], offsets[1:])
         for lang, rows, counts in self.trie.spill(keep):
             for words in range(self.least, self.most + 1):
                 at, n = prefix_counts(rows, counts, words)
                 for i in range(0, len(at), ROWS):
-                    part = rows[at[i : i + ROWS], :words].astype(np.int64)
-                    columns = [names.take(pa.array(part[:, j])) for j in range(words)]
+                    own = rows[at[i : i + ROWS], :words].astype(np.int64)
+                    part = phrase_hashes(np.full(len(own), lang_hash(lang)), *each[own.T]) % np.uint64(self.parts)
+                    order = np.argsort(part, kind="stable")
+                    part, own = part[order].astype(np.int64), own[order]
+                    columns = [names.take(pa.array(own[:, j])) for j in range(words)]
                     phrase = pc.binary_join_element_wise(*columns, " ") if words > 1 else columns[0]
-                    k = len(part)
-                    yield pa.record_batch(
-                        [pa.array([lang] * k), phrase, pa.array(np.full(k, words, np.int32)), pa.array(n[i : i + ROWS])], names=["lang", "phrase", "words", "n"]
+                    heads = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+                    edges = pa.array(np.append(heads, len(part)).astype(np.int32))
+                    k = len(heads)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(part[heads]),
+                            pa.array([lang] * k),
+                            pa.array(np.full(k, words, np.int32)),
+                            pc.binary_join(pa.ListArray.from_arrays(edges, phrase), "\n"),
+                            pa.ListArray.from_arrays(edges, pa.array(n[i : i + ROWS][order])),
+                        ],
+                        names=RUN_NAMES,
                     )
         if not keep:
             self.ids.clear()
@@ -304,27 +317,30 @@ class Counting:
     def end(self) -> Iterator[pa.RecordBatch]:
         yield from self.spill()
         for lang, n in self.words.items():  # all words, as the phrase of none
-            yield pa.record_batch([pa.array([lang]), pa.array([""]), pa.array([0], pa.int32()), pa.array([n])], names=["lang", "phrase", "words", "n"])
+            columns = [pa.array([0]), pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([[n]], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, RUN_NAMES)
 
 
 def counted(texts: DataFrame, least: int, most: int, at_least: int, held: Screen | None = None, size: int = MOST, burst: int = BURST) -> DataFrame:
     """Phrases of ``least`` to ``most`` words in texts (lang, text) that occur ``at_least`` times: (lang, phrase, words, n).
 
     Counting words also gives the number of all words of each language, under the empty phrase. Settled."""
-    shared = texts.sparkSession.sparkContext.broadcast(held)
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(held)
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = Counting(least, most, shared.value, size, burst)
+        task = Counting(least, most, shared.value, size, burst, parts)
         for batch in batches:
             for part in slices(batch, "text"):
                 task.add(part)
                 yield from task.full()
         yield from task.end()
 
-    runs = texts.mapInArrow(run, "lang string, phrase string, words int, n long")
-    # what a task could add up it has; the rest meets by prefix
-    total = runs.repartition("lang", "phrase").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    return settle(total.filter((F.col("n") >= at_least) | (F.col("words") == 0)))[0]
+    runs = texts.mapInArrow(run, RUNS).repartition("part")
+    rows = runs.select("part", "lang", "words", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), F.col("counts").alias("n"))))
+    total = rows.groupBy("part", "lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    return settle(total.select("lang", "phrase", "words", "n").filter((F.col("n") >= at_least) | (F.col("words") == 0)))[0]
 
 
 def frequent(
@@ -334,12 +350,10 @@ def frequent(
     """Phrases of up to ``words`` words that occur ``at_least`` times in a language: (lang, phrase, words, n), and the number of all words
     of each language under the empty phrase."""
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    out = single = counted(texts, 1, 1, at_least, None, size, burst)
-    if words > 1:
-        pairs = counted(texts, 2, 2, at_least, screen(single.filter("words = 1"), 1, bits), size, burst)
-        out = out.unionByName(pairs)
+    out = counted(texts, 1, min(words, 2), at_least, None, size, burst)
     if words > 2:
-        out = out.unionByName(counted(texts, 3, words, at_least, screen(pairs, 2, bits), size, burst))
+        pairs = screen(out.filter("words = 2"), 2, bits)
+        out = out.unionByName(counted(texts, 3, words, at_least, pairs, size, burst))
     return settle(out)[0]
 
 
