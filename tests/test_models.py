@@ -197,3 +197,70 @@ def test_no_intercept(data):
     x = pdf[["a", "b"]].to_numpy()
     np.testing.assert_allclose(w, np.linalg.lstsq(x, pdf["y"], rcond=None)[0], rtol=1e-8)
     assert b0 == 0
+
+
+def test_fold_quantiles(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"x": rng.normal(size=90), "fold": rng.integers(0, 3, 90)})
+    pdf["y"] = 3 + 2 * pdf["x"] + rng.gumbel(size=90) * (1 + pdf["x"].abs())
+    probs = (0.1, 0.5, 0.9)
+    got = {r["fold"]: np.array(r["_coefs"]).reshape(3, 2) for r in M.fold_quantiles(spark.createDataFrame(pdf), ["x"], "y", "fold", probs).collect()}
+    for k in range(3):
+        own = pdf[pdf["fold"] != k]
+        x, y = own["x"].to_numpy(), own["y"].to_numpy()
+        i, j = np.triu_indices(len(own), 1)  # a best line passes through two points
+        slope = (y[j] - y[i]) / (x[j] - x[i])
+        lines = np.column_stack((y[i] - slope * x[i], slope))
+        for b, p in zip(got[k], probs, strict=True):
+            loss = lambda c: np.where((e := y - c[..., :1] - c[..., 1:] * x) >= 0, p * e, (p - 1) * e).sum(axis=-1)  # noqa: B023, E731
+            assert loss(b[None])[0] <= loss(lines).min() * 1.001
+
+
+def test_stack(data):
+    pdf, df = data
+    rows = df.withColumn("more", df["a"] * df["b"])
+    got = M.stack(rows, ["a", "b", "more"], "y", "fold").toPandas().set_index("id").sort_index()
+    want = M.out_of_fold(rows, ["a", "b", "more"], "y", "fold").toPandas().set_index("id")["oof"].sort_index()
+    np.testing.assert_allclose(got["oof"], want)
+    y = got["y"].to_numpy()
+    for name, p in (("oof_5", 0.05), ("oof_50", 0.5), ("oof_95", 0.95)):
+        assert np.mean(y <= got[name]) == pytest.approx(p, abs=0.04)
+    assert M.fold_quantiles(rows.limit(0), ["a"], "y", "fold").collect() == []
+
+
+def plain_lowess(y, share, robust):
+    n = len(y)
+    near = min(n, max(2, int(share * n + 1e-10)))
+    weight, x = np.ones(n), np.arange(n)
+    for i in range(robust + 1):
+        fit = np.empty(n)
+        for at in range(n):
+            left = min(max(0, math.ceil(at - near / 2)), n - near)
+            own = slice(left, left + near)
+            reach = max(at - left, left + near - 1 - at)
+            v = (1 - (np.abs(x[own] - at) / reach) ** 3) ** 3 * weight[own]
+            d = x[own] - at
+            s0, s1, s2 = v.sum(), (v * d).sum(), (v * d * d).sum()
+            t0, t1 = (v * y[own]).sum(), (v * d * y[own]).sum()
+            fit[at] = (t0 * s2 - s1 * t1) / (s0 * s2 - s1 * s1)
+        off = np.abs(y - fit) / (6 * np.median(np.abs(y - fit)))
+        off = np.where(off > 0.999, 1, np.where(off <= 0.001, 0, off))
+        weight = (1 - off**2) ** 2
+    return fit
+
+
+@pytest.mark.parametrize(("n", "share"), [(40, 0.7), (151, 0.7), (300, 0.13), (900, 0.4)])
+def test_lowess(n, share):
+    rng = np.random.default_rng(n)
+    y = 250 + 40 * np.sin(np.arange(n) / 20) + rng.normal(0, 30, n)
+    y[::17] += 400
+    np.testing.assert_allclose(M.smoothed(y, share, 3), plain_lowess(y, share, 3), rtol=1e-6)
+
+
+def test_lowess_of_short_and_flat_series(spark):
+    rows = [("a", 1, 5.0), ("b", 1, 1.0), ("b", 2, 9.0), ("c", 1, None), (None, 1, 2.0)] + [("d", i, 7.0) for i in range(20)]
+    rows += [("e", i, 3.0 * i) for i in range(50)]
+    got = M.lowess(spark.createDataFrame(rows, "k string, t int, y double"), ["k"], ["t"], "y").collect()
+    assert len(got) == len(rows) - 1
+    assert all(r.smooth == pytest.approx(r.y, abs=1e-6) for r in got)
+    assert M.smoothed(np.arange(200_000.0), 0.7, 1)[1000] == pytest.approx(1000, abs=1e-3)

@@ -14,10 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yardline.functions.scalars import normal_cdf
 from yardline.operators.aggregates import overall_quantiles, with_group
@@ -436,6 +438,87 @@ def _irls_sums(rows: DataFrame, coefs: dict[float, np.ndarray], floor: float, si
     return {p: out[i] for i, p in enumerate(probs)}
 
 
+def fold_quantiles(
+    df: DataFrame, xs: Sequence[str], y: str, fold: str, probs: Sequence[float] = (0.05, 0.5, 0.95),
+    passes: int = 60, eps: float = 1e-5, tolerance: float = 2e-6,
+) -> DataFrame:
+    """Quantile regressions of each fold on the rows of all other folds: rows (fold, ``_coefs``), the coefficients of every quantile behind
+    each other. A row has one fold (an integer); rows with a null input take no part.
+
+    Iteratively re-weighted least squares, all folds and quantiles in one pass over the rows: a row adds to the sums of
+    every fold but its own. What reaches the driver are the sums of each fold and quantile. The floor under the residuals, which
+    rounds the loss off, comes down with the passes.
+    """
+    size, q = len(xs) + 2, len(probs)
+    rows = df.select(c(fold).cast("int").alias("_fold"), *[c(x).cast("double").alias(x) for x in xs], c(y).cast("double").alias(y)).na.drop()
+    rows = settle(rows)
+    grams = {r["_fold"]: read_gram(r, size) for r in gram_table(rows, xs, y, ["_fold"]).collect()}
+    folds = sorted(grams)
+    schema = f"`{fold}` int, _coefs array<double>"
+    if not folds:
+        return df.sparkSession.createDataFrame([], schema)
+    whole = Gram(sum(g.m for g in grams.values()))
+    fits = [(whole - grams[k]).ridge() for k in folds]
+    coefs = np.repeat(np.array([[b0, *w] for b0, w, _ in fits]), q, axis=0)  # [fold and quantile, coefficient]
+    n = np.repeat(np.array([max((whole - grams[k]).n, 1.0) for k in folds]), q)
+    mean = whole.m[0, -1] / whole.n
+    spread = math.sqrt(max(whole.m[-1, -1] / whole.n - mean * mean, 0.0)) or 1.0
+    best, lowest, before = coefs.copy(), np.full(len(coefs), math.inf), np.full(len(coefs), math.inf)
+    floor, moved = 0.03, math.inf
+    for _ in range(passes):
+        sums = _fold_sums(rows, folds, probs, coefs, floor * spread, size)
+        loss = sums[:, -1] / n
+        better = loss < lowest
+        best[better], lowest[better] = coefs[better], loss[better]
+        moved = float((np.abs(before - loss) / spread).max())
+        if moved < tolerance and floor <= eps:
+            break
+        before, floor = loss, max(floor * 0.5, eps)
+        solved_ = [Gram(v[:-1].reshape(size, size)).ridge() for v in sums]
+        coefs = np.array([[b0, *w] for b0, w, _ in solved_])
+    else:
+        warnings.warn(f"quantile regressions still move by {moved:.1e} of the spread after {passes} passes", stacklevel=2)
+    table = [(k, [float(v) for v in best[i * q : (i + 1) * q].ravel()]) for i, k in enumerate(folds)]
+    return df.sparkSession.createDataFrame(table, schema)
+
+
+def _fold_sums(rows: DataFrame, folds: Sequence[int], probs: Sequence[float], coefs: np.ndarray, floor: float, size: int) -> np.ndarray:
+    """Per fold and quantile, of the rows of other folds: weighted products and the loss."""
+    level = np.tile(np.array(probs), len(folds))
+    own = np.repeat(np.array(folds), len(probs))
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = np.zeros((len(own), size * size + 1))
+        for pdf in batches:
+            at = pdf.iloc[:, 0].to_numpy()
+            v = np.column_stack([np.ones(len(pdf)), pdf.iloc[:, 1:].to_numpy(dtype=float)])
+            e = v[:, -1:] - v[:, :-1] @ coefs.T
+            side = np.where(e >= 0, level, 1 - level) * (at[:, None] != own)
+            acc[:, :-1] += (side / np.maximum(np.abs(e), floor)).T @ (v[:, :, None] * v[:, None, :]).reshape(len(v), -1)
+            acc[:, -1] += (side * np.abs(e)).sum(axis=0)
+        i, j = np.indices(acc.shape)
+        yield pd.DataFrame({"fit": i.ravel(), "at": j.ravel(), "v": acc.ravel()})
+
+    parts = rows.mapInPandas(fold, "fit int, at int, v double").groupBy("fit", "at").agg(F.sum("v").alias("v")).toPandas()
+    out = np.zeros((len(own), size * size + 1))
+    out[parts["fit"], parts["at"]] = parts["v"]
+    return out
+
+
+def stack(
+    df: DataFrame, xs: Sequence[str], y: str, fold: str, probs: Sequence[float] = (0.05, 0.5, 0.95), name: str = "oof"
+) -> DataFrame:
+    """Combine predictions ``xs`` of several models: each fold gets the linear and quantile fits of all other folds, as ``oof`` and
+    ``oof_5``, ``oof_50``, ``oof_95``. Rows with a null among ``xs`` or without a fold have null results."""
+    df = settle(df)
+    rows = out_of_fold(df, xs, y, fold, name=name)
+    table = fold_quantiles(df, xs, y, fold, probs).withColumnRenamed(fold, "_of")
+    rows = rows.join(F.broadcast(table), c(fold) == c("_of"), "left")  # a row per fold
+    p = len(xs) + 1
+    quantile = {f"{name}_{round(100 * v)}": linear_prediction(xs, F.slice("_coefs", i * p + 1, p)) for i, v in enumerate(probs)}
+    return rows.withColumns(quantile).drop("_coefs", "_of")
+
+
 def predict_linear(df: DataFrame, xs: Sequence[str], coefs: Sequence[float], name: str) -> DataFrame:
     return df.withColumn(name, linear_prediction(xs, F.array(*[F.lit(float(v)) for v in coefs])))
 
@@ -546,3 +629,81 @@ def local_smooth(
 ) -> DataFrame:
     """Smooth each series over its rows by local lines of bounded width, whatever the length of a series."""
     return add_features(df.filter(c(col).isNotNull()), keys, order, {name: LocalLine(col, half)}, **size)
+
+
+_TRICUBE = ((0, 1.0), (3, -3.0), (6, 3.0), (9, -1.0))  # (1 - d^3)^3 by powers of d
+
+
+def _local_lines(y: np.ndarray, weight: np.ndarray, near: int) -> np.ndarray:
+    """At every place of a series, the line through its ``near`` nearest places, weighted by tricube distance and ``weight``.
+
+    The tricube is a polynomial of the distance, so its sums over any window come from running sums of powers of the place. Powers
+    are taken from the middle of blocks half as long as a window, which keeps them near 1.
+    """
+    n = len(y)
+    out = np.empty(n)
+    step = max(1, near // 2)
+    for first in range(0, n, step):
+        at = np.arange(first, min(first + step, n))
+        left = np.clip(np.ceil(at - near / 2).astype(np.int64), 0, n - near)
+        low, high = int(left[0]), int(left[-1]) + near
+        reach = np.maximum(at - left, left + near - 1 - at) / near  # the farthest place of a window has no weight
+        u = (np.arange(low, high) - (at[0] + at[-1]) / 2) / near
+        here = u[at - low]
+        moments = []
+        for v, most in ((weight[low:high], 2), (weight[low:high] * y[low:high], 1)):
+            powers = np.array([v * u**p for p in range(9 + most + 1)])
+            sums = np.concatenate((np.zeros((len(powers), 1)), np.cumsum(powers, axis=1)), axis=1)
+            total = np.zeros((most + 1, len(at)))
+            for a, b, sign in ((left - low, at - low, -1.0), (at - low, left - low + near, 1.0)):
+                part = sums[:, b] - sums[:, a]
+                apart = []  # sums of (distance / reach) ** q
+                for q in range(9 + most + 1):
+                    moved = sum(math.comb(q, p) * (-here) ** (q - p) * part[p] for p in range(q + 1))
+                    apart.append((sign / reach) ** q * moved)
+                for m in range(most + 1):
+                    total[m] += sign**m * sum(k * apart[q + m] for q, k in _TRICUBE)
+            moments.append(total)
+        (n0, x, xx), (sy, xy) = moments
+        size = n0 * xx - x * x
+        slanted = size > 1e-9 * np.maximum(n0, 1e-300) ** 2
+        flat = np.where(n0 > 1e-12, sy / np.where(n0 > 1e-12, n0, 1), y[at])
+        out[at] = np.where(slanted, (sy * xx - x * xy) / np.where(slanted, size, 1), flat)
+    return out
+
+
+def smoothed(y: np.ndarray, share: float, robust: int) -> np.ndarray:
+    """LOWESS of a series of evenly spaced values."""
+    n = len(y)
+    near = min(n, max(2, int(share * n + 1e-10)))
+    if n < 3:
+        return y.astype(float)
+    weight = np.ones(n)
+    for i in range(robust + 1):
+        fit = _local_lines(y, weight, near)
+        if i < robust:
+            off = np.abs(y - fit)
+            scale = 6 * np.median(off)
+            off = off / scale if scale > 1e-12 * max(1.0, np.abs(y).max()) else (off > 1e-9 * max(1.0, np.abs(y).max())).astype(float)
+            off = np.where(off > 0.999, 1.0, np.where(off <= 0.001, 0.0, off))
+            weight = (1 - off**2) ** 2
+    return fit
+
+
+def lowess(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, share: float = 0.7, robust: int = 3, name: str = "smooth"
+) -> DataFrame:
+    """Smooth each series by local lines over a share of it, with ``robust`` further passes that give outliers less weight.
+
+    The neighbours of a place are the ``share`` of the series nearest to it in rows; weights are tricube by distance and bisquare
+    by the residual over six times their exact median. Rows without a value are left out, a series of one or two rows
+    stays as it is. The work is linear in the length of a series, which a task holds as two numbers a row and its columns.
+    """
+    rows = df.filter(c(col).isNotNull())
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.DoubleType())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(o, "ascending") for o in order])
+        return table.append_column(name, pa.array(smoothed(table[col].cast(pa.float64()).to_numpy(), share, robust)))
+
+    return rows.groupBy(*keys).applyInArrow(run, schema)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from yardline.operators import sets
+from yardline.plans import evaluate as E
 from yardline.plans import models as M
 from yardline.plans import ratings as R
 from yardline.plans.features import GAME_ORDER, opponent_defence, shrunk_ewm
@@ -178,6 +179,39 @@ def walk_forward_player_line(t: Tables):
     return out.select(*IDS, "season", "week", Y, c("ridge_preds").alias("preds"))
 
 
+@query("stacked_models")
+def stacked_models(t: Tables):
+    """A linear and three quantile combinations of the weekly models, out of fold, and the interval made to cover nine in ten."""
+    rows = weekly_models(t).withColumn("fold", sets.hash_fold(IDS, 8, 4416))
+    rows = settle(M.stack(rows, ["huber_preds", "ridge_preds", "en_preds"], Y, "fold"))
+    out = E.conformal_interval(rows, Y, "oof_5", "oof_95", 0.9)
+    return out.select(*IDS, "season", "week", "fold", Y, "oof", "oof_5", "oof_50", "oof_95", "conformed_low", "conformed_high", "inside_conformed")
+
+
+STACKED = ["ewm_passing_yards", "total_line"]
+
+
+_LEVELS = "(VALUES (5, 0.05::DOUBLE), (50, 0.5::DOUBLE), (95, 0.95::DOUBLE)) AS v(name, level)"
+
+
+@query("fold_quantile_coverage", f"""
+SELECT fold, CAST(name AS INT) AS name, level, true AS covered
+FROM (SELECT DISTINCT CAST(CAST('0x' || substr(md5(game_id || '|' || player_id || '|4416'), 1, 8) AS BIGINT) % 8 AS INT) AS fold
+      FROM starter_ewm), {_LEVELS}""")
+def fold_quantile_coverage(t: Tables):
+    """The fit of a fold leaves as many rows of the other folds below it as its level says, but for those it passes through (one per
+    coefficient) and a half per cent."""
+    rows = settle(model_rows(t).withColumn("fold", sets.hash_fold(IDS, 8, 4416)))
+    fits = M.fold_quantiles(rows, STACKED, Y, "fold").withColumnRenamed("fold", "of")
+    met = rows.crossJoin(F.broadcast(fits)).filter(c("fold") != c("of"))  # eight fits
+    n, p, entries = F.count(c(Y)), len(STACKED) + 1, []
+    for i, (name, level) in enumerate(((5, 0.05), (50, 0.5), (95, 0.95))):
+        below = F.sum(F.when(c(Y) <= M.linear_prediction(STACKED, F.slice("_coefs", i * p + 1, p)) + 1e-6, 1).otherwise(0))
+        covered = F.abs(below - level * n) <= 0.005 * n + p
+        entries.append(F.struct(F.lit(name).alias("name"), F.lit(level).alias("level"), covered.alias("covered")))
+    return met.groupBy(c("of").alias("fold")).agg(F.array(*entries).alias("e")).select("fold", F.inline("e"))
+
+
 @query("boosted_trees")
 def boosted_trees(t: Tables):
     return M.boosted_trees(model_rows(t), FEATURES, Y).select(*IDS, Y, "boost_pred")
@@ -214,13 +248,47 @@ SELECT player_id, {', '.join(GAME_ORDER)}, {Y}, CASE WHEN s_n * s_xx - s_x * s_x
   THEN (s_y * s_xx - s_x * s_xy) / (s_n * s_xx - s_x * s_x) ELSE s_y / s_n END AS smooth FROM s"""
 
 
-@query("lowess", _smooth_sql(), "smooth")
-def lowess(t: Tables):
-    """Smoothed passing yards of every starter over their games."""
+@query("local_line", _smooth_sql(), "smooth")
+def local_line(t: Tables):
+    """Passing yards of every starter, smoothed by lines over a fixed number of neighbouring games."""
     rows = settle(model_rows(t).select("player_id", *GAME_ORDER, Y))
     return M.local_smooth(rows, ["player_id"], GAME_ORDER, Y, HALF)
 
 
+_THIRD = """
+WITH s AS (SELECT player_id, season, week, game_id, passing_yards AS y, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY player_id) AS n
+           FROM starter_ewm WHERE passing_yards IS NOT NULL WINDOW w AS (PARTITION BY player_id ORDER BY season, week, game_id)),
+k AS (SELECT *, least(n, greatest(2, CAST(floor(0.7 * n + 1e-10) AS BIGINT))) AS k FROM s),
+l AS (SELECT *, least(greatest(0, CAST(ceil(i - k / 2) AS BIGINT)), n - k) AS l FROM k),
+h AS (SELECT *, greatest(i - l, l + k - 1 - i) AS h FROM l),
+{passes}
+SELECT player_id, season, week, game_id, h.y AS passing_yards, {last}.fit AS smooth
+FROM h JOIN {last} USING (player_id, i)"""
+
+
+def _lowess_sql(robust: int = 3) -> str:
+    """The plain passes: every place against every place of its window."""
+    parts, weight = [], "SELECT player_id, i, 1.0::DOUBLE AS w FROM h"
+    for p in range(robust + 1):
+        parts.append(f"w{p} AS ({weight})")
+        parts.append(f"""m{p} AS (SELECT a.player_id, a.i, any_value(a.y) AS y, sum(v) AS s0, sum(v * d) AS s1, sum(v * d * d) AS s2, sum(v * z) AS t0, sum(v * d * z) AS t1
+  FROM (SELECT a.player_id, a.i, a.y, b.y AS z, CAST(b.i - a.i AS DOUBLE) / a.h AS d,
+               pow(1 - pow(abs(CAST(b.i - a.i AS DOUBLE)) / a.h, 3), 3) * w.w AS v
+        FROM h a JOIN h b ON b.player_id = a.player_id AND b.i >= a.l AND b.i < a.l + a.k JOIN w{p} w ON w.player_id = b.player_id AND w.i = b.i
+        WHERE a.n > 2) AS a GROUP BY a.player_id, a.i)""")
+        parts.append(f"""f{p} AS (SELECT player_id, i, y, CASE WHEN s0 * s2 - s1 * s1 > 1e-9 * s0 * s0 THEN (t0 * s2 - s1 * t1) / (s0 * s2 - s1 * s1)
+  WHEN s0 > 1e-12 THEN t0 / s0 ELSE y END AS fit FROM m{p} UNION ALL SELECT player_id, i, y, y FROM h WHERE n < 3)""")
+        weight = f"""SELECT player_id, i, pow(1 - pow(CASE WHEN o > 0.999 THEN 1 WHEN o <= 0.001 THEN 0 ELSE o END, 2), 2) AS w
+  FROM (SELECT player_id, i, abs(y - fit) / nullif(6 * median(abs(y - fit)) OVER (PARTITION BY player_id), 0) AS o FROM f{p})"""
+    return _THIRD.format(passes=",\n".join(parts), last=f"f{robust}")
+
+
+@query("lowess", _lowess_sql(), "smooth")
+def lowess(t: Tables):
+    """Smoothed passing yards of every starter: lines over 0.7 of their games, three passes against outliers."""
+    return M.lowess(model_rows(t).select("player_id", *GAME_ORDER, Y), ["player_id"], GAME_ORDER, Y)
+
+
 @query("out_of_fold_line", f"""
 WITH r AS (SELECT game_id, player_id, {Y}, {X}, CAST(CAST('0x' || substr(md5(game_id || '|' || player_id || '|4416'), 1, 8)
              AS BIGINT) % 8 AS INT) AS fold FROM starter_ewm),
