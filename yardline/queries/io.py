@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import functions as F
@@ -103,6 +104,31 @@ def sink_overwrite(t: Tables):
     return T.read_table(t.spark, name)
 
 
+@query("sink_overwrite_columns", "SELECT event_id, value * 2 AS twice FROM events", "twice")
+def sink_overwrite_columns(t: Tables):
+    """Content with other columns takes the place of the old; a job that fails half-way changes nothing."""
+    name = _name(t, "columns")
+    T.overwrite_table(events(t), name)
+    T.overwrite_table(t.events.select("event_id", (c("value") * 2).alias("twice")), name)
+    broken = t.events.select(F.when(c("event_id") % 3 == 0, F.raise_error("a broken row")).otherwise(c("event_id")).cast("long").alias("event_id"), c("value").alias("twice"))
+    with contextlib.suppress(Exception):
+        T.overwrite_table(broken, name)
+    return T.read_table(t.spark, name)
+
+
+@query("sink_chunks", f"""
+SELECT event_id, user_id, event_type, value, CAST(event_id % 5 AS BIGINT) AS chunk, CAST(1 AS BIGINT) AS failed_first, CAST(0 AS BIGINT) AS failed_then
+FROM events""", "value")
+def sink_chunks(t: Tables):
+    """A load in five chunks, one of which can't be read at first: the others stay, and a second call adds that one."""
+    name = _name(t, "chunks")
+    rows, chunk = t.events.select("event_id", "user_id", "event_type", "value"), c("event_id") % 5
+    poisoned = rows.withColumn("value", F.when(chunk == 3, F.raise_error("a poisoned row").cast("double")).otherwise(c("value")))
+    first, then = T.load_chunks(poisoned, name, chunk), T.load_chunks(rows, name, chunk)
+    out = T.read_table(t.spark, name)
+    return out.select("*", F.lit(len(first)).cast("long").alias("failed_first"), F.lit(len(then)).cast("long").alias("failed_then"))
+
+
 @query("sink_append", f"{EVENTS} UNION ALL {EVENTS}", "value")
 def sink_append(t: Tables):
     """Two appends to an existing table."""
