@@ -13,19 +13,17 @@ from pyspark.sql import functions as F
 from yardline.llm.common import lookup, settle
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, n: int) -> DataFrame:
     both = links.union(links.select("b", "a").toDF("a", "b"))
-    least, drop = settle(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-    moved = lookup(both, least, ["a"], "inner").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    moved, _ = settle(moved.filter("a != b").distinct())
-    drop()
-    return moved
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    moved = lookup(both, least, ["a"], "inner", 2 * n).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.filter("a != b").distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, n: int) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least, _ = settle(down.groupBy("a").agg(F.min("b").alias("m")))
-    moved = lookup(down, least, ["a"], "inner").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    moved = lookup(down, least, ["a"], "inner", n).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -41,6 +39,7 @@ def components(links: DataFrame) -> DataFrame:
         if seen[:2] == state or seen[0] == 0:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = seen[:2]
-        following, drop_following = settle(_small_star(_large_star(links)))
+        n = seen[0]  # a link gives at most one link
+        following, drop_following = settle(_small_star(_large_star(links, n), n))
         drop()
         links, drop = following, drop_following
