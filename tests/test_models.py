@@ -113,9 +113,9 @@ def test_distribution_functions(spark):
     got = df.select("x", M.gamma_cdf(1.0, df["x"]).alias("one"), M.gamma_cdf(6.0, df["x"]).alias("six"),
                     normal_cdf(df["x"]).alias("up"), normal_cdf(-df["x"]).alias("down")).toPandas()
     x = got["x"].to_numpy()
-    np.testing.assert_allclose(got["one"], 1 - np.exp(-x), atol=8e-3)
+    np.testing.assert_allclose(got["one"], 1 - np.exp(-x), atol=1e-12)
     tail = np.exp(-x) * sum(x**k / math.factorial(k) for k in range(6))
-    np.testing.assert_allclose(got["six"], 1 - tail, atol=1e-3)
+    np.testing.assert_allclose(got["six"], 1 - tail, atol=1e-12)
     up = [0.5 * math.erfc(-v / math.sqrt(2)) for v in x]
     np.testing.assert_allclose(got["up"], up, atol=2e-7)
     np.testing.assert_allclose(got["down"], 1 - np.array(up), atol=2e-7)
@@ -264,3 +264,53 @@ def test_lowess_of_short_and_flat_series(spark):
     assert len(got) == len(rows) - 1
     assert all(r.smooth == pytest.approx(r.y, abs=1e-6) for r in got)
     assert M.smoothed(np.arange(200_000.0), 0.7, 1)[1000] == pytest.approx(1000, abs=1e-3)
+
+
+def test_exact_distributions(spark):
+    df = spark.createDataFrame([(x,) for x in (-9.0, -3.0, -0.5, 0.0, 0.5, 1.0, 4.0, 9.0, 80.0, 300.0)], "x double")
+    got = df.select("x", M.exact_normal_cdf(df["x"]).alias("n"), M.gamma_cdf(60.0, df["x"]).alias("g"), M.gamma_cdf(0.5, df["x"]).alias("h")).collect()
+    for r in got:
+        assert r.n == pytest.approx(0.5 * math.erfc(-r.x / math.sqrt(2)), abs=1e-12)
+        poisson = 1 - math.exp(-r.x) * sum(r.x**k / math.factorial(k) for k in range(60)) if r.x > 0 else 0.0
+        assert r.g == pytest.approx(poisson, abs=1e-10)
+        assert r.h == pytest.approx(math.erf(math.sqrt(r.x)) if r.x > 0 else 0.0, abs=1e-12)
+    p = spark.createDataFrame([(0.8 / 10.131, 100), (1.36 / 10.131, 100)], "d double, n long")
+    values = [r[0] for r in p.select(M.kolmogorov_p(p["d"], p["n"])).collect()]
+    assert values == pytest.approx([0.5441, 0.0495], abs=1e-3)
+
+
+def test_digamma(spark):
+    df = spark.createDataFrame([(x,) for x in (0.3, 1.0, 7.5, 4000.0)], "x double")
+    for x, d, t in df.select("x", M._digamma(df["x"]), M._digamma(df["x"], True)).collect():
+        n = 2_000_000
+        k = np.arange(n)
+        assert d == pytest.approx(math.log(n + x - 0.5) - (1 / (x + k)).sum(), abs=1e-8)
+        assert t == pytest.approx((1 / (x + k) ** 2).sum() + 1 / (n + x - 0.5), abs=1e-8)
+
+
+def test_negative_binomial(spark):
+    rng = np.random.default_rng(9)
+    n = 4000
+    pdf = pd.DataFrame({"id": np.arange(n), "a": rng.normal(size=n), "p": rng.integers(0, 12, n)})
+    mean = np.exp(1.5 + 0.4 * pdf["a"] + rng.normal(0, 0.4, 12)[pdf["p"]])
+    pdf["y"] = rng.poisson(mean * rng.gamma(3.0, 1 / 3.0, n))
+    fixed, out = M.negative_binomial(spark.createDataFrame(pdf), ["a"], "y", "p", ["id"])
+    got = out.toPandas().sort_values("id")
+    x = np.column_stack((np.ones(n), got["a"], got["p_encoded"]))
+    y, b, size = got["y"].to_numpy(), np.array([fixed["intercept"], fixed["a"], fixed["p_encoded"]]), fixed["size"]
+    np.testing.assert_allclose(np.exp(x @ b), got["count_pred"], rtol=1e-9)
+    assert 2.2 < size < 4.2 and fixed["a"] == pytest.approx(0.4, abs=0.06)
+
+    lgamma = np.vectorize(math.lgamma)
+
+    def likelihood(b, size):
+        m = np.exp(x @ b)
+        return (lgamma(y + size) - math.lgamma(size) + size * np.log(size / (size + m)) + y * np.log(m / (size + m))).sum()
+
+    best = likelihood(b, size)
+    for i in range(3):
+        for move in (-1e-3, 1e-3):
+            assert likelihood(b + move * np.eye(3)[i], size) <= best
+    assert likelihood(b, size * 1.01) <= best and likelihood(b, size / 1.01) <= best
+    _, none = M.negative_binomial(spark.createDataFrame(pdf).limit(0), ["a"], "y", "p", ["id"])
+    assert none.collect() == []

@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yardline.functions.scalars import normal_cdf
 from yardline.operators.aggregates import overall_quantiles, with_group
 from yardline.operators.windows import add_features, cumulative_sum, prior_totals
 from yardline.session import settle
@@ -568,17 +567,108 @@ def boosted_trees(df: DataFrame, xs: Sequence[str], y: str, trees: int = 100, na
     return est.fit(rows).transform(rows).withColumn(name, F.exp("_p")).drop("_x", "_log", "_p")
 
 
+# --- counts ------------------------------------------------------------------------------------------
+def _digamma(x: Column, derivative: bool = False) -> Column:
+    """Digamma function of a positive column, or its derivative, right to 1e-12: eight steps up, then the asymptotic series."""
+    low, high = F.lit(0.0), x + 8.0
+    for k in range(8):
+        low = low + F.pow(x + float(k), -2.0 if derivative else -1.0)
+    t = F.lit(1.0) / (high * high)
+    if derivative:
+        series = t / 2 + (1 + t * (1 / 6 - t * (1 / 30 - t * (1 / 42 - t * (1 / 30 - t * 5 / 66))))) / high
+        return series + low
+    return F.log(high) - 0.5 / high - t * (1 / 12 - t * (1 / 120 - t * (1 / 252 - t * (1 / 240 - t / 132)))) - low
+
+
+def negative_binomial(
+    df: DataFrame, xs: Sequence[str], y: str, entity: str, order: Sequence[str], name: str = "count_pred", steps: int = 100, tolerance: float = 1e-10
+) -> tuple[dict[str, float], DataFrame]:
+    """Counts with a log link and variance m + m * m / size, with an effect of the entity; returns the coefficients and the size, and the
+    rows with predictions.
+
+    The entity enters as its ordered target encoding (``target_encode``: earlier rows only, in ``order``), as column
+    ``<entity>_encoded``. Scoring for the coefficients and Newton steps for the logarithm of the size, both from one aggregate of the
+    rows a step. Rows with a null input or a negative count take no part. Counts that vary no more than their mean end at
+    a size of 1e7, the Poisson limit.
+    """
+    rows = target_encode(df.filter((c(y) >= 0) & c(entity).isNotNull()).na.drop("any", subset=[*xs, y]), entity, y, order)
+    rows = settle(rows)
+    terms = [*xs, f"{entity}_encoded"]
+    first = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.avg(y).alias("_m"), F.var_pop(y).alias("_v"),
+        *[f(c(x).cast("double")).alias(f"{label}_{x}") for x in terms for f, label in ((F.avg, "m"), (F.stddev_pop, "s"))],
+    ).first()
+    if not first["n"] or not first["_m"]:
+        return {}, rows.withColumn(name, F.lit(0.0) if first["n"] else F.lit(None).cast("double"))
+    centre = [first[f"m_{x}"] for x in terms]
+    spread = [first[f"s_{x}"] or 1.0 for x in terms]
+    z = [F.lit(1.0), *[(c(x).cast("double") - m) / s for x, m, s in zip(terms, centre, spread, strict=True)]]
+    beta = np.array([math.log(first["_m"]), *[0.0] * len(terms)])
+    size = min(1e7, first["_m"] ** 2 / max(first["_v"] - first["_m"], 1e-7 * first["_m"]))
+    count, p = c(y).cast("double"), len(z)
+    for _ in range(steps):
+        eta = sum((F.lit(float(b)) * v for b, v in zip(beta, z, strict=True)), F.lit(0.0))
+        own = rows.select(*[v.alias(f"z{i}") for i, v in enumerate(z)], count.alias("y"), F.exp(eta).alias("mean"))
+        share = F.lit(size) / (F.lit(size) + c("mean"))
+        sums = [F.sum(c(f"z{i}") * (c("y") - c("mean")) * share).alias(f"g{i}") for i in range(p)]
+        sums += [F.sum(c(f"z{i}") * c(f"z{j}") * c("mean") * share).alias(f"h{i}_{j}") for i in range(p) for j in range(i, p)]
+        past = F.lit(size) + c("y")
+        slope = _digamma(past) - _digamma(F.lit(size)) + F.log(share) + 1 - past / (F.lit(size) + c("mean"))
+        bend = _digamma(past, True) - _digamma(F.lit(size), True) + 1 / size - 2 / (F.lit(size) + c("mean")) + past / F.pow(F.lit(size) + c("mean"), 2.0)
+        r = own.agg(*sums, F.sum(slope).alias("slope"), F.sum(bend).alias("bend")).first()
+        h = np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)])
+        step = np.linalg.lstsq(h, np.array([r[f"g{i}"] for i in range(p)]), rcond=None)[0]
+        step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-300))
+        g, curve = size * r["slope"], size * r["slope"] + size * size * r["bend"]
+        move = -g / curve if curve < 0 else math.copysign(0.5, g)
+        move = max(-1.0, min(1.0, move))
+        beta, before, size = beta + step, size, min(1e7, size * math.exp(move))
+        if np.abs(step).max() < tolerance and abs(math.log(size / before)) < tolerance * 100:
+            break
+    else:
+        warnings.warn(f"the count model still moves after {steps} steps", stacklevel=2)
+    plain = beta[1:] / np.array(spread)
+    fixed = {"intercept": float(beta[0] - plain @ np.array(centre)), **dict(zip(terms, map(float, plain), strict=True)), "size": float(size)}
+    eta = sum((F.lit(float(b)) * v for b, v in zip(beta, z, strict=True)), F.lit(0.0))
+    return fixed, rows.withColumn(name, F.exp(eta))
+
+
 # --- distribution distance ---------------------------------------------------------------------------
-def gamma_cdf(shape: float, x: Column) -> Column:
-    """Distribution function of the gamma distribution with scale 1, by the cube-root approximation: a cube root of
-    a gamma variate is nearly normal (error below 0.008 from shape 1 on, 0.001 from shape 6 on)."""
-    spread = 1 / (9 * shape)
-    z = (F.pow(F.greatest(x, F.lit(0.0)) / shape, 1 / 3) - (1 - spread)) / math.sqrt(spread)
-    return normal_cdf(z)
+def gamma_cdf(shape: float, x: Column, most: float = 200.0) -> Column:
+    """Distribution function of the gamma distribution with scale 1, by its power series, whose terms are all positive: right to
+    1e-12 up to ``most``, beyond which there is too little left to count (``most`` is raised for large shapes)."""
+    most = max(most, shape + 12 * math.sqrt(shape) + 40)
+    inside = F.least(F.greatest(x, F.lit(1e-300)), F.lit(float(most)))
+    first = F.exp(F.lit(shape) * F.log(inside) - inside - math.lgamma(shape + 1))
+    terms = math.ceil(most + 10 * math.sqrt(most) + 60)
+    state = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def add(s: Column, k: Column) -> Column:
+        term = s["term"] * inside / (k + shape)
+        return F.struct(term.alias("term"), (s["sum"] + term).alias("sum"))
+
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), state, add, lambda s: s["sum"])
+    return F.when(x <= 0, 0.0).otherwise(F.least(first * total, F.lit(1.0)))
+
+
+def exact_normal_cdf(z: Column) -> Column:
+    """Distribution function of the standard normal, by that of the gamma distribution with shape one half."""
+    half = gamma_cdf(0.5, z * z / 2) / 2
+    return F.when(z < 0, 0.5 - half).otherwise(0.5 + half)
+
+
+def kolmogorov_p(distance: Column, n: Column) -> Column:
+    """Chance of a larger Kolmogorov-Smirnov distance: the limit distribution with Stephens' correction for the size."""
+    root = F.sqrt(n.cast("double"))
+    scaled = (root + 0.12 + 0.11 / root) * distance
+    total = F.lit(0.0)
+    for k in range(1, 41):
+        total = total + F.exp(scaled * scaled * (-2.0 * k * k)) * (2.0 if k % 2 else -2.0)
+    return F.when(scaled < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(total, F.lit(1.0))))
 
 
 def ks_distance(df: DataFrame, col: str, *, floor: int | None = None) -> DataFrame:
-    """Kolmogorov-Smirnov distance to a normal and to a gamma distribution fitted by moments.
+    """Kolmogorov-Smirnov distance to a normal and to a gamma distribution fitted by moments, and its p-value.
 
     The empirical distribution comes from counts by value; the fitted ones are column expressions.
     """
@@ -587,12 +677,13 @@ def ks_distance(df: DataFrame, col: str, *, floor: int | None = None) -> DataFra
     n, mean, var = m["n"], m["mean"], m["var"]
     counted = settle(rows.groupBy("x").agg(F.count(F.lit(1)).alias("_n")))
     counted = add_features(counted, [], ["x"], {"_upto": cumulative_sum("_n")}, floor=floor)
-    fitted = {"normal": normal_cdf((c("x") - mean) / math.sqrt(var)), "gamma": gamma_cdf(mean * mean / var, c("x") * (mean / var))}
+    fitted = {"normal": exact_normal_cdf((c("x") - mean) / math.sqrt(var)), "gamma": gamma_cdf(mean * mean / var, c("x") * (mean / var))}
     aggs = []
     for d, f in fitted.items():
         gap = F.greatest(c("_upto") / F.lit(n) - f, f - (c("_upto") - c("_n")) / F.lit(n))
         aggs.append(F.max(gap).alias(f"{d}_distance"))
-    return counted.agg(F.sum("_n").alias("n"), *aggs)
+    out = counted.agg(F.sum("_n").alias("n"), *aggs)
+    return out.withColumns({f"{d}_p": kolmogorov_p(c(f"{d}_distance"), c("n")) for d in fitted})
 
 
 # --- smoothing ---------------------------------------------------------------------------------------

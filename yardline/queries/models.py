@@ -12,7 +12,6 @@ from yardline.plans.features import GAME_ORDER, opponent_defence, shrunk_ewm
 from yardline.plans.wide import walk_forward_wide
 from yardline.queries.features import starter_ewm
 from yardline.queries.registry import Tables, query
-from yardline.queries.views import normal_sql
 from yardline.session import settle
 
 c = F.col
@@ -217,15 +216,26 @@ def boosted_trees(t: Tables):
     return M.boosted_trees(model_rows(t), FEATURES, Y).select(*IDS, Y, "boost_pred")
 
 
+def _gamma_sql(shape: str, x: str) -> str:
+    """The incomplete gamma function, term by term."""
+    return f"""(CASE WHEN {x} <= 0 THEN 0 ELSE least(1, list_sum(list_transform(range(0, 500),
+      lambda i: exp(-least({x}, 200) + ({shape} + i) * ln(least({x}, 200)) - lgamma({shape} + i + 1))))) END)"""
+
+
+_P = """CASE WHEN {0} < 0.2 THEN 1 ELSE greatest(0, least(1, list_sum(list_transform(range(1, 41),
+  lambda k: (CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END) * exp(-2.0::DOUBLE * k * k * {0} * {0}))))) END"""
+
+
 @query("ks_distance", f"""
 WITH m AS (SELECT count(value) AS n, avg(value) AS mean, var_pop(value) AS var FROM events),
 k AS (SELECT value AS x, count(*) AS k FROM events WHERE value IS NOT NULL GROUP BY value),
-e AS (SELECT x, k, sum(k) OVER (ORDER BY x) AS upto, n, (x - mean) / sqrt(var) AS z,
-             (pow(greatest(x * mean / var, 0) / (mean * mean / var), 1.0::DOUBLE / 3) - (1 - var / (9 * mean * mean)))
-               / sqrt(var / (9 * mean * mean)) AS g FROM k, m),
-f AS (SELECT e.*, {normal_sql("z")} AS a, {normal_sql("g")} AS b FROM e)
-SELECT CAST(sum(k) AS BIGINT) AS n, max(greatest(upto / n - a, a - (upto - k) / n)) AS normal_distance,
-       max(greatest(upto / n - b, b - (upto - k) / n)) AS gamma_distance FROM f""", "normal_distance gamma_distance")
+e AS (SELECT x, k, sum(k) OVER (ORDER BY x) AS upto, n, (x - mean) / sqrt(var) AS z, mean * mean / var AS shape, x * mean / var AS g FROM k, m),
+f AS (SELECT e.*, 0.5 + (CASE WHEN z < 0 THEN -1 ELSE 1 END) * {_gamma_sql("0.5::DOUBLE", "(z * z / 2)")} / 2 AS a, {_gamma_sql("shape", "g")} AS b FROM e),
+d AS (SELECT CAST(sum(k) AS BIGINT) AS n, max(greatest(upto / n - a, a - (upto - k) / n)) AS normal_distance,
+             max(greatest(upto / n - b, b - (upto - k) / n)) AS gamma_distance FROM f),
+s AS (SELECT *, (sqrt(n) + 0.12 + 0.11 / sqrt(n)) * normal_distance AS u, (sqrt(n) + 0.12 + 0.11 / sqrt(n)) * gamma_distance AS v FROM d)
+SELECT n, normal_distance, gamma_distance, {_P.format("u")} AS normal_p, {_P.format("v")} AS gamma_p FROM s""",
+       "normal_distance gamma_distance normal_p gamma_p")
 def ks_distance(t: Tables):
     return M.ks_distance(t.events, "value")
 
@@ -331,6 +341,33 @@ def count_glm_equations(t: Tables):
     return _equations(out, c("completions") - c("count_pred"), c("count_pred"))
 
 
+def counted_rows(t: Tables):
+    return model_rows(t).withColumn("completions", F.greatest(c(Y) / 10, F.lit(0.0)).cast("int"))
+
+
+@query("count_model")
+def count_model(t: Tables):
+    """Counts that vary more than their mean, with an effect of the player; the estimated size beside every prediction."""
+    fixed, out = M.negative_binomial(counted_rows(t), FEATURES, "completions", "player_id", [*GAME_ORDER])
+    return out.select(*IDS, "completions", "player_id_encoded", "count_pred", F.lit(fixed.get("size")).cast("double").alias("size"))
+
+
+@query("count_model_equations", f"{_ZEROS} UNION ALL SELECT 'player_id_encoded', 0.0::DOUBLE UNION ALL SELECT 'size', 0.0::DOUBLE")
+def count_model_equations(t: Tables):
+    """Checks the optimum of the count model in all parameters: the size's equation by sums of reciprocals over each count."""
+    fixed, out = M.negative_binomial(counted_rows(t), FEATURES, "completions", "player_id", [*GAME_ORDER])
+    n, mean, size = c("completions").cast("double"), c("count_pred"), F.lit(fixed["size"])
+    weight = size / (size + mean)
+    terms = {"intercept": F.lit(1.0)} | {x: c(x).cast("double") for x in [*FEATURES, "player_id_encoded"]}
+    left = [F.struct(F.lit(x).alias("term"), F.round(F.abs(F.sum((n - mean) * weight * v)) / F.sum(F.abs(mean * weight * v)), 3).alias("left"))
+            for x, v in terms.items()]
+    # digamma(count + size) - digamma(size) = 1 / size + ... + 1 / (size + count - 1)
+    steps = F.when(c("completions") > 0, F.aggregate(F.sequence(F.lit(0), c("completions") - 1), F.lit(0.0), lambda s, i: s + 1 / (size + i))).otherwise(0.0)
+    past = F.log(weight) + 1 - (n + size) / (size + mean)
+    left.append(F.struct(F.lit("size").alias("term"), F.round(F.abs(F.sum(steps + past)) / F.sum(steps + F.abs(past)), 3).alias("left")))
+    return out.agg(F.array(*left).alias("e")).select(F.inline("e"))
+
+
 @query("gamma_equations", _ZEROS)
 def gamma_equations(t: Tables):
     """Checks the optimum of the gamma fit, not single predictions."""
