@@ -314,3 +314,32 @@ def test_negative_binomial(spark):
     assert likelihood(b, size * 1.01) <= best and likelihood(b, size / 1.01) <= best
     _, none = M.negative_binomial(spark.createDataFrame(pdf).limit(0), ["a"], "y", "p", ["id"])
     assert none.collect() == []
+
+
+def test_time_series_fits(spark, data):
+    pdf, _ = data
+    pdf = pdf.assign(block=pdf["id"] // 150, pos=np.exp(1 + 0.3 * pdf["a"]) * np.random.default_rng(1).gamma(4, 0.25, len(pdf)))
+    df = spark.createDataFrame(pdf)
+    huber = {r["block"]: np.array(r["_coefs"]) for r in M.time_series_fits(df, ["a", "b"], "y", "block", ["huber"]).collect()}
+    gamma = {r["block"]: np.array(r["_coefs"]) for r in M.time_series_fits(df, ["a", "b"], "pos", "block", ["gamma"]).collect()}
+    assert sorted(huber) == sorted(gamma) == [1, 2, 3]
+    for k in (1, 3):
+        past = pdf[pdf["block"] < k]
+        x = np.column_stack((np.ones(len(past)), past[["a", "b"]]))
+        mean = np.exp(x @ gamma[k])
+        np.testing.assert_allclose(x.T @ ((past["pos"] - mean) / mean), 0, atol=1e-4 * len(past))
+        b, sd = np.zeros(3), np.array([0, past["a"].std(ddof=0), past["b"].std(ddof=0)])
+        sigma, y = past["y"].std(), past["y"].to_numpy()
+        for _ in range(500):
+            e = np.abs(y - x @ b)
+            w = np.where(e > 1.15 * sigma, 1.15 * sigma / np.maximum(e, 1e-300), 1.0)
+            b = np.linalg.solve(x.T @ (x * w[:, None]) + 5 * sigma * np.diag(sd**2), x.T @ (w * y))
+            e = np.abs(y - x @ b)
+            out = e > 1.15 * sigma
+            sigma = np.sqrt((e[~out] ** 2).sum() / (len(y) - 1.15**2 * out.sum()))
+        np.testing.assert_allclose(huber[k], b, rtol=1e-4, atol=1e-4)
+    scores = M.time_series_model_scores(df, ["a", "b"], "y", "block", models=("huber",)).toPandas().set_index("block")["mae"]
+    own = pdf[pdf["block"] == 3]
+    want = np.abs(own["y"] - np.column_stack((np.ones(len(own)), own[["a", "b"]])) @ huber[3]).mean()
+    assert scores[3] == pytest.approx(want)
+    assert M.time_series_fits(df.limit(0), ["a"], "y", "block").collect() == []

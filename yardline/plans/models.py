@@ -518,6 +518,104 @@ def stack(
     return rows.withColumns(quantile).drop("_coefs", "_of")
 
 
+def time_series_fits(
+    df: DataFrame, xs: Sequence[str], y: str, fold: str, models: Sequence[str] = ("gamma", "huber"), epsilon: float = 1.15, alpha: float = 5.0,
+    passes: int = 100, tolerance: float = 1e-7,
+) -> DataFrame:
+    """Gamma regressions (log link, positive targets) and Huber regressions of each test block on all lower blocks: rows (fold, model,
+    ``_coefs``). Block 0 is only trained on.
+
+    The fits of all blocks share the passes: a row adds its re-weighted products, or working targets, to the sums of every block above
+    its own. Penalties of the Huber fits are on standardised features.
+    """
+    size = len(xs) + 2
+    rows = df.select(c(fold).cast("int").alias("_fold"), *[c(x).cast("double").alias(x) for x in xs], c(y).cast("double").alias(y)).na.drop()
+    rows = settle(rows)
+    out: list[tuple[int, str, list[float]]] = []
+    for model in models:
+        used = rows.filter(c(y) > 0) if model == "gamma" else rows
+        used = used.withColumn(y, F.log(c(y))) if model == "gamma" else used  # the first guess is a line through the logarithms
+        grams = {r["_fold"]: read_gram(r, size) for r in gram_table(used, xs, y, ["_fold"]).collect()}
+        blocks = [k for k in sorted(grams) if any(j < k for j in grams)]
+        if not blocks:
+            continue
+        past = [Gram(sum(g.m for j, g in grams.items() if j < k)) for k in blocks]
+        fits = [g.ridge() for g in past]
+        beta = np.array([[b0, *w] for b0, w, _ in fits])
+        spread = np.array([np.sqrt(np.maximum(np.diag(g.m)[:-1] / g.n - (g.m[0, :-1] / g.n) ** 2, 0)) for g in past])
+        scale = np.array([math.sqrt(max(float(np.append(-b, 1.0) @ g.m @ np.append(-b, 1.0)) / g.n, 1e-12)) for g, b in zip(past, beta, strict=True)])
+        moved = math.inf
+        for _ in range(passes):
+            sums = _block_sums(rows, blocks, beta, scale, epsilon, size, model)
+            m = sums[:, :-3].reshape(-1, size, size)
+            a = m[:, :-1, :-1].copy()
+            if model == "huber":
+                i = np.arange(size - 1)
+                a[:, i, i] += alpha * scale[:, None] * spread**2
+                inside, outside, n = sums[:, -3:].T
+                new_scale = np.sqrt(np.maximum(inside / np.maximum(n - epsilon**2 * outside, 1.0), 1e-12))
+            else:
+                new_scale = scale
+            new = np.array([np.linalg.lstsq(v, b, rcond=None)[0] for v, b in zip(a, m[:, :-1, -1], strict=True)])
+            unit = np.maximum(spread, 1e-12)
+            unit[:, 0] = 1.0
+            moved = float(max((np.abs(new - beta) * unit / (scale[:, None] if model == "huber" else 1.0)).max(), np.abs(new_scale / scale - 1).max()))
+            beta, scale = new, new_scale
+            if moved < tolerance:
+                break
+        else:
+            warnings.warn(f"{model} fits still move by {moved:.1e} after {passes} passes", stacklevel=2)
+        out += [(k, model, [float(v) for v in b]) for k, b in zip(blocks, beta, strict=True)]
+    return df.sparkSession.createDataFrame(out, f"`{fold}` int, model string, _coefs array<double>")
+
+
+def _block_sums(
+    rows: DataFrame, blocks: Sequence[int], beta: np.ndarray, scale: np.ndarray, epsilon: float, size: int, model: str
+) -> np.ndarray:
+    """Per block, of the rows of lower blocks: weighted products, squared residuals inside, rows outside, rows."""
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        acc = np.zeros((len(blocks), size * size + 3))
+        for pdf in batches:
+            v = np.column_stack([np.ones(len(pdf)), pdf.iloc[:, 1:].to_numpy(dtype=float)])
+            lower = pdf.iloc[:, 0].to_numpy()[:, None] < np.array(blocks)
+            eta = v[:, :-1] @ beta.T
+            if model == "gamma":
+                weight = (lower & (v[:, -1:] > 0)).astype(float)
+                target = eta + v[:, -1:] * np.exp(-np.clip(eta, -50, 50)) - 1
+            else:
+                e = np.abs(v[:, -1:] - eta)
+                far = e > epsilon * scale
+                weight = np.where(far, epsilon * scale / np.maximum(e, 1e-300), 1.0) * lower
+                target = v[:, -1:]
+                acc[:, -3] += (e**2 * ~far * lower).sum(axis=0)
+                acc[:, -2] += (far & lower).sum(axis=0)
+            acc[:, -1] += lower.sum(axis=0)
+            x = v[:, :-1]
+            sums = np.zeros((len(blocks), size, size))
+            sums[:, :-1, :-1] = (weight.T @ (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)).reshape(len(blocks), size - 1, size - 1)
+            sums[:, :-1, -1] = (weight * target).T @ x
+            acc[:, :-3] += sums.reshape(len(blocks), -1)
+        i, j = np.indices(acc.shape)
+        yield pd.DataFrame({"block": i.ravel(), "at": j.ravel(), "v": acc.ravel()})
+
+    parts = rows.mapInPandas(fold, "block int, at int, v double").groupBy("block", "at").agg(F.sum("v").alias("v")).toPandas()
+    out = np.zeros((len(blocks), size * size + 3))
+    out[parts["block"], parts["at"]] = parts["v"]
+    return out
+
+
+def time_series_model_scores(df: DataFrame, xs: Sequence[str], y: str, fold: str, **fit) -> DataFrame:
+    """Mean absolute error per model and test block, each predicted from all lower blocks. Gamma models are judged on positive targets."""
+    df = settle(df)
+    fits = time_series_fits(df, xs, y, fold, **fit).withColumnRenamed(fold, "_of")
+    rows = df.na.drop("any", subset=[*xs, y]).join(F.broadcast(fits), c(fold) == c("_of"))  # a row per block and model
+    line = linear_prediction(xs, c("_coefs"))
+    rows = rows.withColumn("_e", F.abs(c(y) - F.when(c("model") == "gamma", F.exp(line)).otherwise(line)))
+    rows = rows.filter((c("model") != "gamma") | (c(y) > 0))
+    return rows.groupBy("model", fold).agg(F.count(F.lit(1)).alias("n"), F.avg("_e").alias("mae"))
+
+
 def predict_linear(df: DataFrame, xs: Sequence[str], coefs: Sequence[float], name: str) -> DataFrame:
     return df.withColumn(name, linear_prediction(xs, F.array(*[F.lit(float(v)) for v in coefs])))
 

@@ -47,6 +47,21 @@ def starter_ewm(t: Tables):
     return X.starter_averages(starters(t))
 
 
+_NEXT_GEN = """SELECT season, week, passer_player_id AS player_id, avg(air_yards) AS avg_intended_air_yards,
+  avg(cpoe) AS completion_percentage_above_expectation FROM {plays} WHERE passer_player_id IS NOT NULL GROUP BY season, week, passer_player_id"""
+
+
+@query("starters_next_gen", f"""
+SELECT game_id, player_id, passing_yards, avg_intended_air_yards, completion_percentage_above_expectation
+FROM starter_lines LEFT JOIN ({_NEXT_GEN.format(plays="plays")}) USING (season, week, player_id)""",
+       "passing_yards avg_intended_air_yards completion_percentage_above_expectation")
+def starters_next_gen(t: Tables):
+    """Starters with the tracking numbers of their week, joined one to one."""
+    tracking = t.spark.sql(_NEXT_GEN, plays=t.plays)
+    rows = X.starters(t.passers, t.games, tracking)
+    return rows.select("game_id", "player_id", "passing_yards", "avg_intended_air_yards", "completion_percentage_above_expectation")
+
+
 @query("fantasy_points", """
 SELECT 'pass' AS kind, game_id, player_id, dk_points, fd_points FROM qb_scored
 UNION ALL SELECT 'rush', game_id, player_id, rush_dk_points, rush_fd_points FROM rush_scored

@@ -101,6 +101,25 @@ def ridge_grid(t: Tables):
     return M.time_series_scores(rows, FEATURES, Y, "fold", [0.1, 1, 10, 100, 500, 1000])
 
 
+@query("time_series_models")
+def time_series_models(t: Tables):
+    """Error of gamma and Huber regressions per time block, each fitted on all blocks before."""
+    rows = model_rows(t).filter(c(Y) > 0)
+    rows = sets.time_folds(settle(rows), [*GAME_ORDER, "player_id"], 15)
+    return M.time_series_model_scores(rows, FEATURES, Y, "fold")
+
+
+@query("gamma_line_scores", f"""
+WITH r AS (SELECT season, {Y} AS y FROM starter_ewm WHERE {Y} > 0),
+f AS (SELECT DISTINCT season AS fold FROM r),
+m AS (SELECT f.fold, avg(y) AS mean FROM f JOIN r ON r.season < f.fold GROUP BY f.fold)
+SELECT 'gamma' AS model, CAST(fold AS INT) AS fold, count(*) AS n, avg(abs(y - mean)) AS mae FROM r JOIN m ON m.fold = r.season GROUP BY fold""", "mae")
+def gamma_line_scores(t: Tables):
+    """A gamma regression on nothing but the intercept predicts the mean of the seasons before."""
+    rows = model_rows(t).filter(c(Y) > 0).withColumns({"fold": c("season").cast("int"), "none": F.lit(0.0)})
+    return M.time_series_model_scores(rows, ["none"], Y, "fold", models=("gamma",))
+
+
 @query("gamma_regression")
 def gamma_regression(t: Tables):
     return M.gamma_regression(model_rows(t), FEATURES, Y).select(*IDS, Y, "gamma_pred")
