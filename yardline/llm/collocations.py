@@ -1,7 +1,7 @@
 """Phrases whose words stand together more often than their parts make likely.
 
 Tasks count phrases in a trie over word ids whose lower part is hash tables (a HAT-trie): a table holds what may follow the
-words on the way to it, and bursts into a node with a table per next word when it has too many entries. A text's words go
+words on the way to it, and bursts into a node with tables by the next bits of a word's id when it has too many entries. A text's words go
 in as suffixes of a few words, so the count of a phrase is the sum over the subtree below it. When a task holds too much, the
 largest subtrees are taken out as sorted runs, from which one pass gives the counts of all prefixes. Runs are dealt by prefix,
 many to a row, and Spark adds them up part by part. A prefix is dealt by all of its words, so no hot word or pair gathers its
@@ -33,6 +33,7 @@ ABSORBED = 100  # per cent of a phrase's occurrences
 TOP = 2000
 UNKNOWN = "und"
 BURST = 1 << 14  # entries of a table
+ID_BITS, DIGIT = 24, 6  # bits of a word's id, and those that a node looks at
 MOST = 400_000  # entries of a task's trie
 MOST_IDS = 1 << 19  # words that a task has ids for
 SCREEN_BITS = 25  # a screen has 2 ** bits places: 4 MB, however large the corpus is
@@ -106,43 +107,49 @@ def screen(phrases: DataFrame, words: int, bits: int = SCREEN_BITS) -> Screen:
 
 
 class Trie:
-    """Counts of rows of word ids (0 fills up short ones), by language: nodes are dicts by the next id, tables are counters
-    of what follows, as bytes."""
+    """Counts of rows of word ids (0 fills up short ones), by language: nodes are dicts by the next ``DIGIT`` bits of an id, tables are
+    counters of what is left of the rows, as bytes. A table holds the words that share the bits on its way, and has their
+    ids whole until all bits are on the way."""
 
     def __init__(self, width: int, burst: int = BURST) -> None:
         self.width, self.burst, self.entries = width, burst, 0
         self.langs: dict[str, dict | Counter] = {}
 
+    @staticmethod
+    def _below(word: int, shift: int) -> tuple[int, int]:
+        return (word, shift + DIGIT) if shift + DIGIT < ID_BITS else (word + 1, 0)
+
     def add(self, lang: str, rows: np.ndarray) -> None:
         """Count rows, an array of big-endian ids."""
-        self.langs[lang] = self._add(self.langs.get(lang), rows, None, 0)
+        self.langs[lang] = self._add(self.langs.get(lang), rows, None, 0, 0)
 
-    def _add(self, at: dict | Counter | None, rows: np.ndarray, counts: np.ndarray | None, depth: int) -> dict | Counter:
-        """The node or table with the rows in it; their first ``depth`` ids are the way to it."""
+    def _add(self, at: dict | Counter | None, rows: np.ndarray, counts: np.ndarray | None, word: int, shift: int) -> dict | Counter:
+        """The node or table with the rows in it; their bits before ``word`` and ``shift`` are the way to it."""
         if at is None:
             at = Counter()
+        below = self._below(word, shift)
         if isinstance(at, Counter):
             before = len(at)
-            keys = np.ascontiguousarray(rows[:, depth:]).view(f"S{4 * (self.width - depth)}").ravel().tolist()
+            keys = np.ascontiguousarray(rows[:, word:]).view(f"S{4 * (self.width - word)}").ravel().tolist()
             if counts is None:
                 at.update(keys)
             else:
                 for k, n in zip(keys, counts.tolist(), strict=True):
                     at[k] += n
             self.entries += len(at) - before
-            if len(at) <= self.burst or self.width - depth < 2:
+            if len(at) <= self.burst or below[0] == self.width:
                 return at
             self.entries -= len(at)
-            rest = self._matrix(list(at), self.width - depth)
-            rows = np.zeros((len(rest), self.width), ">u4")
-            rows[:, depth:] = rest
-            return self._add({}, rows, np.array(list(at.values()), np.int64), depth)
-        order = np.argsort(rows[:, depth], kind="stable")
-        rows = rows[order]
+            rows = np.zeros((len(at), self.width), ">u4")
+            rows[:, word:] = self._matrix(list(at), self.width - word)
+            counts, at = np.array(list(at.values()), np.int64), {}
+        digit = (rows[:, word].astype(np.uint32) >> shift & ((1 << DIGIT) - 1)).astype(np.uint8)
+        order = np.argsort(digit, kind="stable")
+        rows, digit = rows[order], digit[order]
         counts = None if counts is None else counts[order]
-        heads = np.flatnonzero(np.concatenate(([True], rows[1:, depth] != rows[:-1, depth])))
-        for i, (a, b) in zip(rows[heads, depth].tolist(), zip(heads.tolist(), [*heads[1:].tolist(), len(rows)], strict=True), strict=True):
-            at[i] = self._add(at.get(i), rows[a:b], None if counts is None else counts[a:b], depth + 1)
+        heads = np.flatnonzero(np.concatenate(([True], digit[1:] != digit[:-1])))
+        for i, a, b in zip(digit[heads].tolist(), heads.tolist(), [*heads[1:].tolist(), len(rows)], strict=True):
+            at[i] = self._add(at.get(i), rows[a:b], None if counts is None else counts[a:b], *below)
         return at
 
     @staticmethod
@@ -152,16 +159,24 @@ class Trie:
     def _size(self, at: dict | Counter) -> int:
         return len(at) if isinstance(at, Counter) else sum(self._size(x) for x in at.values())
 
-    def _sorted(self, at: dict | Counter, way: bytes) -> Iterator[tuple[bytes, int]]:
+    def _run(self, at: dict | Counter, way: bytes, bits: int, word: int, shift: int, keys: list[bytes], counts: list[int]) -> None:
+        """Append a subtree's entries: equal beginnings lie together."""
         if isinstance(at, Counter):
-            for k, n in sorted(at.items()):
-                yield way + k, n
-        else:
-            for i in sorted(at):
-                yield from self._sorted(at[i], way + i.to_bytes(4, "big"))
+            own = sorted(at)
+            keys += [way + k for k in own] if way else own
+            counts += [at[k] for k in own]
+            return
+        below = self._below(word, shift)
+        for i in sorted(at):
+            whole = bits | i << shift
+            if below[0] > word:
+                self._run(at[i], way + whole.to_bytes(4, "big"), 0, *below, keys, counts)
+            else:
+                self._run(at[i], way, whole, *below, keys, counts)
 
     def spill(self, keep: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-        """Take out whole subtrees, the largest first, until ``keep`` entries are left: (language, rows in order, counts)."""
+        """Take out whole subtrees, the largest first, until ``keep`` entries are left: (language, rows, counts), with rows of
+        equal beginnings next to each other."""
         trees = []
         for lang, at in self.langs.items():
             if isinstance(at, Counter):
@@ -177,15 +192,20 @@ class Trie:
             chosen.setdefault(lang, []).append(i)
         for lang, firsts in chosen.items():
             at = self.langs[lang]
+            keys: list[bytes] = []
+            counts: list[int] = []
             if firsts == [None]:
-                run, self.langs[lang] = list(self._sorted(at, b"")), Counter()
+                self._run(at, b"", 0, 0, 0, keys, counts)
+                self.langs[lang] = Counter()
             else:
-                run = [e for i in sorted(firsts) for e in self._sorted(at.pop(i), i.to_bytes(4, "big"))]
-            yield lang, self._matrix([k for k, _ in run], self.width), np.array([n for _, n in run], np.int64)
+                below = self._below(0, 0)
+                for i in sorted(firsts):
+                    self._run(at.pop(i), b"", i, *below, keys, counts)
+            yield lang, self._matrix(keys, self.width), np.array(counts, np.int64)
 
 
 def prefix_counts(rows: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the different prefixes of so many words in a sorted run, and the counts of their subtrees."""
+    """Places of the different prefixes of so many words in a run, and the counts of their subtrees."""
     long = np.flatnonzero(rows[:, words - 1] > 0)
     if not len(long):
         return long, long
