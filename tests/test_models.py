@@ -343,3 +343,26 @@ def test_time_series_fits(spark, data):
     want = np.abs(own["y"] - np.column_stack((np.ones(len(own)), own[["a", "b"]])) @ huber[3]).mean()
     assert scores[3] == pytest.approx(want)
     assert M.time_series_fits(df.limit(0), ["a"], "y", "block").collect() == []
+
+
+def test_boosted_gamma(spark):
+    rng = np.random.default_rng(12)
+    n = 3000
+    pdf = pd.DataFrame({"id": np.arange(n), "a": rng.normal(size=n), "p": rng.integers(0, 9, n)})
+    mean = np.exp(1 + np.where(pdf["a"] > 0.3, 0.8, 0.0) + rng.normal(0, 0.5, 9)[pdf["p"]])
+    pdf["y"] = mean * rng.gamma(5, 0.2, n)
+    df = spark.createDataFrame(pdf)
+    losses, out = M.boosted_gamma(df, ["a"], "y", df["id"] % 5 != 0, "p", ["id"], rounds=14, rate=0.3)
+    train, held = np.array(losses).T
+    assert (np.diff(train) < 1e-9).all() and (np.diff(held[:8]) < 0).all()
+    got = out.toPandas()
+    ratio = got["y"] / got["boost_pred"]
+    own = (2 * (ratio - 1 - np.log(ratio)))[~got["_fitted"]].mean()
+    assert own == pytest.approx(held[-1]) and held[-1] < 0.6 * held[0]
+    # the first tree's leaves hold the step that is best for their rows
+    base = pdf.loc[pdf["id"] % 5 != 0, "y"].mean()
+    _, one = M.boosted_gamma(df, ["a"], "y", df["id"] % 5 != 0, rounds=1, rate=1.0, depth=1)
+    for _, rows in one.filter("_fitted").toPandas().groupby("boost_pred"):
+        step = 1 - base / rows["y"].mean()
+        assert np.log(rows["boost_pred"].iloc[0] / base) == pytest.approx(step, rel=1e-6)
+    assert M.boosted_gamma(df.limit(0), ["a"], "y", df["id"] > 0)[0] == []

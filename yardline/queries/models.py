@@ -259,6 +259,28 @@ def ks_distance(t: Tables):
     return M.ks_distance(t.events, "value")
 
 
+@query("boosted_gamma")
+def boosted_gamma(t: Tables):
+    """Deviance of gamma boosting on four fifths of the starters and on the others, round by round."""
+    rows = model_rows(t)
+    train = sets.hash_number(IDS, 0) % 5 != 0
+    losses, _ = M.boosted_gamma(rows, FEATURES, Y, train, "player_id", GAME_ORDER)
+    schema = "round int, train_deviance double, held_out_deviance double"
+    return t.spark.createDataFrame([(i, *loss) for i, loss in enumerate(losses)], schema)
+
+
+@query("boosted_gamma_rows", f"""
+SELECT game_id, player_id, CAST('0x' || substr(md5(game_id || '|' || player_id || '|0'), 1, 8) AS BIGINT) % 5 <> 0 AS trained, true AS better
+FROM starter_ewm WHERE {Y} > 0""")
+def boosted_gamma_rows(t: Tables):
+    """Rows of both parts; training ends with less deviance than it began with, and held-out rows with no more than a hundredth above."""
+    rows = model_rows(t)
+    train = sets.hash_number(IDS, 0) % 5 != 0
+    losses, out = M.boosted_gamma(rows, FEATURES, Y, train, "player_id", GAME_ORDER, rounds=10)
+    better = bool(losses) and losses[-1][0] < losses[0][0] and losses[-1][1] <= losses[0][1] * 1.01
+    return out.select(*IDS, c("_fitted").alias("trained"), F.lit(better).alias("better"))
+
+
 HALF = 6
 
 
