@@ -447,7 +447,7 @@ def elastic_net(
     """Coefficients per week, and (penalty, share of the absolute part) of the lowest mean error over the folds left out.
 
     In turns, columns and players come to rest quickly where the penalty is large; the fits that still move go on by Newton
-    steps, a thousand at a time.
+    steps, four thousand at a time.
     """
     grid = np.array([(a, r) for r in ratios for a in sorted(alphas, reverse=True)])
     weeks, k = len(eq.n), d.size
@@ -469,7 +469,7 @@ def elastic_net(
     fold, which = np.divmod(np.arange(len(fits)), len(grid))
     week, fold = np.divmod(fold, d.folds + 1)
     columns = eq.map[:, :k]
-    parts = lambda at: np.array_split(at, -(-len(at) // 1024))
+    parts = lambda at: np.array_split(at, -(-len(at) // 4096))
     for _ in range(turns):
         u, _ = net_pass(rows, d, raw(x), counts, grid)
         b = (target[:, :, None, :] - np.einsum("wjk,wfcj->wfck", columns, u)).reshape(-1, k + 1)
