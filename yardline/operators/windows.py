@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from yardline.operators.skew import GROUP_FLOOR, GroupSizes, group_sizes, join_on, ordering, with_position
+from yardline.session import settle
 
 POS = "_pos"
 _FIRST = Window.unboundedPreceding
@@ -246,6 +247,59 @@ def add_features(
     return _in_chunks(df, keys, order, features, descending, sizes)
 
 
+def settled_beyond(df: DataFrame, row_bound: int | None = None, floor: int | None = None) -> DataFrame:
+    """``df`` written once where ``add_features`` is going to measure it, so that counts, groups and the windows
+    read its rows instead of running its plan again each time."""
+    return df if row_bound is not None and floor is None and row_bound <= GROUP_FLOOR else settle(df)
+
+
+def add_expanding_means(
+    df: DataFrame,
+    by: dict[str, Sequence[str]],
+    unit: Sequence[str],
+    order: Sequence[str],
+    col: str,
+    *,
+    floor: int | None = None,
+    row_bound: int | None = None,
+) -> DataFrame:
+    """Expanding means of one column before each row, ordered by ``unit`` and then ``order``: a name and its keys each.
+
+    Like ``add_features``, for groups made of many small units (the games of a season). A unit's totals are carried
+    over the units before it and enter its rows as one more row in front, so rows move once, by unit, for
+    all the means, and no group is gathered. A unit that a task can't take leaves all to ``add_features``.
+    """
+    whole = [*unit, *order]
+    keys = list(dict.fromkeys(k for ks in by.values() for k in ks))
+    plain = row_bound is not None and floor is None and row_bound <= GROUP_FLOOR
+    if not plain:
+        x = F.col(col).cast("double")
+        sums = (F.sum(x).alias("_s"), F.count(x).alias("_n"), F.count(F.lit(1)).alias("_rows"))
+        totals = settle(df.groupBy(*dict.fromkeys([*keys, *unit])).agg(*sums))
+        largest = totals.groupBy(*unit).agg(F.sum("_rows").alias("_rows")).agg(F.max("_rows")).first()[0] or 0
+        plain = largest > (GROUP_FLOOR if floor is None else floor)
+    if plain:
+        for name, ks in by.items():
+            df = add_features(df, ks, whole, {name: expanding_mean(col)}, floor=floor, row_bound=row_bound)
+        return df
+    here = len(by)  # rows come after the carried totals of each mean
+    rows = df.withColumns({"_at": F.lit(here), "_s": F.lit(None).cast("double"), "_n": F.lit(None).cast("long")})
+    for i, ks in enumerate(by.values()):
+        units = totals.groupBy(*dict.fromkeys([*ks, *unit])).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+        carried = {n: cumulative_sum(n, shift=True) for n in ("_s", "_n")}
+        front = add_features(settle(units), ks, unit, carried, floor=floor).filter(F.col("_n") > 0)
+        rows = rows.unionByName(front.withColumn("_at", F.lit(i)), allowMissingColumns=True)
+    rows = rows.repartition(*unit)
+    own = F.col("_at") == here
+    for i, (name, ks) in enumerate(by.items()):
+        before = Window.partitionBy(*dict.fromkeys([*unit, *ks])).orderBy("_at", *ordering(order)).rowsBetween(_FIRST, -1)
+        front = F.col("_at") == i
+        total = F.sum(F.when(own, F.col(col).cast("double")).when(front, F.col("_s"))).over(before)
+        n = F.sum(F.when(own, F.col(col).isNotNull().cast("long")).when(front, F.col("_n"))).over(before)
+        rows = rows.withColumn(name, F.try_divide(total, n))
+    return rows.filter(own).select(*df.columns, *by)
+
+
 def _in_one_window(df, keys, order, features, descending) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*ordering(order, descending))
     needs_pos = any(isinstance(f, Ewm | RollingSlope) for f in features.values())

@@ -23,7 +23,7 @@ from yardline.operators.aggregates import (
     total,
     total_where,
 )
-from yardline.operators.windows import Lead, add_features, expanding_mean
+from yardline.operators.windows import Lead, add_expanding_means, add_features, expanding_mean
 from yardline.session import settle
 from yardline.sources.schemas import require_columns
 
@@ -236,18 +236,23 @@ def adjusted_epa(
 ) -> DataFrame:
     """Efficiency before each play: a team's expanding mean EPA minus the league's, by play type.
 
-    A season and play type holds a large share of all plays, so at scale its running mean takes the
-    chunked route of ``add_features``. ``keep``: further columns of the result.
+    A season and play type holds a large share of all plays, so at scale the games before a play are carried as
+    totals (``add_expanding_means``). ``order`` ends with ``PLAY_ORDER``, the rest of it tells games apart. ``keep``:
+    further columns of the result.
     """
     needed = ["game_id", "season", "posteam", "defteam", "epa", "play_type"]
     require_columns(plays, needed)
     rows = plays.filter(c("play_type").isin("pass", "run")).select(
         *dict.fromkeys([*needed, *order, *keep])
     )
-    for name, by in {"season_epa_play": [], "season_epa_def": ["defteam"], "season_epa_off": ["posteam"]}.items():
-        rows = add_features(
-            rows, ["season", *by, "play_type"], order, {name: expanding_mean("epa")}, floor=floor, row_bound=row_bound
-        )
+    sides = {"season_epa_play": [], "season_epa_def": ["defteam"], "season_epa_off": ["posteam"]}
+    keys = {name: ["season", *by, "play_type"] for name, by in sides.items()}
+    n = len(order) - len(PLAY_ORDER)
+    if n > 0 and tuple(order[n:]) == PLAY_ORDER:
+        rows = add_expanding_means(rows, keys, order[:n], order[n:], "epa", floor=floor, row_bound=row_bound)
+    else:
+        for name, by in keys.items():
+            rows = add_features(rows, by, order, {name: expanding_mean("epa")}, floor=floor, row_bound=row_bound)
     return rows.withColumns(
         {
             "team_adjusted_off_epa": half_even(c("season_epa_off") - c("season_epa_play"), 3),
