@@ -5,6 +5,7 @@ import pytest
 
 from yardline.operators.windows import add_expanding_means
 from yardline.plans import builders as B
+from yardline.plans import features as X
 
 
 def counted(spark, rows, schema):
@@ -53,3 +54,32 @@ def test_expanding_means_by_unit(spark, floor):
     assert got.schema == plain.schema
     rows = [sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in x.collect()) for x in (got, plain)]
     assert rows[0] == rows[1]
+
+
+GAMES = """season int, week int, game_id string, team string, opp_team string, pass_attempt long, rush_attempt long, pass_yards long,
+           rush_yards long, opp_pass_yds long, opp_rush_yds long"""
+
+
+def test_team_rolling_reads_games_once(spark):
+    rows = [(2020, g, f"g{g:02d}", f"T{s}", f"T{1 - s}", g, s, g * 3 % 7, g % 5, g % 4, g % 3) for g in range(20) for s in (0, 1)]
+    df, seen = counted(spark, rows, GAMES)
+    got = X.team_rolling(df, floor=8).collect()
+    assert seen.value == len(rows)
+    plain = X.team_rolling(spark.createDataFrame(rows, GAMES), row_bound=1).collect()
+    assert sorted(map(str, got)) == sorted(map(str, plain))
+
+
+DEFENCE = """season int, week int, game_id string, team string, def_int long, def_td long, fumble_lost long, def_sack long, safety long,
+             kick_blocked long"""
+LINES = "game_id string, team string, total_line double, spread_line double, points int, opp_points int"
+
+
+def test_defence_points_reads_lines_once(spark):
+    keys = [(f"g{g:02d}", f"T{s}", g, s) for g in range(40) for s in (0, 1)]
+    rows = [(2020, g, i, t, g % 2, s, 0, g % 4, 0, 0) for i, t, g, s in keys]
+    lines = [(i, t, 40.0 + g, 1.5, g % 30, g % 37) for i, t, g, _ in keys]
+    df, seen = counted(spark, rows, DEFENCE)
+    got = X.defence_points(df, spark.createDataFrame(lines, LINES), floor=8).collect()
+    assert seen.value == len(rows)
+    plain = X.defence_points(spark.createDataFrame(rows, DEFENCE), spark.createDataFrame(lines, LINES), row_bound=1).collect()
+    assert sorted(map(str, got)) == sorted(map(str, plain))

@@ -37,6 +37,7 @@ from yardline.operators.windows import (
     expanding_mean,
     fill_forward,
     running_count,
+    settled_beyond,
 )
 from yardline.session import settle
 
@@ -87,7 +88,11 @@ def team_rolling(team_games: DataFrame, n: int = 6, **size) -> DataFrame:
         "team_rolling_run_yds": "rush_yards",
     }
     against = {"opp_rolling_pass_yds": "opp_pass_yds", "opp_rolling_rush_yds": "opp_rush_yds"}
+    given = team_games
+    team_games = settled_beyond(team_games, size.get("row_bound"), size.get("floor"))
     out = add_features(team_games, ["team"], GAME_ORDER, {k: RollingMean(v, n) for k, v in own.items()}, **size)
+    if "sizes" not in size and team_games is not given:  # the same rows, before the first windows
+        size["sizes"] = group_sizes(team_games, ["opp_team"], size.get("floor"))
     return add_features(out, ["opp_team"], GAME_ORDER, {k: RollingMean(v, n) for k, v in against.items()}, **size)
 
 
@@ -267,7 +272,7 @@ def defence_points(defence: DataFrame, team_games: DataFrame, n: int = 15, min_s
         "rolling_int": RollingMean("def_int", n),
         "rolling_dk_pts": RollingMean("def_dk_pts", n),
     }
-    rows = add_features(rows, ["team"], GAME_ORDER, feats, **size)
+    rows = add_features(settled_beyond(rows, size.get("row_bound"), size.get("floor")), ["team"], GAME_ORDER, feats, **size)
     implied = c("total_line") / 2 + c("spread_line") / 2
     return rows.withColumn("opp_implied_score", implied).filter(c("season") >= min_season)
 
