@@ -6,6 +6,7 @@ import pytest
 from yardline.operators.windows import add_expanding_means
 from yardline.plans import builders as B
 from yardline.plans import features as X
+from yardline.plans import models as M
 
 
 def counted(spark, rows, schema):
@@ -83,3 +84,11 @@ def test_defence_points_reads_lines_once(spark):
     assert seen.value == len(rows)
     plain = X.defence_points(spark.createDataFrame(rows, DEFENCE), spark.createDataFrame(lines, LINES), row_bound=1).collect()
     assert sorted(map(str, got)) == sorted(map(str, plain))
+
+
+@pytest.mark.parametrize("n", [3, 4, 17, 72, 256])
+def test_short_series_by_whole_windows(n):
+    rng = np.random.default_rng(n)
+    y, weight = rng.normal(200, 50, n), rng.uniform(0, 1, n)
+    near = min(n, max(2, int(0.7 * n)))
+    np.testing.assert_allclose(M._short_local_lines(y, weight, near), M._local_lines(y, weight, near), rtol=1e-7)

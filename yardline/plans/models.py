@@ -11,6 +11,7 @@ import math
 import warnings
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -898,6 +899,33 @@ def _local_lines(y: np.ndarray, weight: np.ndarray, near: int) -> np.ndarray:
     return out
 
 
+_SHORT = 256  # places of a series whose windows are laid out whole
+
+
+@lru_cache(maxsize=64)
+def _windows(n: int, near: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``near`` nearest places of every place of a series, their distance in windows, and its tricube weight."""
+    at = np.arange(n)
+    left = np.clip(np.ceil(at - near / 2).astype(np.int64), 0, n - near)
+    places = left[:, None] + np.arange(near)
+    apart = (places - at[:, None]) / near
+    reach = np.maximum(at - left, left + near - 1 - at) / near
+    return places, apart, (1 - np.minimum(np.abs(apart) / reach[:, None], 1) ** 3) ** 3
+
+
+def _short_local_lines(y: np.ndarray, weight: np.ndarray, near: int) -> np.ndarray:
+    """``_local_lines`` of a short series: its windows depend on its length alone and are kept for the next one."""
+    places, apart, tricube = _windows(len(y), near)
+    w = tricube * weight[places]
+    wd, near_y = w * apart, y[places]
+    n0, x, xx = w.sum(axis=1), wd.sum(axis=1), (wd * apart).sum(axis=1)
+    sy, xy = (w * near_y).sum(axis=1), (wd * near_y).sum(axis=1)
+    size = n0 * xx - x * x
+    slanted = size > 1e-9 * np.maximum(n0, 1e-300) ** 2
+    flat = np.where(n0 > 1e-12, sy / np.where(n0 > 1e-12, n0, 1), y)
+    return np.where(slanted, (sy * xx - x * xy) / np.where(slanted, size, 1), flat)
+
+
 def smoothed(y: np.ndarray, share: float, robust: int) -> np.ndarray:
     """LOWESS of a series of evenly spaced values."""
     n = len(y)
@@ -905,8 +933,9 @@ def smoothed(y: np.ndarray, share: float, robust: int) -> np.ndarray:
     if n < 3:
         return y.astype(float)
     weight = np.ones(n)
+    lines = _short_local_lines if n <= _SHORT else _local_lines
     for i in range(robust + 1):
-        fit = _local_lines(y, weight, near)
+        fit = lines(y, weight, near)
         if i < robust:
             off = np.abs(y - fit)
             scale = 6 * np.median(off)
