@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from yardline.operators import aggregates as A
 from yardline.operators.windows import add_expanding_means
 from yardline.plans import builders as B
 from yardline.plans import features as X
@@ -86,6 +87,20 @@ def test_defence_points_reads_lines_once(spark):
     assert sorted(map(str, got)) == sorted(map(str, plain))
 
 
+def test_overall_quantiles_are_found_once(spark):
+    rows = [(float(i * 7 % 31), i % 5 if i % 4 else None, None) for i in range(90)]
+    schema = "a double, b int, c double"
+    wanted = {"lo": ("a", 0.25), "mid": ("a", 0.5), "b_mid": ("b", 0.5), "none": ("c", 0.5)}
+    df, seen = counted(spark, rows, schema)
+    q = A.overall_quantiles(df, wanted, floor=10)
+    before = seen.value
+    table = spark.range(1).select(*[v.alias(n) for n, v in q.items()])
+    got = [table.collect()[0] for _ in range(3)][0]
+    assert seen.value == before <= 4 * len(rows)
+    small = A.overall_quantiles(spark.createDataFrame(rows, schema), wanted)
+    assert got == spark.range(1).select(*[v.alias(n) for n, v in small.items()]).first()
+
+
 @pytest.mark.parametrize("n", [3, 4, 17, 72, 256])
 def test_short_series_by_whole_windows(n):
     rng = np.random.default_rng(n)

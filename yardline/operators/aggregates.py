@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from yardline.operators.skew import group_sizes, join_on
 from yardline.operators.windows import add_features, cumulative_sum
+from yardline.session import settle
 
 
 def total(col: str | Column) -> Column:
@@ -158,7 +159,7 @@ def quantiles(
         out = x.groupBy(*keys).agg(F.percentile(col, arr).alias("_q"), F.avg(col).alias("_mean"))
         means = [] if mean is None else [F.col("_mean").alias(mean)]
         return out.select(*keys, *means, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
-    counted = x.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
+    counted = settle(x.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n")))
     counted = add_features(counted, keys, [col], {"_upto": cumulative_sum("_n")}, floor=floor)
     placed = with_group(counted, keys, {"_total": F.sum("_n")})
     aggs = []
@@ -185,7 +186,14 @@ def overall_quantiles(
         one = df.agg(*[F.percentile(col, F.lit(float(p))).alias(n) for n, (col, p) in wanted.items()])
         packed = one.select(F.struct(*wanted).alias("s")).scalar()
         return {n: packed[n] for n in wanted}
-    return {n: quantiles(df, [], col, {"q": p}, floor=floor).scalar() for n, (col, p) in wanted.items()}
+    # all columns as one long table, counted in one go; a number per name and probability reaches the driver
+    probs = {f"q{i}": p for i, p in enumerate(dict.fromkeys(float(p) for _, p in wanted.values()))}
+    cols = dict.fromkeys(col for col, _ in wanted.values())
+    pairs = [F.struct(F.lit(n).alias("_of"), F.col(n).cast("double").alias("_x")) for n in cols]
+    long = df.select(F.inline(F.array(*pairs)))
+    found = {r["_of"]: r for r in quantiles(long, ["_of"], "_x", probs, floor=floor).collect()}
+    named = {p: n for n, p in probs.items()}
+    return {n: F.lit(found[col][named[float(p)]] if col in found else None).cast("double") for n, (col, p) in wanted.items()}
 
 
 def average_rank(

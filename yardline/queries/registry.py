@@ -46,7 +46,8 @@ class Tables:
 
     @cached_property
     def games(self) -> DataFrame:
-        return self.spark.sql(adapters.GAMES, plays=self.plays)
+        # read several times by the starter and model queries; one row per game
+        return settle(self.spark.sql(adapters.GAMES, plays=self.plays))
 
     @cached_property
     def draws(self) -> DataFrame:
