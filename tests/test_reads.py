@@ -107,3 +107,55 @@ def test_short_series_by_whole_windows(n):
     y, weight = rng.normal(200, 50, n), rng.uniform(0, 1, n)
     near = min(n, max(2, int(0.7 * n)))
     np.testing.assert_allclose(M._short_local_lines(y, weight, near), M._local_lines(y, weight, near), rtol=1e-7)
+
+
+RECEIVERS = """season int, week int, game_id string, team string, player_id string, full_name string, position string, depth_team double,
+               offense_pct double, targets long, rolling_targets double"""
+
+
+def receivers():
+    kind = ["WR", "TE", "RB", "WR", "WR"]
+    return [(2020, g, f"g{g:02d}", t, f"{t}{p}", f"N{p}", kind[p], 1.0 + (p + g) % 3, float(p * g % 9), (p + g) % 5, float(g % 4) if g else None)
+            for g in range(14) for t in ("A", "B") for p in range(5) if (p + g) % 6]
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_receivers_move_once_by_player_and_once_by_team(spark, monkeypatch):
+    moved, write = [], X.settle
+
+    def counting(df):
+        if "pos_depth_targets" not in df.columns:
+            moved.append(exchanges(df))
+        return write(df)
+
+    monkeypatch.setattr(X, "settle", counting)
+    df = spark.createDataFrame(receivers(), RECEIVERS)
+    got = X.wr_depth_targets(df).collect()
+    assert sum(moved) == 2
+    for size in ({"row_bound": 100}, {"floor": 5}):
+        other = X.wr_depth_targets(df, **size).select(*got[0].__fields__).collect()
+        for a, b in zip(sorted(got, key=str), sorted(other, key=str), strict=True):
+            assert all(x == pytest.approx(y, abs=1e-9) if isinstance(x, float) else x == y for x, y in zip(a, b, strict=True))
+
+
+def test_lines_of_runners_and_receivers_move_twice(spark):
+    rows = [("g1", "T1", "P1", "a", 1, 5, 1, 2, 3, 4, 0, 0.5, 0, 0, "T1", "T2", 44.0)]
+    schema = """game_id string, posteam string, player string, name string, play_seq long, yards_gained int, pass_attempt int, complete_pass int,
+                air_yards int, yards_after_catch int, touchdown int, epa double, success int, fumble_lost int, home_team string,
+                away_team string, total_line double"""
+    plays = spark.createDataFrame(rows, schema).selectExpr(
+        "*", "1 AS rush_attempt", "1 AS qb_dropback", "player AS rusher_player_id", "name AS rusher_player_name", "player AS receiver_player_id",
+        "name AS receiver_player_name",
+    )
+    assert exchanges(B.receiving(plays)) == exchanges(B.rushing(plays)) == 2
+
+
+def test_model_rows_are_read_twice(spark):
+    rows = [(2020, f"g{g:02d}", f"P{p}", "T1", float(g * p % 11), 1.0, 5.0 + g) for g in range(12) for p in range(4)]
+    df, seen = counted(spark, rows, "season int, game_id string, player_id string, team string, offense_pct double, depth_team double, total_dk double")
+    lines = spark.createDataFrame([(f"g{g:02d}", "T1", 1.5) for g in range(12)], "game_id string, team string, spread_line double")
+    assert X.back_model_table(df, lines).count()
+    assert seen.value == 2 * len(rows)  # groups are counted, then rows kept

@@ -54,15 +54,19 @@ def group_with_labels(
     at: Column,
     sums: Mapping[str, Column],
     maxes: Mapping[str, Column] | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """Sums and maxima per group, with text labels taken from the group's first row.
 
     Strings cannot sit in a hash aggregate's buffer, and sorting every play to carry a name along is the
     slow way. So the labels are grouped on in a first step, which hashes and leaves about one row per
     group, and the second step picks among those few. ``at``: a number ordering the rows; rows where it is
-    null give no label. A sum without any value is null.
+    null give no label. A sum without any value is null. ``within``: keys, of few groups each, by which the result is
+    dealt out, so that windows over them need no further exchange.
     """
-    return pick_labels(label_groups(df, keys, labels, at, sums, maxes), list(keys), list(labels), list(sums), list(maxes or {}))
+    fine = label_groups(df, keys, labels, at, sums, maxes)
+    fine = fine.repartition(*within) if within else fine
+    return pick_labels(fine, list(keys), list(labels), list(sums), list(maxes or {}))
 
 
 def label_groups(

@@ -211,6 +211,18 @@ def wr_depth_targets(receivers: DataFrame, **size) -> DataFrame:
     """
     slot = ["team", "position", "depth_team"]
     rec = receivers.filter(c("position").isin("WR", "TE"))
+    # windows by player come first, while the rows of ``receiver_rolling`` still lie by player
+    player = {"rolling_snap_pct": Ewm("offense_pct", span=4), "rolling_depth": Ewm("depth_team", span=5)}
+    rec = add_features(rec, ["player_id"], GAME_ORDER, player, **size)
+    team = {
+        "team_rank_avg_workload": Ewm("target_workload", span=5),
+        "rolling_sum_depth": Ewm("sum_team_depth_targets", span=5),
+    }
+    by_team = {"sizes": group_sizes(rec, ["team"], size.get("floor"), 1)} if "row_bound" not in size else {}
+    sizes = by_team.get("sizes")
+    by_team = {**size, **by_team}
+    if sizes is not None and sizes.fits and sizes.largest <= min(f.safe_rows for f in team.values()):
+        rec = rec.repartition("team")  # for its games and its whole history
     # windows over the receivers of one team in one game
     team_game = ["game_id", "team"]
     rec = rec.withColumns(
@@ -220,14 +232,10 @@ def wr_depth_targets(receivers: DataFrame, **size) -> DataFrame:
             "sum_team_depth_targets": F.sum("targets").over(Window.partitionBy("game_id", *slot)),
         }
     )
-    rec = settle(average_rank(rec, team_game, "targets", "target_workload", grain="player"))
-    player = {"rolling_snap_pct": Ewm("offense_pct", span=4), "rolling_depth": Ewm("depth_team", span=5)}
-    rec = add_features(rec, ["player_id"], GAME_ORDER, player, **size)
-    team = {
-        "team_rank_avg_workload": Ewm("target_workload", span=5),
-        "rolling_sum_depth": Ewm("sum_team_depth_targets", span=5),
-    }
-    rec = settle(add_features(rec, ["team"], PLAYER_ORDER, team, **size))
+    rec = average_rank(rec, team_game, "targets", "target_workload", grain="player")
+    if sizes is not None and not sizes.fits:
+        rec = settle(rec)
+    rec = settle(add_features(rec, ["team"], PLAYER_ORDER, team, **by_team))
     slots = rec.groupBy(*GAME_ORDER, *slot).agg(
         F.max("sum_team_depth_targets").alias("pos_depth_targets"),
         F.sum("rolling_targets").alias("_players"),
@@ -236,7 +244,7 @@ def wr_depth_targets(receivers: DataFrame, **size) -> DataFrame:
         "rolling_pos_depth_targets": Ewm("pos_depth_targets", span=5),
         "rolling_pos_depth_targets_no_shift": Ewm("pos_depth_targets", span=5, shift=False),
     }
-    slots = add_features(slots, slot, GAME_ORDER, levels, **size)
+    slots = add_features(settled_beyond(slots, size.get("row_bound"), size.get("floor")), slot, GAME_ORDER, levels, **size)
     slots = slots.withColumn("rolling_depth_target_sum", tidy(F.coalesce("_players", F.lit(0.0)), 1))
     rec = rec.drop("sum_team_depth_targets").join(
         slots.drop("season", "week", "_players"), ["game_id", *slot], "left"
@@ -420,7 +428,8 @@ def receiver_model_table(
     rows = keep_large_groups(rec.filter(c("season") >= min_season), ["player_id"], min_games, "game_id")
     lines = team_games.select("game_id", "team", "total_line", "spread_line")
     rows = rows.join(lines, ["game_id", "team"], "left").filter(c("position") == position).distinct()
-    rows = zscore_filter(rows.na.drop("any", subset=needed), ["player_id"], "offense_pct")
+    rows = settle(rows.na.drop("any", subset=needed))  # the score reads them twice
+    rows = zscore_filter(rows, ["player_id"], "offense_pct")
     rows = settle(rows.filter(c("depth_team") == 1))
     rows = add_features(rows, ["player_id"], GAME_ORDER, {"last_game_dk": Lag("rec_dk_points")}, **size)
     return rows.na.drop()
@@ -434,7 +443,7 @@ def back_model_table(
               "rolling_rush_att_share", "total_dk", "depth_diff", "rolling_snap_pct", "total_line", "spread_line"]
     rows = keep_large_groups(rb.filter(c("season") >= min_season), ["player_id"], min_games, "game_id")
     rows = rows.join(team_games.select("game_id", "team", "spread_line"), ["game_id", "team"], "left").distinct()
-    rows = rows.na.drop("any", subset=[n for n in needed if n in rows.columns])
+    rows = settle(rows.na.drop("any", subset=[n for n in needed if n in rows.columns]))  # the score reads them twice
     rows = zscore_filter(rows, ["player_id"], "offense_pct")
     return rows.filter((c("depth_team") == 1) & (c("total_dk") > 0))
 
