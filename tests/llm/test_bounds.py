@@ -4,7 +4,8 @@ import random
 
 import public_tokenizers
 
-from yardline.llm import bpe, language, quality_classifier
+from yardline.llm import bpe, common, language, quality_classifier, vector_join
+from yardline.llm.common import lookup, settle
 
 
 def test_chunks_remembered_are_bounded_in_bytes():
@@ -34,3 +35,26 @@ def test_labels_without_a_page_do_not_shrink_the_sample(spark, monkeypatch):
     labels = spark.range(40_000).selectExpr("id + 10 AS id", "id % 2 AS label")
     quality_classifier.fit(pages, labels, labelled=100)
     assert used == [50]
+
+
+def broadcasts(df):
+    """Broadcasts in the plan that ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+
+def test_salted_rows_are_not_broadcast(spark, monkeypatch):
+    big = spark.range(3000).selectExpr("id % 50 AS key", "id AS v")
+    small, drop = settle(spark.range(40).selectExpr("if(id = 39, null, id) AS key", "id * 2 AS w"))
+    before = sorted(tuple(r) for r in lookup(big, small, ["key"]).collect())
+    monkeypatch.setattr(common, "SMALL_ROWS", 30)
+    for how in ("left", "inner", "left_semi"):
+        assert broadcasts(lookup(big, small, ["key"], how)) == 0
+    assert broadcasts(lookup(big, small.limit(40), ["key"], "inner", 31)) == 0
+    assert sorted(tuple(r) for r in lookup(big, small, ["key"]).collect()) == before
+    drop()
+
+
+def test_vectors_are_not_broadcast(spark):
+    rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "vec_id long, embedding array<float>")
+    assert broadcasts(vector_join.near_duplicates(rows)) == 0

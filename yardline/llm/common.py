@@ -93,13 +93,22 @@ def with_results(df: DataFrame, results: dict[str, Column]) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in results.items()])
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: neither side is broadcast.
+
+    Spark sizes a table by its compressed files and counts an exploded row once, so by its own choice a table many times
+    the limit could go through the driver to every task.
+    """
+    return df.hint("merge")
+
+
 def lookup(
     big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", rows: int | None = None
 ) -> DataFrame:
     """Join a table that may have hot keys with one row per key (null meets null).
 
     ``small`` is counted (give a settled table): few rows are broadcast. Otherwise each of them is repeated once a
-    salt and the rows of the big side get a salt, so a hot key spreads over tasks.
+    salt and the rows of the big side get a salt, so a hot key spreads over tasks; these are never broadcast.
     """
     rows = small.limit(SMALL_ROWS + 1).count() if rows is None else rows
     right = small.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -111,7 +120,7 @@ def lookup(
     plain = [F.col(f"`{f.name}`") for f in big.schema.fields if not isinstance(f.dataType, T.MapType | T.VariantType)]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)))
     right = right.withColumn("_right_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    joined = salted.join(right, on & (F.col("_salt") == F.col("_right_salt")), how)
+    joined = salted.join(shuffled(right), on & (F.col("_salt") == F.col("_right_salt")), how)
     return joined.drop("_salt", "_right_salt", *[f"_right_{k}" for k in keys])
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yardline.llm.common import lookup, settle
+from yardline.llm.common import lookup, settle, shuffled
 from yardline.llm.components import components
 
 COSINE = 0.95
@@ -392,6 +392,6 @@ def near_duplicates(
     alone = rows.filter(~F.col("good")).select(F.col("id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     good = rows.filter("good").select("id", "vector")
     found = linked(good, cosine, cell, block).select("vector", "n_links", F.col("id").alias("component_id"))
-    out = good.join(found, "vector").select("id", "n_links", "component_id").unionByName(alone)
+    out = good.join(shuffled(found), "vector").select("id", "n_links", "component_id").unionByName(alone)
     kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", kept.alias("kept"))
