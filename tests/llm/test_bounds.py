@@ -3,8 +3,9 @@
 import random
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from yardline.llm import bpe, common, language, quality_classifier, vector_join
+from yardline.llm import bpe, common, language, quality_classifier, simhash, vector_join
 from yardline.llm.common import lookup, settle
 
 
@@ -43,6 +44,13 @@ def broadcasts(df):
     return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
 
 
+def test_cells_asked_for_are_not_broadcast(spark):
+    """Spark counts a fingerprint once, whatever the number of cells it asks for."""
+    nodes, drop = settle(spark.range(2000).select(F.xxhash64("id").alias("fp")))
+    assert broadcasts(simhash.links(nodes)) == 0
+    drop()
+
+
 def test_salted_rows_are_not_broadcast(spark, monkeypatch):
     big = spark.range(3000).selectExpr("id % 50 AS key", "id AS v")
     small, drop = settle(spark.range(40).selectExpr("if(id = 39, null, id) AS key", "id * 2 AS w"))

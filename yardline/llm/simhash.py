@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yardline.llm import repeats
-from yardline.llm.common import append_columns, free_name, settle
+from yardline.llm.common import append_columns, free_name, settle, shuffled
 from yardline.llm.components import components
 from yardline.llm.rolling import text_buffer, word_spans
 
@@ -93,7 +93,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("counts_a").bitwiseXOR(F.col("counts_b"))) <= distance)
     near = near & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
     asked = asked.withColumnsRenamed({"block": "block_b", "cell": "cell_b"})
-    met = home.join(asked, (F.col("block") == F.col("block_b")) & (F.col("cell") == F.col("cell_b")) & near)
+    met = home.join(shuffled(asked), (F.col("block") == F.col("block_b")) & (F.col("cell") == F.col("cell_b")) & near)
     return met.select("a", "b").distinct()
 
 
