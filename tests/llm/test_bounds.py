@@ -5,8 +5,10 @@ import random
 import public_tokenizers
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from yardline.llm import bpe, common, language, quality_classifier, simhash, vector_join
 from yardline.llm.common import lookup, settle
+from yardline.llm.components import components
 
 
 def test_chunks_remembered_are_bounded_in_bytes():
@@ -66,3 +68,11 @@ def test_salted_rows_are_not_broadcast(spark, monkeypatch):
 def test_vectors_are_not_broadcast(spark):
     rows = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(50)], "vec_id long, embedding array<float>")
     assert broadcasts(vector_join.near_duplicates(rows)) == 0
+
+
+def test_links_of_the_pipeline_are_not_broadcast(spark, monkeypatch):
+    found = []
+    monkeypatch.setattr(simhash, "components", lambda links: found.append(broadcasts(links)) or components(links))
+    docs = spark.createDataFrame([(i, f"some text of number {i} {i * i}", "en", "s", 9) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert 0 < corpus_pipeline.near_dedup(spark, docs, "").count() <= 300
+    assert found == [0]
