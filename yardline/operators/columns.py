@@ -28,6 +28,18 @@ def mask(df: DataFrame, col: str, where: Column, value) -> DataFrame:
     return df.withColumn(col, F.when(where, value).otherwise(F.col(col)))
 
 
+def fold(df: DataFrame, keep: Sequence[str], name: str = "_others") -> DataFrame:
+    """Keep some columns; the others, an earlier result of this included, become one 64-bit hash.
+
+    For rows that still get compared as wholes (``distinct``) and carried far, where nothing else reads the other columns. Null
+    differs from every value; -0.0 is 0.0 and NaN is NaN, as in ``distinct``. Unequal rows are only taken for equal if
+    the kept columns agree and the hashes collide.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c not in keep]
+    values = [x for c in others for x in (c.isNull(), c)]  # a null alone would leave no trace
+    return df.select(*[f"`{c}`" for c in df.columns if c in keep], *([F.xxhash64(*values).alias(name)] if others else []))
+
+
 def fill_from(df: DataFrame, col: str, other: str) -> DataFrame:
     return df.withColumn(col, F.coalesce(F.col(col), F.col(other)))
 

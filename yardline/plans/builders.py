@@ -137,7 +137,7 @@ def rushing(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
         {"player": "rusher_player_name", "home_team": "home_team", "away_team": "away_team"},
         c(order),
         {n: c(col) for n, col in sums.items()} | {"_lines": c("total_line"), "_n": flag(c("total_line").isNotNull())},
-        within=["game_id", "team"],
+        within=["game_id"],
     )
     stats = stats.withColumns(zero(*sums) | {"total_line": share(c("_lines"), c("_n"))}).drop("_lines", "_n")
     team = Window.partitionBy("game_id", "team")  # the players of one team in one game
@@ -161,7 +161,7 @@ def receiving(plays: DataFrame, order: str = FIRST_PLAY) -> DataFrame:
         {"player": "receiver_player_name"},
         c(order),
         {"targets": flag(c("pass_attempt").isNotNull()).cast("long")} | {n: c(col) for n, col in sums.items()},
-        within=["game_id", "team"],
+        within=["game_id"],
     ).withColumns(zero(*sums))
     team = Window.partitionBy("game_id", "team")  # the players of one team in one game
     stats = stats.withColumn("_targets", F.sum("targets").over(team)).withColumn(

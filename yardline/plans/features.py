@@ -24,7 +24,7 @@ from yardline.operators.aggregates import (
     share,
     with_group,
 )
-from yardline.operators.columns import mask, round_all
+from yardline.operators.columns import fold, mask, round_all
 from yardline.operators.joins import join_suffixed, opponent_join, priority_lookup, validated_join
 from yardline.operators.skew import group_sizes
 from yardline.operators.windows import (
@@ -39,7 +39,7 @@ from yardline.operators.windows import (
     running_count,
     settled_beyond,
 )
-from yardline.session import settle
+from yardline.session import settle, shared_partitions
 
 GAME_ORDER = ("season", "week", "game_id")
 PLAYER_ORDER = (*GAME_ORDER, "player_id")
@@ -146,6 +146,9 @@ def rusher_rolling(df: DataFrame, **size) -> DataFrame:
     return out.withColumn("rolling_rush_att_share", tidy(c("rolling_rush_att_share"), 1) * 100)
 
 
+# columns that the rolling features of rushers and receivers read
+RUSHER_INPUTS = ["rush_att", "rush_yds", "rush_td", "rush_att_share", "rush_dk_points"]
+RECEIVER_INPUTS = ["targets", "rec", "air_yards", "rec_yards", "target_share", "td", "rec_dk_points", "aDOT"]
 RECEIVING_DEFAULTS = ["targets", "rec", "air_yards", "yac", "rec_yards", "td", "target_share", "aDOT",
                       "yrds_per_rec", "air_yards_share", "yac_per_rec", "100_yds_rec", "rec_dk_points"]
 
@@ -162,25 +165,38 @@ def receiver_frame(snaps: DataFrame, depth: DataFrame, receiving: DataFrame) ->
     return rows.filter(c("position").isin("RB", "WR", "TE")).na.fill({k: 0 for k in RECEIVING_DEFAULTS})
 
 
-def rb_workload(rush: DataFrame, receivers: DataFrame, **size) -> DataFrame:
-    """Backs: touches, rank inside the backfield, and how both differ from their recent level."""
+def rb_workload(rush: DataFrame, receivers: DataFrame, *, keep: Sequence[str] | None = None, **size) -> DataFrame:
+    """Backs: touches, rank inside the backfield, and how both differ from their recent level.
+
+    ``keep``: columns that the caller reads. The others then become one hash (``fold``) as soon as no feature needs them.
+    """
+
+    def only(df: DataFrame, *needed: str) -> DataFrame:
+        return df if keep is None else fold(df, {"game_id", "player_id", "team", "season", "week", *keep, *needed})
+
     rb = join_suffixed(rush, receivers.drop("season", "week"), ["game_id", "player_id"])
-    rb = settle(rb.drop("team_merged", "full_name")).withColumns(
+    rb = rb.drop("team_merged", "full_name")
+    rb = rb.withColumns(
         {
             "total_dk": c("rush_dk_points") + c("rec_dk_points"),
             "total_fd_points": c("rush_fd_points") + c("rec_fd_points"),
         }
     )
+    rb = rb.na.fill({k: 0 for k in RECEIVING_DEFAULTS})  # the totals stay null
+    carried = ("position", "offense_pct", "depth_team", "total_dk", "total_fd_points")
+    with shared_partitions(rb.sparkSession):  # lines lie by game, which holds few players
+        rb = settle(only(rb, *carried, *RUSHER_INPUTS, *RECEIVER_INPUTS))
     if "row_bound" not in size:
         size = {**size, "sizes": group_sizes(rb, ["player_id"], size.get("floor"), 1)}
     totals = {"rolling_total_dk": Ewm("total_dk", span=15), "rolling_total_fd": Ewm("total_fd_points", span=15)}
     rb = add_features(rb, ["player_id"], GAME_ORDER, totals, **size)
-    rb = rb.na.fill({k: 0 for k in RECEIVING_DEFAULTS})
     rb = receiver_rolling(rusher_rolling(rb, **size), **size)
     rb = rb.filter(c("position") == "RB").withColumn("player_touches", c("rush_att") + c("targets"))
+    rb = only(rb, "player_touches", "offense_pct", "depth_team")
     backfield = Window.partitionBy("game_id", "team")  # the backs of one team in one game
     rb = rb.withColumn("total_team_rb_touches", F.sum("player_touches").over(backfield))
-    rb = settle(average_rank(rb, ["game_id", "team"], "player_touches", "workload_rank", grain="player"))
+    rb = average_rank(rb, ["game_id", "team"], "player_touches", "workload_rank", grain="player")
+    rb = settle(only(rb, "player_touches", "offense_pct", "depth_team", "workload_rank"))
     if "sizes" in size:  # the filter left fewer rows
         size["sizes"] = group_sizes(rb, ["player_id"], size.get("floor"), 1)
     player = {
@@ -195,13 +211,14 @@ def rb_workload(rush: DataFrame, receivers: DataFrame, **size) -> DataFrame:
     rb = add_features(rb, ["team", "workload_rank"], PLAYER_ORDER, slot, **size)
     for n in ("rolling_snap_pct", "rolling_player_touches", "rolling_workload", "team_rank_avg_touches"):
         rb = rb.withColumn(n, tidy(c(n), 1))
-    return rb.withColumns(
+    rb = rb.withColumns(
         {
             "touch_diff": c("team_rank_avg_touches") - c("rolling_player_touches"),
             "workload_diff": c("workload_rank") - c("rolling_workload"),
             "depth_diff": tidy(c("depth_team") - c("rolling_depth"), 3),
         }
     )
+    return only(rb)
 
 
 def wr_depth_targets(receivers: DataFrame, **size) -> DataFrame:
@@ -435,6 +452,11 @@ def receiver_model_table(
     return rows.na.drop()
 
 
+BACK_MODEL_INPUTS = ["game_id", "player_id", "team", "season", "rolling_target_share", "rolling_targets", "rolling_td", "depth_team",
+                     "rolling_rush_td", "rolling_rush_att_share", "total_dk", "depth_diff", "rolling_snap_pct", "total_line",
+                     "offense_pct"]
+
+
 def back_model_table(
     rb: DataFrame, team_games: DataFrame, min_season: int = 2016, min_games: int = 3, **_
 ) -> DataFrame:

@@ -326,7 +326,7 @@ z AS (SELECT k.*, (offense_pct - avg(offense_pct) OVER (PARTITION BY player_id))
         / nullif(stddev_samp(offense_pct) OVER (PARTITION BY player_id), 0) AS z FROM k)
 SELECT game_id, player_id, {', '.join(RB_MODEL)} FROM z WHERE z > -2 AND depth_team = 1 AND total_dk > 0""", " ".join(RB_MODEL))
 def model_table_rb(t: Tables):
-    rb = X.rb_workload(rushers(t), receivers(t))
+    rb = X.rb_workload(rushers(t), receivers(t), keep=X.BACK_MODEL_INPUTS)
     return X.back_model_table(rb, team_lines(t)).select("game_id", "player_id", *RB_MODEL)
 
 

@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +31,19 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
+@contextlib.contextmanager
+def shared_partitions(spark: SparkSession) -> Iterator[None]:
+    """Joins planned inside stay with rows that are dealt out by some of their keys, and deal out only the other side. By
+    default Spark moves both by all keys, against skew; only for keys that hold few rows by what they are."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and the benchmark."""
     return (
